@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,6 +97,11 @@ class TokenizerModel:
     def vocab_size(self) -> int:
         return len({token_id for _, _, token_id in self.merges}) + FIRST_MERGE_ID
 
+    @property
+    def max_id(self) -> int:
+        """Largest id that encoding can produce."""
+        return max((token_id for _, _, token_id in self.merges), default=FIRST_MERGE_ID - 1)
+
     # Constant columns
 
     def merge_triples(self) -> Column:
@@ -173,16 +178,10 @@ def vocab_report(spark: SparkSession, model: TokenizerModel) -> DataFrame:
 def upsert_special_tokens(current: DataFrame, added: DataFrame) -> DataFrame:
     """The table form of :meth:`TokenizerModel.add_special_tokens`: new rows replace rows of the same token."""
     merged = current.join(added, "token", "left_anti").unionByName(added)
-    shared = F.count(F.lit(1)).over(_same_id()) > 1
+    shared = F.count(F.lit(1)).over(Window.partitionBy("token_id")) > 1
     return merged.select(
         "token",
         F.when(shared, F.raise_error(F.lit("two special tokens share an id")).cast("int"))
         .otherwise(F.col("token_id"))
         .alias("token_id"),
     )
-
-
-def _same_id():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("token_id")

@@ -108,7 +108,9 @@ def token_chunks(shards: DataFrame, seq_len: int) -> DataFrame:
     )
     left = F.greatest(F.col("chunk") * length, begin)
     right = F.least((F.col("chunk") + 1) * length + 1, end)
-    cut = F.slice("tokens", (left - begin + 1).cast("int"), (right - left).cast("int"))
+    # Never below 0, also for rows that a pushed-down filter on the chunk looks at before it drops them.
+    taken = F.greatest(right - left, F.lit(0)).cast("int")
+    cut = F.slice("tokens", (left - begin + 1).cast("int"), taken)
     parts = F.sort_array(F.collect_list(F.struct(F.col("left"), F.col("part"))))
     return (
         pieces.select("shard", "chunk", left.alias("left"), cut.alias("part"))

@@ -37,14 +37,14 @@ def merge_string(seq: Column, model: TokenizerModel) -> Column:
 
 def encode_text(text: Column, model: TokenizerModel) -> Column:
     """Ids of a whole text: merges may cross pre-token borders, the split pattern plays no part."""
-    return ids_of(merge_string(byte_string(text), model))
+    return ids_of(merge_string(byte_string(text), model), model.max_id)
 
 
 def encode_pieces(text: Column, model: TokenizerModel, pattern: str | None = None) -> Column:
     """Ids of a text encoded inside its pre-tokens, in place: the gap characters between them stop every merge."""
     pieces = F.transform(pretokenize(text, pattern or model.pattern or GPT4PAT), byte_string)
     merged = merge_string(F.array_join(pieces, GAP), model)
-    return ids_of(F.replace(merged, F.lit(GAP), F.lit("")))
+    return ids_of(F.replace(merged, F.lit(GAP), F.lit("")), model.max_id)
 
 
 def encode_corpus(
@@ -200,7 +200,7 @@ def _encode_by_dictionary(
         )
     # A text without pre-tokens has no occurrence and still keeps its row.
     joined = df.join(merged, id_col, "left")
-    return joined.withColumn(out, ids_of(F.coalesce("_merged", F.lit("")))).drop("_merged")
+    return joined.withColumn(out, ids_of(F.coalesce("_merged", F.lit("")), model.max_id)).drop("_merged")
 
 
 def decode_tokens(tokens: Column, model: TokenizerModel, render_special: bool = False) -> Column:

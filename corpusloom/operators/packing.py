@@ -80,12 +80,14 @@ def pack_shards(
     )
     left = F.greatest(F.col("shard") * size, F.col("begin"))
     right = F.least((F.col("shard") + 1) * size, F.col("end"))
+    # Never below 0, also for rows that a pushed-down filter on the shard looks at before it drops them.
+    taken = F.greatest(right - left, F.lit(0)).cast("int")
     return pieces.select(
         assign_split(F.col("shard")).alias("split"),
         F.col("shard").cast("int").alias("shard"),
         (left - F.col("shard") * size).alias("shard_pos"),
         order_col,
-        F.slice("tokens", (left - F.col("begin") + 1).cast("int"), (right - left).cast("int")).alias("tokens"),
+        F.slice("tokens", (left - F.col("begin") + 1).cast("int"), taken).alias("tokens"),
     )
 
 

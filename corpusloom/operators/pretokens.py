@@ -11,7 +11,7 @@ from corpusloom.functions.patterns import GPT4PAT, pretokenize
 
 def byte_tokens(text: Column) -> Column:
     """UTF-8 bytes of a text as ids 0..255."""
-    return ids_of(byte_string(text))
+    return ids_of(byte_string(text), max_id=255)
 
 
 def order_stride(df: DataFrame, order_col: str) -> int:

@@ -92,7 +92,7 @@ def validation_loss(losses: DataFrame) -> DataFrame:
 def step_log_report(log: DataFrame, batch_size: int, seq_len: int, accum: int, world: int) -> DataFrame:
     """Per step of ``(step, loss, t0, t1)``: mean loss, elapsed milliseconds, tokens per second."""
     tokens = batch_size * seq_len * accum * world
-    micros = F.unix_micros(F.max("t1")) - F.unix_micros(F.min("t0"))
+    micros = F.unix_micros(F.max("t1").cast("timestamp")) - F.unix_micros(F.min("t0").cast("timestamp"))
     return (
         log.groupBy("step")
         .agg(F.avg("loss").alias("loss"), micros.alias("micros"))

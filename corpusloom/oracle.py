@@ -53,20 +53,20 @@ occ AS MATERIALIZED (SELECT doc_id, lang, unnest(ps) AS p, generate_subscripts(p
 
 WORDS = f"""{OCCURRENCES},
 words AS (SELECT p, count(*) AS n, min(doc_id * 16777216 + idx) AS f FROM occ GROUP BY p),
-w0 AS MATERIALIZED (SELECT {_codes("p")} AS s, n, row_number() OVER (ORDER BY f) AS at FROM words)"""
+w0 AS MATERIALIZED (SELECT {_codes("p")} AS s, n, row_number() OVER (ORDER BY f) AS ord FROM words)"""
 
 
 def _word_pairs(i: int) -> str:
     return (
-        f"SELECT substr(s, 5 * t.i + 1, 10) AS pr, n, at * 1000000 + t.i AS k "
+        f"SELECT substr(s, 5 * t.i + 1, 10) AS pr, n, ord * 1000000 + t.i AS k "
         f"FROM w{i}, unnest(range(0, CAST(length(s) // 5 AS BIGINT) - 1)) AS t(i)"
     )
 
 
 def _text_pairs(i: int) -> str:
-    lists = f"SELECT at, n, string_split(rtrim(s, '|'), '|') AS l FROM w{i} WHERE s <> ''"
+    lists = f"SELECT ord, n, string_split(rtrim(s, '|'), '|') AS l FROM w{i} WHERE s <> ''"
     return (
-        f"SELECT a || '|' || b || '|' AS pr, n, at * 16777216 + i AS k FROM (SELECT at, n, unnest(l[1:len(l)-1]) AS a, "
+        f"SELECT a || '|' || b || '|' AS pr, n, ord * 16777216 + i AS k FROM (SELECT ord, n, unnest(l[1:len(l)-1]) AS a, "
         f"unnest(l[2:len(l)]) AS b, unnest(range(0, len(l) - 1)) AS i FROM ({lists}))"
     )
 
@@ -80,7 +80,7 @@ def _rounds(rounds: int, pairs) -> str:
             f"ORDER BY c DESC, f LIMIT 1)"
         )
         steps.append(
-            f"w{i + 1} AS MATERIALIZED (SELECT replace(s, (SELECT pr FROM t{i}), '{_code(256 + i)}') AS s, n, at "
+            f"w{i + 1} AS MATERIALIZED (SELECT replace(s, (SELECT pr FROM t{i}), '{_code(256 + i)}') AS s, n, ord "
             f"FROM w{i})"
         )
     rows = " UNION ALL ".join(f"SELECT {i} AS rank, pr, c FROM t{i}" for i in range(rounds))
@@ -93,7 +93,7 @@ def _rounds(rounds: int, pairs) -> str:
 
 TRAINED = f"{WORDS},\n{_rounds(q.TRAINED_ROUNDS, _word_pairs)}"
 TEXT_TRAINED = (
-    f"w0 AS MATERIALIZED (SELECT {_codes('text')} AS s, 1 AS n, doc_id AS at FROM documents),\n"
+    f"w0 AS MATERIALIZED (SELECT {_codes('text')} AS s, 1 AS n, doc_id AS ord FROM documents),\n"
     + _rounds(q.TEXT_ROUNDS, _text_pairs)
 )
 
@@ -263,7 +263,7 @@ _ESCAPED = (
 )
 _RENDER_LIST = (
     "list_transform(string_split(text, ''), lambda c: CASE WHEN regexp_matches(c, '\\p{C}') "
-    "THEN '\\u' || lpad(lower(to_hex(ord(c))), greatest(4, length(to_hex(ord(c)))), '0') ELSE c END)"
+    "THEN '\\u' || lpad(lower(to_hex(ord(c))), CAST(greatest(4, length(to_hex(ord(c)))) AS INT), '0') ELSE c END)"
 )
 
 
