@@ -71,15 +71,16 @@ def _pair_rows(sequences: DataFrame, any_long: bool = True) -> DataFrame:
     """One row per adjacent pair: ``(pair, n, at)`` with ``pair`` as a two-character id string."""
     if not any_long:
         return _adjacent(sequences)
-    is_long = F.length("seq") > PIECE + 1
-    # Each piece reads one token further than it advances, so that no pair is lost at a cut.
-    pieces = F.regexp_extract_all("seq", F.lit(f"(?s)(?=(.{{1,{PIECE + 1}}})).{{1,{PIECE}}}"), F.lit(1))
-    cut = (
-        sequences.where(is_long)
+    # Each piece reads one token further than it advances, so that no pair is lost at a cut.  One scan for long and
+    # short sequences alike: a union would double the plan with every cached frame below it.
+    pieces = F.when(F.length("seq") <= PIECE + 1, F.array("seq")).otherwise(
+        F.regexp_extract_all("seq", F.lit(f"(?s)(?=(.{{1,{PIECE + 1}}})).{{1,{PIECE}}}"), F.lit(1))
+    )
+    return _adjacent(
+        sequences.where(F.length("seq") > 1)
         .select("n", "start", F.posexplode(pieces).alias("piece_no", "seq"))
         .select("seq", "n", (F.col("start") + F.col("piece_no") * PIECE).alias("start"))
     )
-    return _adjacent(sequences.where(~is_long)).unionByName(_adjacent(cut))
 
 
 def _count_pairs(sequences: DataFrame, any_long: bool = True) -> DataFrame:
@@ -143,6 +144,14 @@ def certain_run(leading: list[Row], limit: int) -> list[Row]:
     return run
 
 
+def _merged(sequences: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame:
+    """The frame with some merges applied.  The generator keeps the optimizer from copying the nested replacements
+    into every later use of ``seq``."""
+    if not merges:
+        return sequences
+    return sequences.select("n", "start", F.explode(F.array(replace_pairs(F.col("seq"), merges))).alias("seq"))
+
+
 def train_sequences(sequences: DataFrame, rounds: int, partitions: int | None = None) -> list[MergeRound]:
     """Up to ``rounds`` merges over weighted sequences; stops when no pair occurs twice."""
     if rounds <= 0:
@@ -156,34 +165,25 @@ def train_sequences(sequences: DataFrame, rounds: int, partitions: int | None =
     frame = sequences.repartition(partitions).persist(StorageLevel.MEMORY_AND_DISK)
 
     trace: list[MergeRound] = []
-    cached: list[DataFrame] = []
-    since_rewrite = 0
+    pending: list[tuple[int, int, int]] = []
     while len(trace) < rounds:
-        leading = top_pairs(_count_pairs(frame, any_long), LEADING_PAIRS).collect()
+        current = _merged(frame, pending)
+        leading = top_pairs(_count_pairs(current, any_long), LEADING_PAIRS).collect()
         run = certain_run(leading, rounds - len(trace))
-        merges = []
+        if not run:
+            break
         for row in run:
             left, right = map(char_id, row["pair"])
             token_id = FIRST_MERGE_ID + len(trace)
             trace.append(MergeRound(len(trace), left, right, token_id, row["cnt"]))
-            merges.append((left, right, token_id))
-        if not merges or len(trace) == rounds:
-            break
-        # The next frame is cached while it is counted; every so often it is written to the shared folder instead,
-        # which bounds both the plan and what a lost executor has to redo.
-        merged = frame.withColumn("seq", replace_pairs(F.col("seq"), merges)).where(F.length("seq") > 1)
-        since_rewrite += len(merges)
-        if since_rewrite >= MERGES_PER_REWRITE:
-            merged, since_rewrite = materialize(merged), 0
-            cached.append(frame)
-            for old in cached:
-                old.unpersist()
-            cached = []
-        else:
-            cached.append(frame)
-        frame = merged.persist(StorageLevel.MEMORY_AND_DISK)
-    for old in [*cached, frame]:
-        old.unpersist()
+            pending.append((left, right, token_id))
+        # A few merges are redone in every pass, which costs less than writing the frame each time; then the frame is
+        # rewritten in the shared folder, which bounds the plan and what a lost executor has to redo.
+        if len(pending) >= MERGES_PER_REWRITE and len(trace) < rounds:
+            rewritten = materialize(_merged(frame, pending).where(F.length("seq") > 1))
+            frame.unpersist()
+            frame, pending = rewritten.persist(StorageLevel.MEMORY_AND_DISK), []
+    frame.unpersist()
     return trace
 
 
