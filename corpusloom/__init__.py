@@ -50,7 +50,7 @@ from corpusloom.operators.training import (
     top_pair,
     train_bpe,
 )
-from corpusloom.session import build_session, materialize
+from corpusloom.session import build_session, materialize, stage_table
 from corpusloom.sources.corpus import read_corpus, with_corpus_order
 from corpusloom.sources.items import read_choice_items
 from corpusloom.sources.shards import read_token_shards, shard_list, write_token_shards

@@ -23,6 +23,8 @@ NESTED_MERGES = 32
 # The part of the dictionary that is sent to every executor: at most so many rows and so many bytes of text.
 HOT_ROWS = 500_000
 HOT_BYTES = 64 << 20
+# Up to this many merges a single pre-token tries them all; with more it looks up which can apply to it.
+WORD_FOLD_MERGES = 256
 # Longer pre-tokens try every merge instead of looking up their substrings.
 SUBSTRING_LIMIT = 128
 
@@ -80,9 +82,11 @@ def encode_corpus(
 def encode_words(words: DataFrame, model: TokenizerModel, word_col: str = "pretoken", out: str = "merged") -> DataFrame:
     """Add the merged id string of each (distinct) ``word_col``.
 
-    Only merges whose bytes occur in a word can apply to it, so a word looks up its substrings among the tokens and
-    passes over the hits alone.  The frame stays partitioned by the word throughout.
+    Only merges whose bytes occur in a word can apply to it, so with many merges a word looks up its substrings among
+    the tokens and passes over the hits alone.  The frame stays partitioned by the word throughout.
     """
+    if len(model.merges) <= WORD_FOLD_MERGES:
+        return words.withColumn(out, merge_string(byte_string(F.col(word_col)), model))
     vocab = model.vocab()
     longest = max((len(vocab[token_id]) for _, _, token_id in model.merges), default=1)
     spark = words.sparkSession

@@ -21,13 +21,18 @@ def tokenize_documents(
     id_col: str = "doc_id",
     **encode_options,
 ) -> DataFrame:
-    """``(id_col, tokens)``: the separator comes before each document.  A null text raises."""
+    """``(id_col, n_tokens, tokens)``: the separator comes before each document.  A null text raises.
+
+    Stage the result (:func:`corpusloom.session.stage_table`) before packing it: the stream positions then come from
+    ``n_tokens`` alone, and no text is encoded twice.
+    """
     if eot_id is None:
         eot_id = model.special_tokens[END_OF_TEXT]
     missing = F.raise_error(F.lit("null text")).cast("string")
     present = df.withColumn(text_col, F.coalesce(F.col(text_col), missing))
     encoded = encode_corpus(present, model, text_col=text_col, id_col=id_col, **encode_options)
-    return encoded.select(id_col, F.concat(F.array(F.lit(eot_id)), "tokens").alias("tokens"))
+    marked = encoded.select(id_col, F.concat(F.array(F.lit(eot_id)), "tokens").alias("tokens"))
+    return marked.select(id_col, F.size("tokens").cast("bigint").alias("n_tokens"), "tokens")
 
 
 def _out_of_bounds(bound: int):
@@ -50,9 +55,10 @@ def validate_token_ids(df: DataFrame, bound: int = ID_BOUND) -> DataFrame:
 def token_offsets(df: DataFrame, order_col: str = "doc_id", slices: int | None = None) -> DataFrame:
     """``(order_col, n_tokens, offset)``: where each document starts in the stream.
 
-    Only ids and lengths take part; pass a written or checkpointed frame, as its lengths are read before its tokens.
+    Only ids and lengths take part; a staged frame with an ``n_tokens`` column is not read any further.
     """
-    lengths = df.select(order_col, F.size("tokens").cast("bigint").alias("n_tokens"))
+    length = F.col("n_tokens") if "n_tokens" in df.columns else F.size("tokens")
+    lengths = df.select(order_col, length.cast("bigint").alias("n_tokens"))
     return running_offset(lengths, order_col, F.col("n_tokens"), slices=slices)
 
 

@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from corpusloom.functions.idstrings import byte_string, char_id, code_of, id_char, replace_pairs
+from corpusloom.functions.idstrings import byte_string, char_id, code_of, fold_pairs, id_char, string_array, triple
 from corpusloom.model import FIRST_MERGE_ID, TokenizerModel
 from corpusloom.operators.pretokens import order_stride, ordered_key, pretoken_counts
 from corpusloom.plans.offsets import running_offset
@@ -30,8 +30,9 @@ LEADING_PAIRS = 256
 MERGES_PER_REWRITE = 32
 SEQUENCES_PER_PARTITION = 500_000
 
-# Long sequences are cut into pieces of this many tokens before pairs are read off, as reading a character of a
-# string walks the string.
+# Reading a character of a string walks the string, so sequences longer than LONG are cut into pieces of PIECE tokens
+# before pairs are read off.
+LONG = 512
 PIECE = 64
 
 
@@ -73,7 +74,7 @@ def _pair_rows(sequences: DataFrame, any_long: bool = True) -> DataFrame:
         return _adjacent(sequences)
     # Each piece reads one token further than it advances, so that no pair is lost at a cut.  One scan for long and
     # short sequences alike: a union would double the plan with every cached frame below it.
-    pieces = F.when(F.length("seq") <= PIECE + 1, F.array("seq")).otherwise(
+    pieces = F.when(F.length("seq") <= LONG, F.array("seq")).otherwise(
         F.regexp_extract_all("seq", F.lit(f"(?s)(?=(.{{1,{PIECE + 1}}})).{{1,{PIECE}}}"), F.lit(1))
     )
     return _adjacent(
@@ -145,11 +146,14 @@ def certain_run(leading: list[Row], limit: int) -> list[Row]:
 
 
 def _merged(sequences: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame:
-    """The frame with some merges applied.  The generator keeps the optimizer from copying the nested replacements
-    into every later use of ``seq``."""
-    if not merges:
-        return sequences
-    return sequences.select("n", "start", F.explode(F.array(replace_pairs(F.col("seq"), merges))).alias("seq"))
+    """The frame with some merges applied.
+
+    The merges are data (a constant array), not part of the expression tree: every pass then has the same generated
+    code, which the JVM has compiled and optimized once.  The generator keeps the optimizer from copying the expression
+    into every later use of ``seq``.
+    """
+    triples = string_array(triple(*merge) for merge in merges)
+    return sequences.select("n", "start", F.explode(F.array(fold_pairs(F.col("seq"), triples))).alias("seq"))
 
 
 def train_sequences(sequences: DataFrame, rounds: int, partitions: int | None = None) -> list[MergeRound]:
@@ -159,7 +163,7 @@ def train_sequences(sequences: DataFrame, rounds: int, partitions: int | None =
     context = sequences.sparkSession.sparkContext
     sequences = materialize(sequences)
     rows, longest = sequences.agg(F.count(F.lit(1)), F.max(F.length("seq"))).first()
-    any_long = (longest or 0) > PIECE + 1
+    any_long = (longest or 0) > LONG
     if partitions is None:
         partitions = max(context.defaultParallelism, -(-rows // SEQUENCES_PER_PARTITION))
     frame = sequences.repartition(partitions).persist(StorageLevel.MEMORY_AND_DISK)

@@ -13,23 +13,30 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bounds on the plan: quantile literals per query, and rows that one sort should hold.
+# Bounds on the plan: cut points per query, those asked for at first, and rows that one sort should hold.
 MAX_SLICES = 8192
+FIRST_SLICES = 512
 ROWS_PER_SLICE = 1_000_000
 
 
-def slice_bounds(df: DataFrame, order_col: str, slices: int | None = None) -> list[int]:
-    """Cut points of ``order_col`` into slices of about equal row counts (reads that one column)."""
-    key = F.col(order_col)
-    if slices is None:
-        rows = df.agg(F.count(key).alias("rows")).first()["rows"]
-        slices = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_SLICE))
-    slices = max(1, min(slices, MAX_SLICES))
-    if slices == 1:
-        return []
+def _quantiles(df: DataFrame, order_col: str, slices: int) -> tuple[int, list[int]]:
     shares = [i / slices for i in range(1, slices)]
-    cuts = df.agg(F.percentile_approx(key, shares, F.lit(10 * slices)).alias("cuts")).first()["cuts"]
-    return sorted(set(cuts or []))
+    cuts = F.percentile_approx(order_col, shares, F.lit(10 * slices)) if shares else F.lit(None)
+    rows, found = df.agg(F.count(order_col), cuts).first()
+    return rows, list(found or [])
+
+
+def slice_bounds(df: DataFrame, order_col: str, slices: int | None = None) -> list[int]:
+    """Cut points of ``order_col`` into slices of about equal row counts (one job that reads that column)."""
+    if slices is not None:
+        return sorted(set(_quantiles(df, order_col, max(1, min(slices, MAX_SLICES)))[1]))
+    rows, cuts = _quantiles(df, order_col, FIRST_SLICES)
+    wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_SLICE))
+    if wanted > FIRST_SLICES:
+        cuts = _quantiles(df, order_col, min(wanted, MAX_SLICES))[1]
+    else:
+        cuts = [cuts[i * FIRST_SLICES // wanted - 1] for i in range(1, wanted)] if cuts else []
+    return sorted(set(cuts))
 
 
 def slice_of(order_col: str, bounds: list[int]) -> Column:

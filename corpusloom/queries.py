@@ -12,7 +12,7 @@ import corpusloom as cl
 from corpusloom.functions.idstrings import byte_string, ids_of
 from corpusloom.operators.packing import END_OF_TEXT, shard_name
 from corpusloom.operators.pretokens import order_stride
-from corpusloom.session import scratch_path
+from corpusloom.session import scratch_path, stage_table
 
 # Parameters shared with the SQL side.
 TRAINED_ROUNDS = 12
@@ -83,7 +83,8 @@ def choice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def byte_tokens_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.tokenize_documents(documents(spark, sf_dir), byte_model())
+    """Staged, as packing and counting read it more than once."""
+    return stage_table(cl.tokenize_documents(documents(spark, sf_dir), byte_model()), "tokens")
 
 
 def byte_shards(spark: SparkSession, sf_dir: str, size: int = SHARD_SIZE) -> DataFrame:
@@ -94,8 +95,12 @@ def byte_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.shard_manifest(byte_shards(spark, sf_dir))
 
 
+def plan_of(manifest: DataFrame, split: str) -> DataFrame:
+    return cl.batch_plan(manifest.where(F.col("split") == split), BATCH, SEQ, WORLD)
+
+
 def byte_plan(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
-    return cl.batch_plan(byte_manifest(spark, sf_dir).where(F.col("split") == split), BATCH, SEQ, WORLD)
+    return plan_of(byte_manifest(spark, sf_dir), split)
 
 
 def byte_rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,8 +329,9 @@ def q_tokenize_documents(spark, sf_dir):
 
 def q_validate_token_ids(spark, sf_dir):
     """Documents that a 7-bit id bound would reject, with the number of offending ids."""
-    bad = cl.invalid_token_ids(byte_tokens_of(spark, sf_dir), bound=128)
-    checked = cl.validate_token_ids(byte_tokens_of(spark, sf_dir), bound=BYTE_VOCAB)
+    tokens = byte_tokens_of(spark, sf_dir)
+    bad = cl.invalid_token_ids(tokens, bound=128)
+    checked = cl.validate_token_ids(tokens, bound=BYTE_VOCAB)
     sizes = checked.select("doc_id", F.size("tokens").alias("n_tokens"))
     return bad.select("doc_id", F.size("bad_ids").alias("n_bad")).join(sizes, "doc_id")
 
@@ -379,8 +385,9 @@ def q_epochs(spark, sf_dir):
 
 
 def q_materialize_batches(spark, sf_dir):
-    shards = byte_shards(spark, sf_dir).where(F.col("split") == "train")
-    batches = cl.materialize_batches(shards, byte_plan(spark, sf_dir, "train"), BATCH, SEQ)
+    shards = byte_shards(spark, sf_dir)
+    plan = plan_of(cl.shard_manifest(shards), "train")
+    batches = cl.materialize_batches(shards.where(F.col("split") == "train"), plan, BATCH, SEQ)
     return batches.select(
         "rank",
         "batch_index",
@@ -462,10 +469,11 @@ def q_choice_examples(spark, sf_dir):
 
 
 def q_validation_loss(spark, sf_dir):
-    shards = byte_shards(spark, sf_dir).where(F.col("split") == "valid")
-    plan = cl.validation_batches(byte_plan(spark, sf_dir, "valid"), VALIDATION_BATCHES)
-    batches = cl.materialize_batches(shards, plan, BATCH, SEQ)
-    losses = cl.batch_losses(batches, byte_bigrams(spark, sf_dir), BYTE_VOCAB)
+    tokens = byte_tokens_of(spark, sf_dir)
+    shards = cl.pack_shards(tokens, SHARD_SIZE)
+    plan = cl.validation_batches(plan_of(cl.shard_manifest(shards), "valid"), VALIDATION_BATCHES)
+    batches = cl.materialize_batches(shards.where(F.col("split") == "valid"), plan, BATCH, SEQ)
+    losses = cl.batch_losses(batches, cl.bigram_counts(tokens), BYTE_VOCAB)
     return rounded(cl.validation_loss(losses), "val_loss")
 
 

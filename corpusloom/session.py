@@ -50,3 +50,13 @@ def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and keep it in the shared checkpoint folder, so that lost executors only cost a re-read."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    Unlike a checkpoint it is columnar: a later job that needs two narrow columns reads only those.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

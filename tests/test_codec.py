@@ -48,10 +48,12 @@ def test_whole_text_encoding_is_greedy(texts, corpus, count):
     assert found == [plain.encode(text, merges) for text in corpus]
 
 
+@pytest.mark.parametrize("word_fold", [0, 1000])
 @pytest.mark.parametrize("strategy,count,pattern", [
     ("fold", 12, cl.GPT4PAT), ("fold", 80, cl.GPT2PAT), ("dictionary", 80, cl.GPT4PAT), ("dictionary", 0, cl.GPT4PAT),
 ])
-def test_pretoken_encoding(texts, corpus, strategy, count, pattern):
+def test_pretoken_encoding(texts, corpus, monkeypatch, strategy, count, pattern, word_fold):
+    monkeypatch.setattr(codec, "WORD_FOLD_MERGES", word_fold)
     merges = random_merges(random.Random(count), count)
     model = cl.TokenizerModel(merges, pattern)
     found = tokens_of(cl.encode_corpus(texts(corpus), model, strategy=strategy))
