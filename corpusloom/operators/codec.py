@@ -7,6 +7,8 @@ rank order gives the same tokens.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,20 @@ HOT_ROWS = 500_000
 HOT_BYTES = 64 << 20
 # Up to this many merges a single pre-token tries them all; with more it looks up which can apply to it.
 WORD_FOLD_MERGES = 256
+# Kinds of bytes that tell words from what is between them: letters, digits, space, other white space, bytes of
+# characters outside ASCII, and the rest.
+_LETTERS = {value for value in range(128) if chr(value).isalpha()}
+_DIGITS = set(range(48, 58))
+_BLANKS = set(range(9, 14))
+_HIGH = set(range(128, 256))
+BYTE_KINDS = (
+    _LETTERS,
+    _DIGITS,
+    {32},
+    _BLANKS,
+    _HIGH,
+    set(range(256)) - _LETTERS - _DIGITS - {32} - _BLANKS - _HIGH,
+)
 # Longer pre-tokens try every merge instead of looking up their substrings.
 SUBSTRING_LIMIT = 128
 
@@ -62,40 +78,78 @@ def encode_corpus(
     """Add the token ids of ``text_col`` as ``ARRAY<INT>``.
 
     ``mode="text"`` merges over the whole text, ``mode="pretoken"`` inside each match of the split pattern.
-    ``strategy`` applies to the latter: ``fold`` works in place without a shuffle at a cost of merges x text,
-    ``dictionary`` encodes each distinct pre-token once and looks the rest up; ``auto`` picks by the number of merges.
+    ``strategy="fold"`` works in place without a shuffle at a cost of merges x text; ``"dictionary"`` encodes each
+    distinct piece of the texts once and looks the rest up.  ``"auto"`` takes the dictionary when there are many merges
+    and the texts fall into words.  Both give the same ids.
     """
-    merges = model.merges
-    if mode == "text":
-        return df.withColumn(out, encode_text(F.col(text_col), model))
-    if mode != "pretoken":
+    if mode not in ("text", "pretoken"):
         raise ValueError(f"unknown mode {mode!r}")
     if strategy == "auto":
-        strategy = "fold" if len(merges) <= FOLD_MERGES else "dictionary"
+        in_words = mode == "pretoken" or model.pattern is not None
+        strategy = "dictionary" if in_words and len(model.merges) > FOLD_MERGES else "fold"
+    text = F.col(text_col)
     if strategy == "fold":
-        return df.withColumn(out, encode_pieces(F.col(text_col), model, pattern))
+        ids = encode_text(text, model) if mode == "text" else encode_pieces(text, model, pattern)
+        return df.withColumn(out, ids)
     if strategy != "dictionary":
         raise ValueError(f"unknown strategy {strategy!r}")
-    return _encode_by_dictionary(df, model, pattern or model.pattern or GPT4PAT, text_col, id_col, out)
+    if mode == "text":
+        pieces, to_seq = free_segments(text, model), _as_is
+    else:
+        pieces, to_seq = pretokenize(text, pattern or model.pattern or GPT4PAT), byte_string
+    return _encode_by_dictionary(df, model, pieces, to_seq, id_col, out)
+
+
+def _as_is(seq: Column) -> Column:
+    return seq
+
 
+def _byte_class(values: Iterable[int]) -> str:
+    return "[" + "".join(f"\\x{{{value:02x}}}" for value in sorted(values)) + "]"
 
-def encode_words(words: DataFrame, model: TokenizerModel, word_col: str = "pretoken", out: str = "merged") -> DataFrame:
-    """Add the merged id string of each (distinct) ``word_col``.
+
+def free_segments(text: Column, model: TokenizerModel) -> Column:
+    """The bytes of a text as an array of id strings between which no merge of the model can happen.
+
+    Two neighbouring bytes can only end up in one token if some token holds them side by side.  Bytes are taken in a few
+    kinds, and a text is cut after a byte where no byte of its kind goes on to the next byte inside any token; the
+    kinds only make the cuts fewer, never wrong.
+    """
+    follows: dict[int, set[int]] = {}
+    for token in model.vocab().values():
+        for first, second in zip(token, token[1:]):
+            follows.setdefault(first, set()).add(second)
+    cuts = []
+    for kind in BYTE_KINDS:
+        stopped = set(range(256)).difference(*(follows.get(value, ()) for value in kind))
+        if stopped:
+            cuts.append(f"(?<={_byte_class(kind)})(?={_byte_class(stopped)})")
+    seq = byte_string(text)
+    return F.split(seq, "|".join(cuts)) if cuts else F.array(seq)
+
+
+def encode_words(
+    words: DataFrame,
+    model: TokenizerModel,
+    word_col: str = "piece",
+    out: str = "merged",
+    to_seq: Callable[[Column], Column] = byte_string,
+) -> DataFrame:
+    """Add the merged id string of each (distinct) ``word_col``; ``to_seq`` turns a word into its bytes.
 
     Only merges whose bytes occur in a word can apply to it, so with many merges a word looks up its substrings among
     the tokens and passes over the hits alone.  The frame stays partitioned by the word throughout.
     """
     if len(model.merges) <= WORD_FOLD_MERGES:
-        return words.withColumn(out, merge_string(byte_string(F.col(word_col)), model))
+        return words.withColumn(out, merge_string(to_seq(F.col(word_col)), model))
     vocab = model.vocab()
     longest = max((len(vocab[token_id]) for _, _, token_id in model.merges), default=1)
     spark = words.sparkSession
     # Several merges can produce the same bytes: the token table is bounded by the id range and broadcast.
     tokens = spark.createDataFrame(
         [(vocab[k].decode("latin-1"), k, triple(left, right, k)) for left, right, k in model.merges],
-        "piece string, token_id int, triple string",
+        "token string, token_id int, triple string",
     )
-    seq = byte_string(F.col(word_col))
     size = F.length("_seq")
     substrings = F.flatten(
         F.transform(
@@ -106,11 +160,11 @@ def encode_words(words: DataFrame, model: TokenizerModel, word_col: str = "preto
             ),
         )
     )
-    keyed = words.withColumn("_seq", seq)
+    keyed = words.withColumn("_seq", to_seq(F.col(word_col)))
     looked_up = (
         keyed.where((size > 1) & (size <= SUBSTRING_LIMIT))
-        .select(word_col, F.explode(F.array_distinct(substrings)).alias("piece"))
-        .join(F.broadcast(tokens), "piece")
+        .select(word_col, F.explode(F.array_distinct(substrings)).alias("token"))
+        .join(F.broadcast(tokens), "token")
         .groupBy(word_col)
         .agg(F.sort_array(F.collect_set(F.struct("token_id", "triple"))).alias("_hits"))
     )
@@ -137,7 +191,7 @@ def _hot_threshold(dictionary: DataFrame) -> int:
         dictionary.groupBy(F.length(F.bin("n")).alias("bits"))
         .agg(
             F.count(F.lit(1)).alias("rows"),
-            F.sum(F.octet_length("pretoken") + F.octet_length("merged")).alias("size"),
+            F.sum(F.octet_length("piece") + F.octet_length("merged")).alias("size"),
         )
         .orderBy(F.desc("bits"))
         .collect()
@@ -152,27 +206,31 @@ def _hot_threshold(dictionary: DataFrame) -> int:
 
 
 def _encode_by_dictionary(
-    df: DataFrame, model: TokenizerModel, pattern: str, text_col: str, id_col: str, out: str
+    df: DataFrame,
+    model: TokenizerModel,
+    pieces: Column,
+    to_seq: Callable[[Column], Column],
+    id_col: str,
+    out: str,
 ) -> DataFrame:
-    """Encode each distinct pre-token once, then look every occurrence up.
+    """Encode each distinct piece once, then look every occurrence up.
 
     The documents are partitioned by id while they are still compact text, and stay so until they are put together
-    again.  Frequent pre-tokens are looked up in a broadcast table of bounded size; only occurrences of the remaining
+    again.  Frequent pieces are looked up in a broadcast table of bounded size; only occurrences of the remaining
     rare ones are shuffled.
     """
-    pieces = pretokenize(F.col(text_col), pattern)
     words = (
-        df.select(F.explode(pieces).alias("pretoken"))
-        .where(F.col("pretoken") != "")
-        .groupBy("pretoken")
+        df.select(F.explode(pieces).alias("piece"))
+        .where(F.col("piece") != "")
+        .groupBy("piece")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    dictionary = materialize(encode_words(words, model))
-    entries = dictionary.select("pretoken", "merged")
+    dictionary = materialize(encode_words(words, model, to_seq=to_seq))
+    entries = dictionary.select("piece", "merged")
     threshold = _hot_threshold(dictionary)
 
-    placed = df.select(id_col, text_col).repartition(id_col)
-    occurrences = placed.select(id_col, F.posexplode(pieces).alias("idx", "pretoken")).where(F.col("pretoken") != "")
+    placed = df.repartition(id_col)
+    occurrences = placed.select(id_col, F.posexplode(pieces).alias("idx", "piece")).where(F.col("piece") != "")
 
     def in_order(parts: Column) -> Column:
         ordered = F.transform(F.sort_array(parts), lambda part: part["merged"])
@@ -180,21 +238,21 @@ def _encode_by_dictionary(
 
     if threshold <= 1:
         merged = (
-            occurrences.join(F.broadcast(entries), "pretoken")
+            occurrences.join(F.broadcast(entries), "piece")
             .groupBy(id_col)
             .agg(in_order(F.collect_list(F.struct("idx", "merged"))).alias("_merged"))
         )
     else:
         is_hot = F.col("n") >= threshold
-        hot = dictionary.where(is_hot).select("pretoken", "merged")
-        marked = occurrences.join(F.broadcast(hot), "pretoken", "left")
+        hot = dictionary.where(is_hot).select("piece", "merged")
+        marked = occurrences.join(F.broadcast(hot), "piece", "left")
         known = marked.groupBy(id_col).agg(
             F.collect_list(F.when(F.col("merged").isNotNull(), F.struct("idx", "merged"))).alias("_known")
         )
         rare = (
             marked.where(F.col("merged").isNull())
-            .select(id_col, "idx", "pretoken")
-            .join(dictionary.where(~is_hot).select("pretoken", "merged"), "pretoken")
+            .select(id_col, "idx", "piece")
+            .join(dictionary.where(~is_hot).select("piece", "merged"), "piece")
             .groupBy(id_col)
             .agg(F.collect_list(F.struct("idx", "merged")).alias("_rare"))
         )
@@ -202,7 +260,7 @@ def _encode_by_dictionary(
         merged = known.join(rare, id_col, "left").select(
             id_col, in_order(F.concat("_known", F.coalesce("_rare", nothing))).alias("_merged")
         )
-    # A text without pre-tokens has no occurrence and still keeps its row.
+    # A text without pieces has no occurrence and still keeps its row.
     joined = df.join(merged, id_col, "left")
     return joined.withColumn(out, ids_of(F.coalesce("_merged", F.lit("")), model.max_id)).drop("_merged")
 

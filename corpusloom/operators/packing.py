@@ -70,7 +70,7 @@ def assign_split(shard: Column) -> Column:
 def pack_shards(
     df: DataFrame, shard_size: int, order_col: str = "doc_id", slices: int | None = None
 ) -> DataFrame:
-    """``(split, shard, shard_pos, order_col, tokens)``: the stream cut at every multiple of ``shard_size``.
+    """``(split, shard, shard_pos, order_col, n_tokens, tokens)``: the stream cut at every multiple of ``shard_size``.
 
     A document at a border is split, one longer than a shard is split several times; the last shard is shorter.
     """
@@ -93,6 +93,7 @@ def pack_shards(
         F.col("shard").cast("int").alias("shard"),
         (left - F.col("shard") * size).alias("shard_pos"),
         order_col,
+        taken.cast("bigint").alias("n_tokens"),
         F.slice("tokens", (left - F.col("begin") + 1).cast("int"), taken).alias("tokens"),
     )
 
@@ -103,10 +104,10 @@ def shard_name(prefix: str) -> Column:
 
 
 def shard_manifest(shards: DataFrame, prefix: str = "corpus") -> DataFrame:
-    """Per shard: name, token count and documents touched (a document has one piece in a shard)."""
+    """Per shard: name, token count and documents touched (a document has one piece in a shard); reads no tokens."""
     return (
         shards.groupBy("split", "shard")
-        .agg(F.sum(F.size("tokens").cast("bigint")).alias("n_tokens"), F.count(F.lit(1)).alias("n_docs"))
+        .agg(F.sum("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("n_docs"))
         .select("split", "shard", shard_name(prefix).alias("name"), "n_tokens", "n_docs")
     )
 

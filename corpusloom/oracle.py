@@ -317,6 +317,8 @@ ORACLE: dict[str, str] = {
     "save_load_tokenizer": f'WITH {TRAINED} SELECT rank, l AS "left", r AS "right", id AS token_id FROM m',
     "encode_text": f"WITH {TRAINED} SELECT doc_id, {_DIGEST} FROM "
     f"(SELECT doc_id, {_merged(_codes('text'))} AS s FROM documents)",
+    "encode_text_dictionary": f"WITH {TRAINED} SELECT doc_id, {_DIGEST} FROM "
+    f"(SELECT doc_id, {_merged(_codes('text'))} AS s FROM documents)",
     "encode_pretoken": f"WITH {ENCODED} SELECT doc_id, {_DIGEST} FROM enc",
     "encode_pretoken_dictionary": f"WITH {ENCODED} SELECT doc_id, {_DIGEST} FROM enc",
     "decode": "SELECT doc_id, md5(text) AS digest, CAST(length(text) AS INT) AS n_chars FROM documents",

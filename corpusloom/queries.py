@@ -298,6 +298,12 @@ def q_encode_text(spark, sf_dir):
     return digest(encoded, "doc_id")
 
 
+def q_encode_text_dictionary(spark, sf_dir):
+    model = trained_model(spark, sf_dir)
+    encoded = cl.encode_corpus(documents(spark, sf_dir), model, mode="text", strategy="dictionary")
+    return digest(encoded, "doc_id")
+
+
 def q_encode_pretoken(spark, sf_dir):
     return digest(cl.encode_corpus(documents(spark, sf_dir), trained_model(spark, sf_dir), strategy="fold"), "doc_id")
 

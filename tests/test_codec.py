@@ -48,6 +48,24 @@ def test_whole_text_encoding_is_greedy(texts, corpus, count):
     assert found == [plain.encode(text, merges) for text in corpus]
 
 
+@pytest.mark.parametrize("count", [0, 12, 80])
+def test_whole_texts_fall_into_free_segments(texts, corpus, monkeypatch, count):
+    monkeypatch.setattr(codec, "WORD_FOLD_MERGES", 40)
+    merges = random_merges(random.Random(count), count)
+    docs = texts(corpus)
+    model = cl.TokenizerModel(merges, cl.GPT4PAT)
+    expected = [plain.encode(text, merges) for text in corpus]
+    assert tokens_of(cl.encode_corpus(docs, model, mode="text", strategy="dictionary")) == expected
+    cut = docs.select("doc_id", F.array_join(codec.free_segments(F.col("text"), model), "").alias("joined"))
+    assert [r["joined"] for r in cut.orderBy("doc_id").collect()] == [t.encode().decode("latin-1") for t in corpus]
+
+
+def test_segments_are_words_for_word_bound_merges(texts):
+    model = cl.TokenizerModel([(116, 104, 256), (32, 256, 257), (257, 101, 258)], cl.GPT4PAT)
+    row = texts(["in the thin hat, then"]).select(codec.free_segments(F.col("text"), model).alias("s")).first()
+    assert list(row["s"]) == ["i", "n", " the", " th", "i", "n", " ", "h", "a", "t", ",", " the", "n"]
+
+
 @pytest.mark.parametrize("word_fold", [0, 1000])
 @pytest.mark.parametrize("strategy,count,pattern", [
     ("fold", 12, cl.GPT4PAT), ("fold", 80, cl.GPT2PAT), ("dictionary", 80, cl.GPT4PAT), ("dictionary", 0, cl.GPT4PAT),
