@@ -12,14 +12,14 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.idstrings import GAP, MISSING, byte_string, fold_pairs, ids_of, replace_pairs, triple
+from corpusloom.functions.idstrings import MISSING, byte_string, fold_pairs, id_char, ids_of, replace_pairs, triple
 from corpusloom.functions.patterns import GPT4PAT, pretokenize
 from corpusloom.functions.rendering import readable
 from corpusloom.model import TokenizerModel
 from corpusloom.session import materialize
 
 # Up to this many merges the pass over the whole document is cheaper than a dictionary of its pre-tokens.
-FOLD_MERGES = 512
+FOLD_MERGES = 256
 # Up to this many merges the pass is written out as nested expressions in the compiled stage.
 NESTED_MERGES = 32
 # The part of the dictionary that is sent to every executor: at most so many rows and so many bytes of text.
@@ -59,10 +59,14 @@ def encode_text(text: Column, model: TokenizerModel) -> Column:
 
 
 def encode_pieces(text: Column, model: TokenizerModel, pattern: str | None = None) -> Column:
-    """Ids of a text encoded inside its pre-tokens, in place: the gap characters between them stop every merge."""
+    """Ids of a text encoded inside its pre-tokens, in place: the gap characters between them stop every merge.
+
+    The gap is the id after the last one, which no text and no merge can produce.
+    """
+    gap = id_char(model.max_id + 1)
     pieces = F.transform(pretokenize(text, pattern or model.pattern or GPT4PAT), byte_string)
-    merged = merge_string(F.array_join(pieces, GAP), model)
-    return ids_of(F.replace(merged, F.lit(GAP), F.lit("")), model.max_id)
+    merged = merge_string(F.array_join(pieces, gap), model)
+    return ids_of(F.replace(merged, F.lit(gap), F.lit("")), model.max_id)
 
 
 def encode_corpus(

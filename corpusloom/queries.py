@@ -13,6 +13,7 @@ from corpusloom.functions.idstrings import byte_string, ids_of
 from corpusloom.operators.packing import END_OF_TEXT, shard_name
 from corpusloom.operators.pretokens import order_stride
 from corpusloom.session import scratch_path, stage_table
+from corpusloom.sources.corpus import spread
 
 # Parameters shared with the SQL side.
 TRAINED_ROUNDS = 12
@@ -37,9 +38,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spread over the cores: the table is one file with one row group."""
     docs = cl.read_corpus(spark, sf_dir, ["documents.parquet"], columns=["doc_id", "text", "lang"])
-    return docs.repartition(spark.sparkContext.defaultParallelism)
+    return spread(docs)
 
 
 def byte_model() -> cl.TokenizerModel:

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-TEXT_SCHEMA = "text STRING"
-
 
 def read_corpus(
     spark: SparkSession,
@@ -42,13 +40,20 @@ def read_corpus(
     return df if columns is None else df.select(*columns)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores if it has fewer partitions than that (few files with one row group each).
+
+    A corpus of many files is left as it is scanned: nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def with_corpus_order(df: DataFrame, out: str = "doc_ord") -> DataFrame:
     """Add a dense document number for Parquet without an id: files by path, rows by their place in the file.
 
     Only the path and row index are read for it; the number of rows per file is what is summed globally.
     """
-    from pyspark.sql import Window
-
     at = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
