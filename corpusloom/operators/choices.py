@@ -154,6 +154,12 @@ def choice_examples(
     return (
         first.join(losses, item_col)
         .join(predictions.select(item_col, "pred_norm"), item_col)
-        .select(item_col, "ctx", lines.alias("endings"), F.col("pred_norm").alias("predicted"), F.col("label").alias("actual"))
+        .select(
+            item_col,
+            "ctx",
+            lines.alias("endings"),
+            F.col("pred_norm").alias("predicted"),
+            F.col("label").alias("actual"),
+        )
         .orderBy(item_col)
     )

@@ -72,7 +72,8 @@ def pack_shards(
 ) -> DataFrame:
     """``(split, shard, shard_pos, order_col, n_tokens, tokens)``: the stream cut at every multiple of ``shard_size``.
 
-    ``order_col`` is unique; it is the order of the stream.  A document at a border is split, one longer than a shard is split several times; the last shard is shorter.
+    ``order_col`` is unique; it is the order of the stream.  A document at a border is split, one longer than a shard
+    is split several times; the last shard is shorter.
     """
     size = F.lit(shard_size).cast("bigint")
     placed = df.select(order_col, "tokens").join(token_offsets(df, order_col, slices), order_col)
