@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import grammar_files, packing
+from corpusloom.llm import grammar_files, packing, simhash, substrings
 from corpusloom.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -42,7 +42,17 @@ def op10_grammar_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar_files.read_grammar_files(spark, path)
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_windows(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op6_simhash": op6_simhash,
+    "op9_substrings": op9_substrings,
     "op7_pack": op7_pack,
     "op10_grammar_files": op10_grammar_files,
 }

@@ -87,7 +87,7 @@ def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
     h, have, weight = words, 1, _BASE
     while have * 2 <= n:
         h = h[:-have] * weight + h[have:] if have < len(h) else h[:0]
-        weight, have = weight * weight, have * 2
+        weight, have = U64(int(weight) ** 2 % (1 << 64)), have * 2
     for k in range(have, n):
         h = h[: len(words) - k] * _BASE + words[k:]
     return mix(h[: len(words) - n + 1])
