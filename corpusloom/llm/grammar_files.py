@@ -10,7 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.encoding import END_ID, encoder, part_bases, runs
+from corpusloom.llm.encoding import ENCODED_BYTES, END_ID, encoder, part_bases
+from corpusloom.llm.textbytes import slices
 
 BLOCK_IDS = 1 << 20
 MIN_COUNT = 32
@@ -129,15 +130,16 @@ def write_grammar_files(
 
     def blocks(batches):
         part, block, done = TaskContext.get().partitionId(), 0, 0
-        coder, one = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        coder = encoder(tokenizer)
+        width = np.dtype(coder.kind).itemsize
         held: list[bytes] = []
         names: list[pa.Array] = []
         size = 0
 
         def flush():
             nonlocal held, names, size, block, done
-            counts = [len(b) // 4 for b in held]
-            symbols, rules, base = re_pair(np.frombuffer(b"".join(held), "<u4"))
+            counts = [len(b) // width for b in held]
+            symbols, rules, base = re_pair(np.frombuffer(b"".join(held), coder.kind))
             lengths = expansion_lengths(rules, base)
             docs_of = pa.concat_arrays(names)
             row = pa.RecordBatch.from_arrays(
@@ -159,11 +161,11 @@ def write_grammar_files(
             return row
 
         for batch in batches:
-            for row, end in runs(batch.column(1), 2 << 20):
-                ids = [b + one for b in coder.encode(batch.column(1).slice(row, end - row).to_pylist())]
+            for row, end, data, at in slices(batch.column(1), ENCODED_BYTES):
+                ids = coder.documents(data, at, end_id)
                 held += ids
                 names.append(batch.column(0).slice(row, end - row))
-                size += sum(map(len, ids)) // 4
+                size += sum(map(len, ids)) // width
                 if size >= block_ids:
                     yield flush()
         if held:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from corpusloom.llm.encoding import END_ID, part_bases, staged_ids, unpacked
+from corpusloom.llm.encoding import END_ID, part_bases, staged_ids, widened
 
 LENGTH = 4096
 
@@ -45,7 +45,7 @@ def pack_documents(
             parts = batch.column(1).to_numpy(zero_copy_only=False)
             begins = bases[parts] + batch.column(2).to_numpy(zero_copy_only=False)
             for row, begin in enumerate(begins.tolist()):
-                ids = unpacked(batch.column(4)[row].as_buffer().to_pybytes())
+                ids = widened(batch.column(4)[row].as_py(), batch.column(3)[row].as_py())
                 view = memoryview(ids).cast("B") if len(ids) else b""
                 done = 0
                 while done < len(ids):
