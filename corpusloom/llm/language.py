@@ -10,13 +10,18 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.splits import held_out
 
-DICTIONARY_BYTES = 64 << 10
+DICTIONARY_BYTES = 256 << 10
 SAMPLED = 1_000
-BLOCK = 1 << 14
+BLOCK = 1 << 12
 LEVEL = 3
 MARGIN = 0.01
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_OTHER = re.compile(r"[\W\d_]+")
+
+
+def letters(text: str) -> str:
+    """The lower-case words of a text, in which each run of other characters is one space."""
+    return _OTHER.sub(" ", text.lower()).strip()
 
 
 def learn_dictionaries(
@@ -26,7 +31,7 @@ def learn_dictionaries(
     lang_col: str = "lang",
     text_col: str = "text",
 ) -> dict[str, bytes]:
-    """A raw-content dictionary for each language: distinct sample texts of it, one after the other.
+    """A raw-content dictionary for each language, the most frequent first: sample texts of it, one after the other.
 
     The fit takes a bounded sample: about ``sampled`` texts of each language, those of the smallest text hashes, up to
     ``dictionary_bytes`` a language (a longer text gives what still fits).  The hash limit of a language comes
@@ -37,17 +42,15 @@ def learn_dictionaries(
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
+    order = sorted(counts, key=lambda lang: (-counts[lang], lang))
     limit = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, sampled / n))])[F.col("lang")]
     share = (F.pmod("h", F.lit(1 << 32)) / float(1 << 32)) < limit
     taken = known.where(share).select("lang", "h", F.substring("text", 1, dictionary_bytes).alias("text"))
     taken = taken.groupBy("lang", "h").agg(F.min("text").alias("text"))
     texts: dict[str, list[tuple[int, bytes]]] = {lang: [] for lang in counts}
     for row in taken.toLocalIterator():
-        texts[row["lang"]].append((row["h"], row["text"].encode()))
-    found = {}
-    for lang, rows in sorted(texts.items()):
-        found[lang] = b"\n".join(t for _, t in sorted(rows))[:dictionary_bytes] or lang.encode()
-    return found
+        texts[row["lang"]].append((row["h"], letters(row["text"]).encode()))
+    return {lang: b"\n".join(t for _, t in sorted(texts[lang]))[:dictionary_bytes] for lang in order}
 
 
 def identify(
@@ -61,15 +64,15 @@ def identify(
 ) -> DataFrame:
     """``doc_id, lang_pred, score, margin, rejected`` of every text.
 
-    A text is compressed whole, in blocks of ``block`` bytes, with each language's dictionary; the smallest sum wins, ties
-    go to the language that sorts first.  ``margin`` is how much smaller it is than the second, as a share of the
+    The whole text's ``letters`` are compressed, in blocks of ``block`` bytes, with each language's dictionary; the
+    smallest sum wins, ties go to the language that comes first in ``dictionaries``.  ``margin`` is how much smaller it is than the second, as a share of the
     second; ``rejected`` says that this is below the threshold.  ``score`` is ``margin`` mapped to 0.5 to 1 by
     ``1 - 1 / (2 + 50 margin)``, so a tie has 0.5.
 
     Defined cases: null text, or a text without a letter, is ``und`` with score 0 and rejected; with one language it
     has margin 1; without any language everything is ``und``; repeated rows are kept; no rows give no rows.
     """
-    names = sorted(dictionaries)
+    names = list(dictionaries)
 
     def run(batches):
         import zstandard
@@ -83,10 +86,10 @@ def identify(
         for batch in batches:
             picked, scores, margins, rejected = [], [], [], []
             for text in batch.column(1).to_pylist():
-                if not text or not names or not _LETTER.search(text):
+                data = letters(text or "").encode()
+                if not data or not names:
                     picked.append(UNKNOWN), scores.append(0.0), margins.append(0.0), rejected.append(True)
                     continue
-                data = text.encode()
                 pieces = [data[i : i + block] for i in range(0, len(data), block)]
                 sizes = [sum(len(t.compress(p)) for p in pieces) for t in tools]
                 ranked = sorted(range(len(names)), key=sizes.__getitem__)
@@ -111,7 +114,8 @@ def identify(
         import zstandard
 
         made = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        made.precompute_compress(level=at)
+        if content:
+            made.precompute_compress(level=at)
         return made
 
     kind = docs.schema[id_col].dataType.simpleString()

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import grammar_files, packing, simhash, substrings
+from corpusloom.llm import grammar_files, language, packing, simhash, substrings
 from corpusloom.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -50,7 +50,12 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_windows(table(spark, sf_dir, "documents"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_held_out(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_language": op3_language,
     "op6_simhash": op6_simhash,
     "op9_substrings": op9_substrings,
     "op7_pack": op7_pack,
