@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import grammar_files, language, packing, simhash, substrings
+from corpusloom.llm import grammar_files, language, packing, quality, simhash, substrings
 from corpusloom.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -54,7 +54,12 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_held_out(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op2_quality": op2_quality,
     "op3_language": op3_language,
     "op6_simhash": op6_simhash,
     "op9_substrings": op9_substrings,
