@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import grammar_files, language, packing, quality, simhash, substrings
+from corpusloom.llm import grammar_files, language, packing, quality, simhash, substrings, topk
 from corpusloom.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -58,7 +58,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op5_topk": op5_topk,
     "op2_quality": op2_quality,
     "op3_language": op3_language,
     "op6_simhash": op6_simhash,
