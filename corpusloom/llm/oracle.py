@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from corpusloom.llm.secrets import KINDS, PATTERNS, REACH
+
 OP5 = """
 WITH usable AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -18,4 +20,60 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op5_topk": OP5}
+_PASSES = {
+    "assign": "length(value) >= 6",
+    "id": "NOT (length(hit) >= 20 AND regexp_full_match(hit, 'AKIA[A-Z0-9]+'))",
+    "key": "regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') "
+    "AND NOT regexp_full_match(hit, '[0-9a-f]{24,}|AKIA[A-Z0-9]{16,}')",
+}
+
+
+def _found(kind: str) -> str:
+    """All matches of a kind with their positions: sums of the lengths of pieces and matches before."""
+    pattern = PATTERNS[kind].replace("'", "''")
+    group = 2 if kind == "assign" else 0
+    return f"""
+  SELECT doc_id, {KINDS.index(kind)} AS kind, start, start + length(hit) AS "end"
+  FROM (
+    SELECT doc_id, hits[i] AS hit, values_[i] AS value,
+           list_sum(list_transform(pieces[1:i], lambda p: length(p)))
+           + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0) AS start
+    FROM (
+      SELECT doc_id, string_split_regex(text, '{pattern}') AS pieces, regexp_extract_all(text, '{pattern}', 0) AS hits,
+             regexp_extract_all(text, '{pattern}', {group}) AS values_,
+             unnest(range(1, len(regexp_extract_all(text, '{pattern}', 0)) + 1)) AS i
+      FROM texts WHERE regexp_matches(text, '{pattern}')
+    )
+  )
+  WHERE {_PASSES.get(kind, "true")}"""
+
+
+def _text_of(condition: str) -> str:
+    return (
+        f"coalesce(string_agg(names[kind + 1] || ':' || start || ':' || \"end\", ',' ORDER BY start, kind) "
+        f"FILTER (WHERE {condition}), '')"
+    )
+
+
+OP1 = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+parts AS ({" UNION ALL ".join(map(_found, KINDS))}
+), linked AS (
+  SELECT w.doc_id, w.kind, w.start, w."end",
+         bool_or(o.kind IN (1, 3)) AS identifier, bool_or(o.kind IN (0, 2, 4)) AS secret
+  FROM parts w JOIN parts o ON w.doc_id = o.doc_id AND w.kind > 2 AND o.kind < 5 AND abs(w.start - o.start) <= {REACH}
+  GROUP BY ALL
+), spans AS (
+  SELECT doc_id, kind, start, "end" FROM parts WHERE kind < 3
+  UNION ALL
+  SELECT doc_id, kind, start, "end" FROM linked
+  WHERE CASE kind WHEN 3 THEN secret WHEN 4 THEN identifier ELSE identifier AND secret END
+)
+SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+       count(*) FILTER (WHERE kind = 2) AS n_hex, sha256({_text_of("kind < 3")}) AS base_sha256,
+       {_text_of("kind IS NOT NULL")} AS spans
+FROM texts LEFT JOIN spans USING (doc_id), (SELECT {KINDS!r} AS names)
+GROUP BY doc_id
+"""
+
+ORACLE: dict[str, str] = {"op1_secrets": OP1, "op5_topk": OP5}

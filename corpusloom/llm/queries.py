@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import grammar_files, language, packing, quality, simhash, substrings, topk
+from corpusloom.llm import grammar_files, language, packing, quality, secrets, simhash, substrings, topk
 from corpusloom.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -62,7 +62,12 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_secrets": op1_secrets,
     "op5_topk": op5_topk,
     "op2_quality": op2_quality,
     "op3_language": op3_language,
