@@ -17,55 +17,68 @@ BLOCK_IDS = 1 << 20
 MIN_COUNT = 32
 RULES_A_ROUND = 4096
 ROUNDS = 8
-_SLOT_BITS = 20
-_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+MIN_GAIN = 1 / 64
+_SLOT_BITS = 18
+_SPREAD = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77))
 
 
 def re_pair(
-    ids: np.ndarray, min_count: int = MIN_COUNT, per_round: int = RULES_A_ROUND, rounds: int = ROUNDS
+    ids: np.ndarray,
+    min_count: int = MIN_COUNT,
+    per_round: int = RULES_A_ROUND,
+    rounds: int = ROUNDS,
+    min_gain: float = MIN_GAIN,
 ) -> tuple[np.ndarray, np.ndarray, int]:
     """``(symbols, rules, base)``: rule k says that symbol ``base + k`` stands for two earlier symbols.
 
     Each round counts all neighbouring pairs, gives the most frequent ones a nonterminal each (``per_round`` at most,
-    none below ``min_count``) and replaces them from the left; it ends after ``rounds`` rounds or when no pair is
-    frequent.  Pairs are counted in hashed slots and one pair of a slot is taken, so a count never exceeds the truth
-    for a slot and a rule always stands for one pair; the ids come back exactly in any case.
+    none below ``min_count``) and replaces them from the left.  It ends after ``rounds`` rounds, when no pair is frequent,
+    or when a round shortens the block by less than ``min_gain``.  Pairs are counted in hashed slots; the first pair of a
+    slot has it, and its own occurrences are counted before it gets a rule.  The ids come back exactly in any case.
     """
     symbols = ids.astype(np.uint32)
     base = int(ids.max()) + 1 if len(ids) else 0
     rules: list[np.ndarray] = []
     names = base
+    slot_count = 1 << _SLOT_BITS
+    owner, name = np.zeros(slot_count, np.int32), np.zeros(slot_count, np.uint32)
     for _ in range(rounds):
         if len(symbols) < 2:
             break
-        pairs = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        slots = ((pairs * _SPREAD) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
-        counts = np.bincount(slots, minlength=1 << _SLOT_BITS)
+        slots = symbols[:-1] * _SPREAD[0]
+        slots ^= (symbols[1:] + np.uint32(1)) * _SPREAD[1]
+        slots >>= np.uint32(32 - _SLOT_BITS)
+        counts = np.bincount(slots, minlength=slot_count)
         frequent = np.flatnonzero(counts >= min_count)
         if len(frequent) > per_round:
             frequent = frequent[np.argsort(-counts[frequent], kind="stable")[:per_round]]
-        wanted = np.zeros(1 << _SLOT_BITS, bool)
+        wanted = np.zeros(slot_count, bool)
         wanted[frequent] = True
         at = np.flatnonzero(wanted[slots])
-        owner = np.zeros(1 << _SLOT_BITS, np.uint64)
-        owner[slots[at[::-1]]] = pairs[at[::-1]]
-        at = at[owner[slots[at]] == pairs[at]]
+        slot = slots[at]
+        owner[slot[::-1]] = at[::-1]
+        first = owner[slot]
+        same = (symbols[first] == symbols[at]) & (symbols[first + 1] == symbols[at + 1])
+        at, slot = at[same], slot[same]
         order = np.arange(len(at))
         opens = np.diff(at, prepend=-2) != 1
-        at = at[(order - np.maximum.accumulate(np.where(opens, order, 0))) % 2 == 0]
-        used = np.bincount(slots[at], minlength=1 << _SLOT_BITS)
-        at = at[used[slots[at]] >= min_count]
+        turn = (order - np.maximum.accumulate(np.where(opens, order, 0))) % 2 == 0
+        at, slot = at[turn], slot[turn]
+        used = np.bincount(slot, minlength=slot_count)
+        often = used[slot] >= min_count
+        at, slot = at[often], slot[often]
         if not len(at):
             break
-        chosen = np.flatnonzero(np.bincount(slots[at], minlength=1 << _SLOT_BITS))
-        name = np.zeros(1 << _SLOT_BITS, np.uint32)
+        chosen = frequent[used[frequent] >= min_count]
         name[chosen] = np.arange(names, names + len(chosen), dtype=np.uint32)
         names += len(chosen)
-        rules.append(np.stack([owner[chosen] >> np.uint64(32), owner[chosen] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        symbols[at] = name[slots[at]]
+        rules.append(np.stack([symbols[owner[chosen]], symbols[owner[chosen] + 1]], 1))
+        symbols[at] = name[slot]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols = symbols[keep]
+        if len(at) < min_gain * len(keep):
+            break
     return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), base
 
 
