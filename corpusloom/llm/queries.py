@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import grammar_files, language, packing, quality, secrets, simhash, substrings, topk
+from corpusloom.llm import decontamination, grammar_files, language, packing, quality, secrets, simhash, substrings, topk
 from corpusloom.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -66,7 +66,13 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 QUERIES = {
+    "op4_decontamination": op4_decontamination,
     "op1_secrets": op1_secrets,
     "op5_topk": op5_topk,
     "op2_quality": op2_quality,
