@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import decontamination, grammar_files, language, packing, quality, secrets, simhash, substrings, topk
+from corpusloom.llm import decontamination, grammar_files, language, language_model, packing, quality, secrets, simhash, substrings, topk
 from corpusloom.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -71,7 +71,16 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_hash")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target corpus is the texts labelled good, the background all texts."""
+    docs = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    models = language_model.train(docs.join(good, "doc_id", "left_semi"), docs)
+    return language_model.cross_entropy_difference(docs, models)
+
+
 QUERIES = {
+    "op8_lm_scoring": op8_lm_scoring,
     "op4_decontamination": op4_decontamination,
     "op1_secrets": op1_secrets,
     "op5_topk": op5_topk,
