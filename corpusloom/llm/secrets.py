@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import stage_table
+from corpusloom.llm.staging import staged
 
 REACH = 200
 
@@ -77,8 +77,8 @@ def _is(kind: Column, kinds: tuple[str, ...]) -> Column:
     return kind.isin([KINDS.index(k) for k in kinds])
 
 
-def scan_secrets(docs: DataFrame, reach: int = REACH, text_col: str = "text", stage: bool = True) -> DataFrame:
-    """``docs`` without its text and with ``base`` and ``spans``: arrays of ``(start, kind, end)`` sorted by start and kind.
+def scan_secrets(docs: DataFrame, reach: int = REACH, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` (without its text unless ``keep_text``) with ``base`` and ``spans``: arrays of ``(start, kind, end)`` sorted by start and kind.
 
     ``base`` has the strong kinds (``assign``, ``access``, ``hex``).  ``spans`` adds weak parts that complement each other:
     an identifier (``id``) beside a secret, a secret (``key``) beside an identifier, an ``endpoint`` beside both, where
@@ -92,14 +92,14 @@ def scan_secrets(docs: DataFrame, reach: int = REACH, text_col: str = "text", st
     named ``base``, ``spans`` or ``_row`` are replaced; no rows give no rows.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    kept = [c for c in docs.columns if c not in (text_col, "base", "spans", "_row")]
+    kept = [c for c in docs.columns if c not in ("base", "spans", "_row") and (keep_text or c != text_col)]
     found = docs.select(
         *(F.col(f"`{c}`") for c in kept),
         F.monotonically_increasing_id().alias("_row"),
         F.array_sort(F.concat(*(_spans(text, k) for k in STRONG))).alias("base"),
         F.concat(*(_spans(text, k) for k in KINDS[3:])).alias("_weak"),
     )
-    found = stage_table(found, "spans")
+    found = staged(found, "spans")
     paired = found.where("size(_weak) > 0 AND size(_weak) + size(base) > 1")
     parts = paired.select("_row", F.explode(F.concat("base", "_weak")).alias("p")).select("_row", "p.*")
     home = F.floor(F.col("start") / reach)
@@ -132,3 +132,30 @@ def secret_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return found.select(
         "doc_id", *map(count, STRONG), F.sha2(_rendered(F.col("base")), 256).alias("base_sha256"), _rendered(F.col("spans")).alias("spans")
     )
+
+
+def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", reach: int = REACH) -> DataFrame:
+    """All documents with the same columns; every secret in a text is replaced by ``[secret]``.
+
+    Overlapping spans become one mark.  ``length_col`` is set to the new length where a text changed.  Null stays null.
+    """
+    found = scan_secrets(docs, reach, text_col, keep_text=True)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+
+    def step(done, span):
+        gap = F.substring(text, (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int"))
+        out = F.when(span["start"] >= done["at"], F.concat(done["out"], gap, F.lit("[secret]"))).otherwise(done["out"])
+        return F.struct(F.greatest(done["at"], span["end"]).alias("at"), out.alias("out"))
+
+    def finish(done):
+        return F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text)))
+
+    hit = F.size("spans") > 0
+    clean = F.when(hit, F.aggregate("spans", start, step, finish)).otherwise(F.col(text_col))
+    found = found.withColumn("_clean", clean)
+    changed = {text_col: F.col("_clean")}
+    if length_col in docs.columns:
+        kind = docs.schema[length_col].dataType
+        changed[length_col] = F.when(hit, F.length("_clean").cast(kind)).otherwise(F.col(length_col))
+    return found.select(*(changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))

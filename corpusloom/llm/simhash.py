@@ -6,10 +6,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.llm.components import connected_components
+from corpusloom.llm.staging import staged
 from corpusloom.llm.textbytes import slices, word_bounds
-from corpusloom.session import stage_table
 
 SHINGLE = 3
 SEED = 42
@@ -114,6 +115,42 @@ def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
+def rooted_fingerprints(prints: DataFrame, radius: int) -> DataFrame:
+    """``(fingerprint, root)`` of every distinct fingerprint: ``root`` is one of its component, the same for all."""
+    groups = connected_components(near_links(prints, radius)).withColumnRenamed("node", "fingerprint")
+    distinct = prints.select("fingerprint").distinct()
+    return staged(distinct.join(groups, "fingerprint", "left").select("fingerprint", F.coalesce("root", "fingerprint").alias("root")), "rooted")
+
+
+def keep_one(
+    docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One document of each group of near-duplicates, with all its columns: the smallest id, of equal ids the one read
+    first; a null id stays only where the whole group has none.
+
+    The documents are written once with their fingerprints and a row number; groups are formed from these two narrow
+    columns, and the rows that stay are picked by row number.
+    """
+    at_column, names = docs.columns.index(text_col), docs.columns
+
+    def run(batches):
+        for batch in batches:
+            bits = [_fingerprints(data, at, shingle, seed).view(np.int64) for _, _, data, at in slices(batch.column(at_column))]
+            if bits:
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(np.concatenate(bits))], names=[*(f"c{i}" for i in range(len(names))), "_print"]
+                )
+
+    schema = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema)] + [T.StructField("_print", T.LongType())])
+    rows = staged(docs.mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), "printed")
+    narrow = rows.select(F.col(f"c{names.index(id_col)}").alias("doc_id"), F.col("_print").alias("fingerprint"), "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first")
+    roots = rooted_fingerprints(narrow, radius)
+    best = narrow.groupBy("fingerprint").agg(first).join(roots, "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
+    stay = rows.join(best.select(F.col("first._row").alias("_row")), "_row", "left_semi")
+    return stay.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = SHINGLE,
@@ -128,15 +165,11 @@ def near_duplicates(
     each; null ids do not count as smallest, and a group of null ids alone has a null component; no rows give no rows;
     other columns are ignored.
     """
-    prints = stage_table(fingerprints(docs, shingle, seed, id_col, text_col), "prints")
-    groups = connected_components(near_links(prints, radius))
+    prints = staged(fingerprints(docs, shingle, seed, id_col, text_col), "prints")
     least = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
-    rooted = least.join(groups.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
-    rooted = stage_table(rooted, "rooted")
-    smallest = stage_table(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
-    named = stage_table(rooted.join(smallest, "root").select("fingerprint", "component_id"), "named")
+    rooted = staged(least.join(rooted_fingerprints(prints, radius), "fingerprint"), "least")
+    smallest = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
+    named = staged(rooted.join(smallest, "root").select("fingerprint", "component_id"), "named")
     return prints.join(named, "fingerprint").select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
