@@ -5,6 +5,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from corpusloom.oracle import ORACLE
+from corpusloom.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 FAST = [
@@ -17,7 +19,9 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(ORACLE) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_flagship(spark):
