@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.splits import held_out
-from corpusloom.llm.textbytes import mix, row_of, slices, span_hashes, text_buffer, word_bounds
+from corpusloom.llm.textbytes import mix, row_of, slices, span_hashes, word_bounds
 
 LABELLED = 4_000
 DIMENSIONS = 32
@@ -82,8 +82,8 @@ class NeighbourModel:
 
 def fit(texts: list[str], labels: list[int], dimensions: int = DIMENSIONS) -> NeighbourModel:
     """Latent dimensions are the leading singular vectors of the centred term weights."""
-    data, at = text_buffer(pa.array(texts, pa.large_string()))
-    weights = features(data, at)
+    column = pa.array(texts, pa.large_string())
+    weights = np.concatenate([np.zeros((0, SHAPES + WORDS + LAGS), np.float32), *(features(d, at) for _, _, d, at in slices(column, 1 << 19))])
     mean = weights.mean(0) if len(texts) else np.zeros(weights.shape[1], np.float32)
     centred = (weights - mean).astype(np.float64)
     _, vectors = np.linalg.eigh(centred.T @ centred)
