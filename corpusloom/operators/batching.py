@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.plans.offsets import div, small_side
+
 
 def rank_totals(manifest: DataFrame, batch_size: int, seq_len: int, world: int) -> DataFrame:
     """``(shard, rank, batches, first_index)`` from ``(shard, n_tokens)``: one row per shard and rank.
@@ -18,7 +20,7 @@ def rank_totals(manifest: DataFrame, batch_size: int, seq_len: int, world: int)
         "shard", F.col("n_tokens"), F.explode(F.sequence(F.lit(0), F.lit(world - 1))).alias("rank")
     )
     ahead = F.col("rank") * F.lit(n) + n + 1  # tokens needed for the first batch of the rank
-    further = F.floor((F.col("n_tokens") - ahead + n * world - 1) / F.lit(n * world))
+    further = div(F.col("n_tokens") - ahead + n * world - 1, n * world)
     short = F.raise_error(F.lit("a shard is shorter than the first batch of a rank")).cast("bigint")
     batches = F.when(F.col("n_tokens") < ahead, short).otherwise(F.greatest(F.lit(1), further))
     earlier = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -46,7 +48,7 @@ def epochs(plan: DataFrame, steps: int) -> DataFrame:
     """``(epoch, rank, batch_index, shard, start)`` for ``steps`` batches per rank; after the last shard the first
     one follows again.  ``batch_index`` keeps counting."""
     totals = plan.groupBy("rank").agg(F.count(F.lit(1)).alias("total"))
-    last_epoch = F.floor((F.lit(steps) - 1 - F.col("batch_index")) / F.col("total"))
+    last_epoch = div(F.lit(steps) - 1 - F.col("batch_index"), F.col("total"))
     return (
         plan.where(F.col("batch_index") < steps)
         .join(F.broadcast(totals), "rank")  # one row per rank
@@ -77,7 +79,7 @@ def accumulation_steps(batch_tokens: int, batch_size: int, seq_len: int, world:
 def with_steps(plan: DataFrame, batch_tokens: int, batch_size: int, seq_len: int, world: int) -> DataFrame:
     """Add ``(step, micro)``: the optimizer step of a batch and its place in that step."""
     accum = F.lit(accumulation_steps(batch_tokens, batch_size, seq_len, world)).cast("bigint")
-    return plan.withColumn("step", F.floor(F.col("batch_index") / accum)).withColumn(
+    return plan.withColumn("step", div(F.col("batch_index"), accum)).withColumn(
         "micro", F.col("batch_index") % accum
     )
 
@@ -102,9 +104,9 @@ def token_chunks(shards: DataFrame, seq_len: int) -> DataFrame:
     length = F.lit(seq_len).cast("bigint")
     begin = F.col("shard_pos")
     end = begin + F.size("tokens")
-    first = F.greatest(F.floor((begin + length - 1) / length) - 1, F.lit(0))
+    first = F.greatest(div(begin + length - 1, length) - 1, F.lit(0))
     pieces = shards.where(F.size("tokens") > 0).select(
-        "shard", "shard_pos", "tokens", F.explode(F.sequence(first, F.floor((end - 1) / length))).alias("chunk")
+        "shard", "shard_pos", "tokens", F.explode(F.sequence(first, div(end - 1, length))).alias("chunk")
     )
     left = F.greatest(F.col("chunk") * length, begin)
     right = F.least((F.col("chunk") + 1) * length + 1, end)
@@ -121,7 +123,11 @@ def token_chunks(shards: DataFrame, seq_len: int) -> DataFrame:
 
 
 def materialize_batches(shards: DataFrame, plan: DataFrame, batch_size: int, seq_len: int) -> DataFrame:
-    """``(epoch, rank, batch_index, row, shard, inputs, targets)``: targets are the inputs one token later."""
+    """``(epoch, rank, batch_index, row, shard, inputs, targets)``: targets are the inputs one token later.
+
+    Only pieces in the planned stretch of each planned shard are cut into chunks.  A planned row whose chunk is missing
+    or short raises.
+    """
     length = F.lit(seq_len).cast("bigint")
     if "epoch" not in plan.columns:
         plan = plan.withColumn("epoch", F.lit(0))
@@ -131,16 +137,25 @@ def materialize_batches(shards: DataFrame, plan: DataFrame, batch_size: int, seq
         "batch_index",
         "shard",
         F.posexplode(
-            F.transform(F.sequence(F.lit(0), F.lit(batch_size - 1)), lambda r: F.floor(F.col("start") / length) + r)
+            F.transform(F.sequence(F.lit(0), F.lit(batch_size - 1)), lambda r: div(F.col("start"), length) + r)
         ).alias("row", "chunk"),
     )
-    chunks = token_chunks(shards, seq_len).where(F.size("ids") == seq_len + 1)
-    return rows.join(chunks, ["shard", "chunk"]).select(
+    # One row per shard: small beside the pieces, and a key of the shards' folders.
+    first, last = F.min(div(F.col("start"), length)), F.max(div(F.col("start"), length)) + F.lit(batch_size - 1)
+    stretch = plan.groupBy("shard").agg(first.alias("_first"), last.alias("_last"))
+    inside = (F.col("shard_pos") < (F.col("_last") + 1) * length + 1) & (
+        F.col("shard_pos") + F.size("tokens") > F.col("_first") * length
+    )
+    needed = shards.join(small_side(stretch), "shard").where(inside).drop("_first", "_last")
+    chunks = token_chunks(needed, seq_len)
+    missing = F.raise_error(F.lit("a planned row is not in the shards")).cast("array<int>")
+    ids = F.when(F.size("ids") == seq_len + 1, F.col("ids")).otherwise(missing)
+    return rows.join(chunks, ["shard", "chunk"], "left").select(
         "epoch",
         "rank",
         "batch_index",
         "row",
         "shard",
-        F.slice("ids", 1, seq_len).alias("inputs"),
-        F.slice("ids", 2, seq_len).alias("targets"),
+        F.slice(ids, 1, seq_len).alias("inputs"),
+        F.slice(ids, 2, seq_len).alias("targets"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.model import ID_BOUND, TokenizerModel
 from corpusloom.operators.codec import encode_corpus
-from corpusloom.plans.offsets import running_offset
+from corpusloom.plans.offsets import div, running_offset
 
 END_OF_TEXT = "<|endoftext|>"
 VALID, TRAIN = "valid", "train"
@@ -36,17 +36,17 @@ def tokenize_documents(
 
 
 def _out_of_bounds(bound: int):
-    return lambda token_id: (token_id < 0) | (token_id >= bound)
+    return lambda token_id: token_id.isNull() | (token_id < 0) | (token_id >= bound)
 
 
 def invalid_token_ids(df: DataFrame, bound: int = ID_BOUND, id_col: str = "doc_id") -> DataFrame:
-    """Documents with ids outside ``[0, bound)``, and those ids."""
+    """Documents with null ids or ids outside ``[0, bound)``, and those ids."""
     bad = F.filter("tokens", _out_of_bounds(bound))
     return df.select(id_col, bad.alias("bad_ids")).where(F.size("bad_ids") > 0)
 
 
 def validate_token_ids(df: DataFrame, bound: int = ID_BOUND) -> DataFrame:
-    """The same frame; reading a row with an id outside ``[0, bound)`` raises."""
+    """The same frame; reading a row with a null id or one outside ``[0, bound)`` raises."""
     bad = F.raise_error(F.lit(f"token id outside [0, {bound})")).cast("array<int>")
     checked = F.when(F.exists("tokens", _out_of_bounds(bound)), bad).otherwise(F.col("tokens"))
     return df.withColumn("tokens", checked)
@@ -72,18 +72,21 @@ def pack_shards(
 ) -> DataFrame:
     """``(split, shard, shard_pos, order_col, n_tokens, tokens)``: the stream cut at every multiple of ``shard_size``.
 
-    ``order_col`` is unique; it is the order of the stream.  A document at a border is split, one longer than a shard
-    is split several times; the last shard is shorter.
+    ``order_col`` is the order of the stream; a null or repeated value raises.  The tokens are shuffled once, with their
+    slice of the order.  A document at a border is split, one longer than a shard is split several times; the last
+    shard is shorter.
     """
     size = F.lit(shard_size).cast("bigint")
-    placed = df.select(order_col, "tokens").join(token_offsets(df, order_col, slices), order_col)
+    length = F.col("n_tokens") if "n_tokens" in df.columns else F.size("tokens")
+    lengths = df.select(order_col, length.cast("bigint").alias("n_tokens"), "tokens")
+    placed = running_offset(lengths, order_col, F.col("n_tokens"), slices=slices)
     begin, end = F.col("offset"), F.col("offset") + F.col("n_tokens")
     pieces = placed.where(F.col("n_tokens") > 0).select(
         order_col,
         "tokens",
         begin.alias("begin"),
         end.alias("end"),
-        F.explode(F.sequence(F.floor(begin / size), F.floor((end - 1) / size))).alias("shard"),
+        F.explode(F.sequence(div(begin, size), div(end - 1, size))).alias("shard"),
     )
     left = F.greatest(F.col("shard") * size, F.col("begin"))
     right = F.least((F.col("shard") + 1) * size, F.col("end"))
@@ -117,4 +120,4 @@ def plan_shards(manifest: DataFrame, total_size: int | None, shard_size: int) ->
     """Planned number of full shards (``total_size // shard_size``) against the shards and tokens found."""
     found = manifest.agg(F.count(F.lit(1)).alias("found"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens"))
     total = F.col("tokens") if total_size is None else F.lit(total_size).cast("bigint")
-    return found.select(F.floor(total / F.lit(shard_size)).alias("planned"), "found", "tokens")
+    return found.select(div(total.cast("bigint"), F.lit(shard_size).cast("bigint")).alias("planned"), "found", "tokens")

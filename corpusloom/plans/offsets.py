@@ -13,30 +13,61 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bounds on the plan: cut points per query, those asked for at first, and rows that one sort should hold.
-MAX_SLICES = 8192
-FIRST_SLICES = 512
-ROWS_PER_SLICE = 1_000_000
+from corpusloom.session import stage_table
 
+# Bounds on the plan: cut points, cells of a histogram, and passes that split crowded cells.
+MAX_SLICES = 32_768
+CELLS = 4_096
+HISTOGRAM_PASSES = 4
+ROWS_PER_SLICE = 200_000
+# One row per file or split is broadcast up to this many (about 100 bytes each).
+MAX_BROADCAST_ROWS = 1_000_000
 
-def _quantiles(df: DataFrame, order_col: str, slices: int) -> tuple[int, list[int]]:
-    shares = [i / slices for i in range(1, slices)]
-    cuts = F.percentile_approx(order_col, shares, F.lit(10 * slices)) if shares else F.lit(None)
-    rows, found = df.agg(F.count(order_col), cuts).first()
-    return rows, list(found or [])
+
+def div(a: Column, b: Column | int) -> Column:
+    """Whole-number division, exact over the whole of BIGINT (both sides not negative)."""
+    return F.call_function("div", a, F.lit(b) if isinstance(b, int) else b)
+
+
+def small_side(rows: DataFrame) -> DataFrame:
+    """``rows`` marked for a broadcast if they are counted to be few enough, else as they are."""
+    return F.broadcast(rows) if rows.count() <= MAX_BROADCAST_ROWS else rows
 
 
 def slice_bounds(df: DataFrame, order_col: str, slices: int | None = None) -> list[int]:
-    """Cut points of ``order_col`` into slices of about equal row counts (one job that reads that column)."""
-    if slices is not None:
-        return sorted(set(_quantiles(df, order_col, max(1, min(slices, MAX_SLICES)))[1]))
-    rows, cuts = _quantiles(df, order_col, FIRST_SLICES)
-    wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_SLICE))
-    if wanted > FIRST_SLICES:
-        cuts = _quantiles(df, order_col, min(wanted, MAX_SLICES))[1]
-    else:
-        cuts = [cuts[i * FIRST_SLICES // wanted - 1] for i in range(1, wanted)] if cuts else []
-    return sorted(set(cuts))
+    """Cut points of ``order_col`` into slices of about equal row counts.
+
+    Keys are counted in equally wide cells; cells that hold more than two slices are divided and counted again.  A
+    pass reads that one column and returns one row for each cell.
+    """
+    keys = df.select(order_col).where(F.col(order_col).isNotNull())
+    rows, low, high = keys.agg(F.count(order_col), F.min(order_col), F.max(order_col)).first()
+    if not rows:
+        return []
+    wanted = slices or max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_SLICE))
+    share = -(-rows // min(wanted, MAX_SLICES))
+    edges = _even(low, high + 1, CELLS)
+    for _ in range(HISTOGRAM_PASSES):
+        found = keys.groupBy(slice_of(order_col, edges).alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()
+        counts = {row["cell"]: row["n"] for row in found}
+        ends = [low, *edges, high + 1]
+        crowded = [i for i, n in counts.items() if n > 2 * share and ends[i + 1] - ends[i] > 1]
+        if not crowded or len(edges) >= 2 * MAX_SLICES:
+            break
+        parts = max(2, CELLS // len(crowded))
+        edges = sorted(set(edges).union(*(_even(ends[i], ends[i + 1], parts) for i in crowded)))
+    bounds, held = [], 0
+    for i, edge in enumerate(edges):
+        held += counts.get(i, 0)
+        if held >= share:
+            bounds.append(edge)
+            held = 0
+    return bounds
+
+
+def _even(low: int, high: int, parts: int) -> list[int]:
+    """Inner cut points of ``[low, high)`` into equally wide parts."""
+    return sorted({low + (high - low) * i // parts for i in range(1, parts)} - {low, high})
 
 
 def slice_of(order_col: str, bounds: list[int]) -> Column:
@@ -57,7 +88,11 @@ def slice_of(order_col: str, bounds: list[int]) -> Column:
 def running_offset(
     df: DataFrame, order_col: str, amount: Column, out: str = "offset", slices: int | None = None
 ) -> DataFrame:
-    """Add ``out``: the sum of ``amount`` over all rows with a smaller ``order_col`` (a unique BIGINT)."""
+    """Add ``out``: the sum of ``amount`` over all rows with a smaller ``order_col`` (a unique BIGINT).
+
+    All columns travel with the key, so nothing is joined back.  A null key or two equal keys raise: equal keys are
+    neighbours in their slice.
+    """
     sliced = df.withColumn("_slice", slice_of(order_col, slice_bounds(df, order_col, slices))).withColumn(
         "_amount", amount.cast("bigint")
     )
@@ -68,27 +103,34 @@ def running_offset(
         .agg(F.sum("_amount").alias("_total"))
         .select("_slice", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
     )
-    inside = Window.partitionBy("_slice").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy("_slice").orderBy(order_col)
+    inside = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    refused = F.raise_error(F.concat(F.lit(f"{order_col} is null or repeated: "), F.col(order_col).cast("string")))
+    wrong = F.col(order_col).isNull() | F.coalesce(F.lag(order_col).over(in_order) == F.col(order_col), F.lit(False))
+    placed = sliced.withColumn(out, F.coalesce(F.sum("_amount").over(inside), F.lit(0))).withColumn("_wrong", wrong)
     return (
-        sliced.withColumn(out, F.coalesce(F.sum("_amount").over(inside), F.lit(0)))
-        .join(F.broadcast(bases), "_slice")
-        .withColumn(out, F.col(out) + F.col("_base"))
-        .drop("_slice", "_amount", "_base")
+        placed.join(F.broadcast(bases), "_slice")
+        .withColumn(out, F.when(F.col("_wrong"), refused.cast("bigint")).otherwise(F.col(out) + F.col("_base")))
+        .drop("_slice", "_amount", "_base", "_wrong")
     )
 
 
 def numbered_lines(lines: DataFrame, out: str) -> DataFrame:
     """Add ``out``: 0, 1, 2, … over a file scan, files by path and rows by their place in the file.
 
-    The rows of one split are consecutive in the scan, so a split numbers its own rows; only one row per split takes
-    part in the global running total.
+    The scan is staged once with the place of every line, so each split's numbering and its line count come from the
+    same reading.  The rows of one split are consecutive in the scan; one row per split takes part in the global
+    running total and is broadcast if the splits are few enough, so no text is shuffled.
     """
     split = ["_file", "_block"]
-    tagged = lines.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_at"),
+    tagged = stage_table(
+        lines.select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_at"),
+        ),
+        "lines",
     )
     before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
     bases = (
@@ -97,7 +139,7 @@ def numbered_lines(lines: DataFrame, out: str) -> DataFrame:
         .select(*split, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
     )
     return (
-        tagged.join(bases, split)
+        tagged.join(small_side(bases), split)
         .withColumn(out, F.col("_base") + F.col("_at") - F.col("_first"))
         .drop("_at", "_first", "_base", *split)
     )

@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.plans.offsets import small_side
+
 
 def read_corpus(
     spark: SparkSession,
@@ -52,7 +54,8 @@ def spread(df: DataFrame) -> DataFrame:
 def with_corpus_order(df: DataFrame, out: str = "doc_ord") -> DataFrame:
     """Add a dense document number for Parquet without an id: files by path, rows by their place in the file.
 
-    Only the path and row index are read for it; the number of rows per file is what is summed globally.
+    Only the path and row index are read for it; the number of rows per file is what is summed globally, and one row
+    per file is broadcast if the files are few enough, so no text is shuffled.
     """
     at = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
@@ -61,4 +64,4 @@ def with_corpus_order(df: DataFrame, out: str = "doc_ord") -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
     )
-    return at.join(bases, "_file").withColumn(out, F.col("_base") + F.col("_row")).drop("_file", "_row", "_base")
+    return at.join(small_side(bases), "_file").withColumn(out, F.col("_base") + F.col("_row")).drop("_file", "_row", "_base")

@@ -12,10 +12,11 @@ from corpusloom.operators.packing import TRAIN, VALID
 def write_token_shards(shards: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One directory per ``(split, shard)``, its pieces in stream order in one file.
 
-    A shard has a fixed number of tokens, so no task writes more than the shards hashed to it.
+    Shards are dealt by range to as many tasks as there are shards, so a task writes one or two of them.
     """
+    last = shards.agg(F.max("shard")).first()[0]
     (
-        shards.repartition("split", "shard")
+        shards.repartitionByRange(1 if last is None else last + 1, "shard")
         .sortWithinPartitions("split", "shard", "shard_pos")
         .write.mode(mode)
         .partitionBy("split", "shard")
