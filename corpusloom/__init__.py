@@ -13,11 +13,14 @@ from corpusloom.operators.batching import (
     with_steps,
 )
 from corpusloom.operators.choices import (
+    batch_position_losses,
+    batch_positions,
     choice_accuracy,
     choice_accuracy_by_rank,
     choice_examples,
     choice_predictions,
     choice_scores,
+    cross_entropy,
     pad_choices,
     position_losses,
     render_choices,
@@ -40,6 +43,7 @@ from corpusloom.operators.scoring import (
     bigram_logits,
     bigram_scores,
     step_log_report,
+    stream_bigram_counts,
     validation_loss,
 )
 from corpusloom.operators.training import (

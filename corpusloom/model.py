@@ -1,6 +1,6 @@
 """A trained tokenizer: a few small tables.
 
-The merge list is bounded by the id range (65,280 merges in 16 bits), so the driver holds it; everything that touches
+The merge list and the bytes of its tokens are bounded (``MAX_ID``, ``MAX_VOCAB_BYTES``), so the driver holds them; everything that touches
 a corpus is a DataFrame expression over constants taken from it.
 """
 
@@ -17,6 +17,9 @@ from corpusloom.functions.rendering import readable, render_token
 
 FIRST_MERGE_ID = 256
 ID_BOUND = 1 << 16
+# Bounds of what the driver holds and sends to tasks: ids, and bytes of all tokens together.
+MAX_ID = 1_000_000
+MAX_VOCAB_BYTES = 256 << 20
 VERSION = "v1"
 
 MERGES_SCHEMA = T.StructType(
@@ -51,6 +54,24 @@ TRACE_SCHEMA = T.StructType(
 )
 
 
+def checked_merges(merges: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The merges, if their ids rise and each is made of smaller ids and of a pair of its own.
+
+    Only then is one pass in this order the same as "merge the present pair of lowest id until none is left".
+    """
+    pairs, last = set(), FIRST_MERGE_ID - 1
+    for left, right, token_id in merges:
+        if token_id <= last:
+            raise ValueError(f"merge ids must rise from {FIRST_MERGE_ID}: {token_id} follows {last}")
+        if not (0 <= left < token_id and 0 <= right < token_id) or (left, right) in pairs:
+            raise ValueError(f"merge {token_id} repeats a pair or has parts that are not smaller ids: {left}, {right}")
+        pairs.add((left, right))
+        last = token_id
+    if last >= MAX_ID:
+        raise ValueError(f"token ids must be below {MAX_ID}")
+    return merges
+
+
 class TokenizerModel:
     """Merges in rank order, the split pattern they were trained with (``None``: whole texts), special tokens."""
 
@@ -61,7 +82,7 @@ class TokenizerModel:
         special_tokens: Mapping[str, int] | None = None,
         trace: Iterable | None = None,
     ) -> None:
-        self._merges = None if merges is None else [tuple(map(int, merge)) for merge in merges]
+        self._merges = None if merges is None else checked_merges([tuple(map(int, merge)) for merge in merges])
         self.pattern = pattern
         self.special_tokens: dict[str, int] = {}
         self.trace = list(trace or [])
@@ -89,7 +110,13 @@ class TokenizerModel:
     def vocab(self) -> dict[int, bytes]:
         """Bytes of every id: the 256 single bytes, then each merge as the bytes of its two parts."""
         table = {i: bytes([i]) for i in range(FIRST_MERGE_ID)}
+        size = FIRST_MERGE_ID
         for left, right, token_id in self.merges:
+            if left not in table or right not in table:
+                raise ValueError(f"merge {token_id} has a part that no merge makes")
+            size += len(table[left]) + len(table[right])
+            if size > MAX_VOCAB_BYTES:
+                raise ValueError(f"the tokens take more than {MAX_VOCAB_BYTES} bytes together")
             table[token_id] = table[left] + table[right]
         return table
 

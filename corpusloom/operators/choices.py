@@ -70,25 +70,45 @@ def shifted_positions(rendered: DataFrame, item_col: str = "item_id") -> DataFra
     )
 
 
-def position_losses(logits: DataFrame, rendered: DataFrame, item_col: str = "item_id") -> DataFrame:
-    """``(item, ending_idx, pos, loss, mask)``: cross-entropy of the logits at ``pos`` against the next token.
+def cross_entropy(logits: DataFrame, positions: DataFrame, keys: list[str]) -> DataFrame:
+    """``positions`` with ``loss``: cross-entropy of the logits with the same ``keys`` against ``target``.
 
-    ``logits`` holds one row per position: ``(item, ending_idx, pos, logits ARRAY<number>)``, from any scorer.
+    ``logits`` holds one row per position: ``(*keys, logits ARRAY<number>)``, from any scorer.  A position without a row,
+    or whose target has no logit, raises.
     """
-    positions = shifted_positions(rendered, item_col)
-    joined = positions.join(logits, [item_col, "ending_idx", "pos"])
+    joined = positions.join(logits.select(*keys, "logits"), keys, "left")
     values = F.col("logits")
-    largest = F.array_max(values)
+    missing = F.raise_error(F.lit("a position has no logits")).cast("double")
+    largest = F.when(values.isNull(), missing).otherwise(F.array_max(values).cast("double"))
     total = F.aggregate(
-        values, F.lit(0.0), lambda acc, x: acc + F.exp(x.cast("double") - F.col("largest"))
+        values, F.lit(0.0), lambda acc, x: acc + F.exp(x.cast("double") - F.col("_largest"))
     )
     outside = F.raise_error(F.lit("a token has no logit")).cast("double")
     wanted = F.coalesce(F.get(values, F.col("target")).cast("double"), outside)
-    return joined.withColumn("largest", largest.cast("double")).select(
-        item_col, "ending_idx", "pos", (F.log(total) + F.col("largest") - wanted).alias("loss"), "mask"
+    return joined.withColumn("_largest", largest).select(
+        *positions.columns, (F.log(total) + F.col("_largest") - wanted).alias("loss")
     )
 
 
+def position_losses(logits: DataFrame, rendered: DataFrame, item_col: str = "item_id") -> DataFrame:
+    """``(item, ending_idx, pos, loss, mask)``: cross-entropy of the logits at ``pos`` against the next token."""
+    keys = [item_col, "ending_idx", "pos"]
+    return cross_entropy(logits, shifted_positions(rendered, item_col), keys).select(*keys, "loss", "mask")
+
+
+def batch_positions(batches: DataFrame) -> DataFrame:
+    """``(rank, batch_index, row, pos, prev, target)`` of materialised batches."""
+    steps = F.arrays_zip(F.col("inputs").alias("prev"), F.col("targets").alias("target"))
+    keys = ["rank", "batch_index", "row"]
+    return batches.select(*keys, F.posexplode(steps).alias("pos", "step")).select(*keys, "pos", "step.*")
+
+
+def batch_position_losses(logits: DataFrame, batches: DataFrame) -> DataFrame:
+    """``(rank, batch_index, row, pos, loss)``: cross-entropy of any scorer's logits on training or validation batches."""
+    keys = ["rank", "batch_index", "row", "pos"]
+    return cross_entropy(logits, batch_positions(batches), keys).select(*keys, "loss")
+
+
 def choice_scores(losses: DataFrame, item_col: str = "item_id") -> DataFrame:
     """``(item, ending_idx, sum_loss, avg_loss)`` over the positions whose mask is 1."""
     masked = F.sum(F.col("loss") * F.col("mask"))

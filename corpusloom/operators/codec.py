@@ -12,16 +12,15 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.idstrings import MISSING, byte_string, fold_pairs, id_char, ids_of, replace_pairs, triple
+from corpusloom.functions.idstrings import MISSING, byte_string, fold_pairs, id_char, ids_of, triple
 from corpusloom.functions.patterns import GPT4PAT, pretokenize
 from corpusloom.functions.rendering import readable
 from corpusloom.model import TokenizerModel
-from corpusloom.session import materialize
+from corpusloom.plans.offsets import small_side
+from corpusloom.session import materialize, stage_table
 
 # Up to this many merges the pass over the whole document is cheaper than a dictionary of its pre-tokens.
 FOLD_MERGES = 256
-# Up to this many merges the pass is written out as nested expressions in the compiled stage.
-NESTED_MERGES = 32
 # The part of the dictionary that is sent to every executor: at most so many rows and so many bytes of text.
 HOT_ROWS = 500_000
 HOT_BYTES = 64 << 20
@@ -41,15 +40,12 @@ BYTE_KINDS = (
     _HIGH,
     set(range(256)) - _LETTERS - _DIGITS - {32} - _BLANKS - _HIGH,
 )
-# Longer pre-tokens try every merge instead of looking up their substrings.
-SUBSTRING_LIMIT = 128
+# Reading a character of a string walks the string: substrings of longer pieces are read from windows of this size.
+WINDOW = 64
 
 
 def merge_string(seq: Column, model: TokenizerModel) -> Column:
-    """All merges of the model over an id string."""
-    merges = sorted(model.merges, key=lambda merge: merge[2])
-    if len(merges) <= NESTED_MERGES:
-        return replace_pairs(seq, merges)
+    """All merges of the model, in rank order, over an id string."""
     return fold_pairs(seq, model.merge_triples())
 
 
@@ -76,21 +72,19 @@ def encode_corpus(
     strategy: str = "auto",
     pattern: str | None = None,
     text_col: str = "text",
-    id_col: str = "doc_id",
     out: str = "tokens",
 ) -> DataFrame:
     """Add the token ids of ``text_col`` as ``ARRAY<INT>``.
 
     ``mode="text"`` merges over the whole text, ``mode="pretoken"`` inside each match of the split pattern.
     ``strategy="fold"`` works in place without a shuffle at a cost of merges x text; ``"dictionary"`` encodes each
-    distinct piece of the texts once and looks the rest up.  ``"auto"`` takes the dictionary when there are many merges
-    and the texts fall into words.  Both give the same ids.
+    distinct piece of the texts once and looks the rest up; it stages ``df`` and runs when called.  ``"auto"`` takes the
+    dictionary when there are many merges.  Both give the same ids: null for a null text, whatever the ids of the rows.
     """
     if mode not in ("text", "pretoken"):
         raise ValueError(f"unknown mode {mode!r}")
     if strategy == "auto":
-        in_words = mode == "pretoken" or model.pattern is not None
-        strategy = "dictionary" if in_words and len(model.merges) > FOLD_MERGES else "fold"
+        strategy = "dictionary" if len(model.merges) > FOLD_MERGES else "fold"
     text = F.col(text_col)
     if strategy == "fold":
         ids = encode_text(text, model) if mode == "text" else encode_pieces(text, model, pattern)
@@ -101,7 +95,7 @@ def encode_corpus(
         pieces, to_seq = free_segments(text, model), _as_is
     else:
         pieces, to_seq = pretokenize(text, pattern or model.pattern or GPT4PAT), byte_string
-    return _encode_by_dictionary(df, model, pieces, to_seq, id_col, out)
+    return _encode_by_dictionary(df, model, pieces, to_seq, text_col, out)
 
 
 def _as_is(seq: Column) -> Column:
@@ -154,34 +148,34 @@ def encode_words(
         [(vocab[k].decode("latin-1"), k, triple(left, right, k)) for left, right, k in model.merges],
         "token string, token_id int, triple string",
     )
-    size = F.length("_seq")
+    # Each window goes on far enough for every token that begins in its first WINDOW characters.
+    span = WINDOW + longest - 1
+    windows = F.when(F.length("_seq") <= span, F.array("_seq")).otherwise(
+        F.regexp_extract_all("_seq", F.lit(f"(?s)(?=(.{{1,{span}}})).{{1,{WINDOW}}}"), F.lit(1))
+    )
+    starts = F.sequence(F.lit(1), F.least(F.length("_window") - 1, F.lit(span)))
     substrings = F.flatten(
         F.transform(
-            F.sequence(F.lit(1), size - 1),
+            starts,
             lambda i: F.transform(
-                F.sequence(F.lit(2), F.least(F.lit(longest), size - i + 1)),
-                lambda n: F.substring(F.col("_seq"), i, n),
+                F.sequence(F.lit(2), F.least(F.lit(longest), F.length("_window") - i + 1)),
+                lambda n: F.substring(F.col("_window"), i, n),
             ),
         )
     )
     keyed = words.withColumn("_seq", to_seq(F.col(word_col)))
     looked_up = (
-        keyed.where((size > 1) & (size <= SUBSTRING_LIMIT))
+        keyed.select(word_col, F.explode(windows).alias("_window"))
+        .where(F.length("_window") > 1)
         .select(word_col, F.explode(F.array_distinct(substrings)).alias("token"))
-        .join(F.broadcast(tokens), "token")
+        .join(small_side(tokens), "token")
         .groupBy(word_col)
         .agg(F.sort_array(F.collect_set(F.struct("token_id", "triple"))).alias("_hits"))
     )
     hits = F.transform(F.col("_hits"), lambda hit: hit["triple"])
-    everything = merge_string(F.col("_seq"), model)
     return (
         keyed.join(looked_up, word_col, "left")
-        .withColumn(
-            out,
-            F.when(size > SUBSTRING_LIMIT, everything)
-            .when(F.col("_hits").isNull(), F.col("_seq"))
-            .otherwise(fold_pairs(F.col("_seq"), hits)),
-        )
+        .withColumn(out, F.when(F.col("_hits").isNull(), F.col("_seq")).otherwise(fold_pairs(F.col("_seq"), hits)))
         .drop("_seq", "_hits")
     )
 
@@ -214,59 +208,49 @@ def _encode_by_dictionary(
     model: TokenizerModel,
     pieces: Column,
     to_seq: Callable[[Column], Column],
-    id_col: str,
+    text_col: str,
     out: str,
 ) -> DataFrame:
     """Encode each distinct piece once, then look every occurrence up.
 
-    The documents are partitioned by id while they are still compact text, and stay so until they are put together
-    again.  Frequent pieces are looked up in a broadcast table of bounded size; only occurrences of the remaining
-    rare ones are shuffled.
+    The rows are staged under a number of their own, so null or repeated ids do not matter.  The texts are partitioned
+    by it while they are compact, split once for the dictionary and once for the look-up.  Frequent pieces are looked
+    up in a broadcast table of bounded size; only occurrences of the remaining rare ones are shuffled.
     """
+    rows = stage_table(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
     words = (
-        df.select(F.explode(pieces).alias("piece"))
+        rows.select(F.explode(pieces).alias("piece"))
         .where(F.col("piece") != "")
         .groupBy("piece")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     dictionary = materialize(encode_words(words, model, to_seq=to_seq))
-    entries = dictionary.select("piece", "merged")
     threshold = _hot_threshold(dictionary)
-
-    placed = df.repartition(id_col)
-    occurrences = placed.select(id_col, F.posexplode(pieces).alias("idx", "piece")).where(F.col("piece") != "")
-
-    def in_order(parts: Column) -> Column:
-        ordered = F.transform(F.sort_array(parts), lambda part: part["merged"])
-        return F.array_join(ordered, "")
-
-    if threshold <= 1:
-        merged = (
-            occurrences.join(F.broadcast(entries), "piece")
-            .groupBy(id_col)
-            .agg(in_order(F.collect_list(F.struct("idx", "merged"))).alias("_merged"))
-        )
-    else:
-        is_hot = F.col("n") >= threshold
-        hot = dictionary.where(is_hot).select("piece", "merged")
-        marked = occurrences.join(F.broadcast(hot), "piece", "left")
-        known = marked.groupBy(id_col).agg(
-            F.collect_list(F.when(F.col("merged").isNotNull(), F.struct("idx", "merged"))).alias("_known")
-        )
+    is_hot = F.col("n") >= threshold
+    hot = dictionary.where(is_hot).select("piece", "merged")
+
+    placed = rows.select("_row", text_col).repartition("_row")
+    occurrences = placed.select("_row", F.posexplode(pieces).alias("idx", "piece")).where(F.col("piece") != "")
+    marked = occurrences.join(F.broadcast(hot), "piece", "left")
+    unknown = F.when(F.col("merged").isNull(), F.col("piece")).alias("piece")
+    parts = marked.groupBy("_row").agg(F.collect_list(F.struct("idx", "merged", unknown)).alias("_parts"))
+    if threshold > 1:
+        parts = stage_table(parts, "parts")
         rare = (
-            marked.where(F.col("merged").isNull())
-            .select(id_col, "idx", "piece")
+            parts.select("_row", F.explode(F.filter("_parts", lambda p: p["merged"].isNull())).alias("p"))
+            .select("_row", "p.idx", "p.piece")
             .join(dictionary.where(~is_hot).select("piece", "merged"), "piece")
-            .groupBy(id_col)
-            .agg(F.collect_list(F.struct("idx", "merged")).alias("_rare"))
+            .groupBy("_row")
+            .agg(F.collect_list(F.struct("idx", "merged", F.lit(None).cast("string").alias("piece"))).alias("_rare"))
         )
-        nothing = F.array().cast("array<struct<idx:int,merged:string>>")
-        merged = known.join(rare, id_col, "left").select(
-            id_col, in_order(F.concat("_known", F.coalesce("_rare", nothing))).alias("_merged")
+        known = F.filter("_parts", lambda p: p["merged"].isNotNull())
+        parts = parts.join(rare, "_row", "left").select(
+            "_row", F.when(F.col("_rare").isNull(), known).otherwise(F.concat(known, "_rare")).alias("_parts")
         )
-    # A text without pieces has no occurrence and still keeps its row.
-    joined = df.join(merged, id_col, "left")
-    return joined.withColumn(out, ids_of(F.coalesce("_merged", F.lit("")), model.max_id)).drop("_merged")
+    in_order = F.array_join(F.transform(F.sort_array("_parts"), lambda p: p["merged"]), "")
+    # A text without pieces has no occurrence and still keeps its row; a null text stays null.
+    merged = F.when(F.col(text_col).isNotNull(), F.coalesce(in_order, F.lit("")))
+    return rows.join(parts, "_row", "left").withColumn(out, ids_of(merged, model.max_id)).drop("_row", "_parts")
 
 
 def decode_tokens(tokens: Column, model: TokenizerModel, render_special: bool = False) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.model import ID_BOUND, TokenizerModel
 from corpusloom.operators.codec import encode_corpus
+from corpusloom.operators.pretokens import present
 from corpusloom.plans.offsets import div, running_offset
 
 END_OF_TEXT = "<|endoftext|>"
@@ -28,9 +29,8 @@ def tokenize_documents(
     """
     if eot_id is None:
         eot_id = model.special_tokens[END_OF_TEXT]
-    missing = F.raise_error(F.lit("null text")).cast("string")
-    present = df.withColumn(text_col, F.coalesce(F.col(text_col), missing))
-    encoded = encode_corpus(present, model, text_col=text_col, id_col=id_col, **encode_options)
+    kept = df.withColumn(text_col, present(F.col(text_col)))
+    encoded = encode_corpus(kept, model, text_col=text_col, **encode_options)
     marked = encoded.select(id_col, F.concat(F.array(F.lit(eot_id)), "tokens").alias("tokens"))
     return marked.select(id_col, F.size("tokens").cast("bigint").alias("n_tokens"), "tokens")
 

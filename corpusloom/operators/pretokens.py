@@ -30,11 +30,16 @@ def ordered_key(order: Column, position: Column, stride: int) -> Column:
     )
 
 
+def present(text: Column) -> Column:
+    """The text itself; null raises."""
+    return F.coalesce(text, F.raise_error(F.lit("null text")).cast("string"))
+
+
 def split_pretokens(
     df: DataFrame, pattern: str = GPT4PAT, text_col: str = "text", order_col: str = "doc_id"
 ) -> DataFrame:
-    """One row per pre-token: ``(order_col, split_idx, pretoken)``."""
-    return df.select(order_col, F.posexplode(pretokenize(F.col(text_col), pattern)).alias("split_idx", "pretoken"))
+    """One row per pre-token: ``(order_col, split_idx, pretoken)``; a null text raises."""
+    return df.select(order_col, F.posexplode(pretokenize(present(F.col(text_col)), pattern)).alias("split_idx", "pretoken"))
 
 
 def pretoken_counts(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.choices import shifted_positions
@@ -22,17 +22,38 @@ def bigram_counts(token_rows: DataFrame, tokens_col: str = "tokens") -> DataFram
     )
 
 
+def stream_bigram_counts(shards: DataFrame) -> DataFrame:
+    """``(prev, next, n)`` over the stream of each shard: also across the border of two documents, as batches read it.
+
+    The pairs inside pieces are counted as they are; for the borders only the first and last token of each piece take
+    part.
+    """
+    filled = shards.where(F.size("tokens") > 0)
+    ends = filled.select("shard", "shard_pos", F.get("tokens", F.lit(0)).alias("first"), F.element_at("tokens", -1).alias("prev"))
+    following = Window.partitionBy("shard").orderBy("shard_pos")
+    borders = ends.select("prev", F.lead("first").over(following).alias("next")).where(F.col("next").isNotNull())
+    inside = bigram_counts(filled)
+    across = borders.groupBy("prev", "next").agg(F.count(F.lit(1)).alias("n"))
+    return inside.unionByName(across).groupBy("prev", "next").agg(F.sum("n").alias("n"))
+
+
 def bigram_logits(bigrams: DataFrame, vocab_size: int) -> DataFrame:
     """``(prev, logits)``: add-one smoothed log counts as a dense row per previous token.
 
     A row is ``vocab_size`` numbers, the output of one scorer position; use :func:`bigram_losses` for the losses alone.
+    It is put together from the tokens seen, in order, and runs of zeros between them.
     """
-    seen = F.map_from_entries(F.collect_list(F.struct("next", "n")))
-    ids = F.sequence(F.lit(0), F.lit(vocab_size - 1))
-    dense = F.transform(
-        ids, lambda i: F.log((F.coalesce(F.try_element_at(F.col("seen"), i), F.lit(0)) + 1).cast("double"))
-    )
-    return bigrams.groupBy("prev").agg(seen.alias("seen")).select("prev", dense.alias("logits"))
+    seen = F.sort_array(F.collect_list(F.struct("next", "n")))
+    rows = bigrams.where(F.col("next") < vocab_size).groupBy("prev").agg(seen.alias("seen"))
+    before = F.concat(F.array(F.lit(-1)), F.transform("seen", lambda s: s["next"]))
+
+    def run(entry, last):
+        zeros = F.array_repeat(F.lit(0.0), F.greatest(entry["next"] - last - 1, F.lit(0)).cast("int"))
+        return F.concat(zeros, F.array(F.log((entry["n"] + 1).cast("double"))))
+
+    runs = F.zip_with("seen", F.slice(before, F.lit(1), F.size("seen")), run)
+    rest = F.array_repeat(F.lit(0.0), (F.lit(vocab_size - 1) - F.element_at(before, -1)).cast("int"))
+    return rows.select("prev", F.concat(F.flatten(runs), rest).alias("logits"))
 
 
 def _smoothed_loss(vocab_size: int):

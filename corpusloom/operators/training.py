@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from corpusloom.functions.idstrings import byte_string, char_id, code_of, fold_pairs, id_char, string_array, triple
-from corpusloom.model import FIRST_MERGE_ID, TokenizerModel
-from corpusloom.operators.pretokens import order_stride, ordered_key, pretoken_counts
+from corpusloom.model import FIRST_MERGE_ID, MAX_ID, TokenizerModel
+from corpusloom.operators.pretokens import order_stride, ordered_key, present, pretoken_counts
 from corpusloom.plans.offsets import running_offset
 from corpusloom.session import materialize
 
@@ -37,7 +37,8 @@ PIECE = 64
 
 
 def byte_sequences(df: DataFrame, text_col: str = "text", order_col: str = "doc_id") -> DataFrame:
-    """Every text as one weighted sequence of bytes."""
+    """Every text as one weighted sequence of bytes; a null text raises."""
+    df = df.withColumn(text_col, present(F.col(text_col)))
     stride = order_stride(df, order_col)
     size = F.octet_length(F.col(text_col))
     return df.select(
@@ -204,8 +205,8 @@ def train_bpe(
 
     ``order_col`` is the corpus order (unique, not negative); it decides ties.
     """
-    if vocab_size < FIRST_MERGE_ID:
-        raise ValueError(f"vocab_size must be at least {FIRST_MERGE_ID}")
+    if not FIRST_MERGE_ID <= vocab_size <= MAX_ID:
+        raise ValueError(f"vocab_size must be from {FIRST_MERGE_ID} to {MAX_ID}")
     if pattern is None:
         sequences = byte_sequences(df, text_col, order_col)
     else:

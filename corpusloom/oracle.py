@@ -8,6 +8,7 @@ white-space character before a word and those before it, which is where the look
 from __future__ import annotations
 
 from corpusloom import queries as q
+from corpusloom.functions.patterns import GPT4PAT
 
 # White space as Unicode has it; \s alone is ASCII in this regex dialect.
 WS = r"\t-\r \x{85}\p{Z}"
@@ -77,7 +78,7 @@ def _rounds(rounds: int, pairs) -> str:
     for i in range(rounds):
         steps.append(
             f"t{i} AS MATERIALIZED (SELECT pr, sum(n) AS c, min(k) AS f FROM ({pairs(i)}) GROUP BY pr "
-            f"ORDER BY c DESC, f LIMIT 1)"
+            f"HAVING sum(n) > 1 ORDER BY c DESC, f LIMIT 1)"
         )
         steps.append(
             f"w{i + 1} AS MATERIALIZED (SELECT replace(s, (SELECT pr FROM t{i}), '{_code(256 + i)}') AS s, n, ord "
@@ -97,6 +98,31 @@ TEXT_TRAINED = (
     + _rounds(q.TEXT_ROUNDS, _text_pairs)
 )
 
+_TRACE = 'SELECT rank AS round, l AS "left", r AS "right", id AS token_id, c AS cnt FROM m'
+SOURCES_TRAINED = (
+    f"w0 AS MATERIALIZED (SELECT {_codes('source')} AS s, 1 AS n, row_number() OVER (ORDER BY source) AS ord "
+    "FROM (SELECT DISTINCT source FROM documents)),\n" + _rounds(q.STOPPING_ROUNDS, _text_pairs)
+)
+
+# A long list of merges: the most frequent byte pairs, then each two neighbours among these merges.
+LARGE_MERGES = f"""
+byte_lists AS (SELECT doc_id, string_split(rtrim(s, '|'), '|') AS l FROM
+               (SELECT doc_id, {_codes("text")} AS s FROM documents)),
+byte_pairs AS (SELECT doc_id, unnest(l[1:len(l)-1]) AS a, unnest(l[2:len(l)]) AS b, unnest(range(0, len(l) - 1)) AS i
+               FROM byte_lists),
+common AS (SELECT a || '|' || b || '|' AS pr, row_number() OVER (ORDER BY count(*) DESC, min(doc_id * 16777216 + i)) - 1 AS rank
+           FROM byte_pairs GROUP BY a, b),
+large AS MATERIALIZED (SELECT list(pr || lpad(to_hex(256 + rank), 4, '0') || '|' ORDER BY rank) AS ms FROM (
+    SELECT lower(pr) AS pr, rank FROM common WHERE rank < {q.COMMON_PAIRS}
+    UNION ALL SELECT lower(lpad(to_hex(256 + i), 4, '0') || '|' || lpad(to_hex(257 + i), 4, '0') || '|'), {q.COMMON_PAIRS} + i
+    FROM range(0, {q.PAIRED_MERGES}) AS g(i)))"""
+
+
+def _large(seq: str) -> str:
+    """All merges of the long list in order, over the codes of a text."""
+    return f"list_reduce((SELECT ms FROM large), lambda s, m: replace(s, substr(m, 1, 10), lower(substr(m, 11, 5))), {seq})"
+
+
 # Bytes of every id, as hexadecimal text: single bytes, then one step per merge.
 _VOCAB_STEPS = ["v0 AS (SELECT i AS token_id, lower(lpad(to_hex(i), 2, '0')) AS b FROM range(0, 256) AS g(i))"]
 for _i in range(q.TRAINED_ROUNDS):
@@ -200,9 +226,10 @@ padded AS MATERIALIZED (SELECT *, CAST(max(n_ctx + n_end) OVER (PARTITION BY ite
 _BIGRAM_TABLES = """
 bigrams AS MATERIALIZED (SELECT a, b, count(*) AS n FROM (
     SELECT unnest(l[1:len(l)-1]) AS a, unnest(l[2:len(l)]) AS b
-    FROM (SELECT string_split(rtrim(s, '|'), '|') AS l FROM doc_codes)) GROUP BY a, b),
+    FROM (SELECT string_split(rtrim(string_agg(s, '' ORDER BY shard_pos), '|'), '|') AS l
+          FROM shards WHERE split = 'train' GROUP BY shard)) GROUP BY a, b),
 bigram_totals AS MATERIALIZED (SELECT a, sum(n) AS n FROM bigrams GROUP BY a)"""
-BIGRAMS = f"{DOC_CODES},{_BIGRAM_TABLES}"
+BIGRAMS = f"{_shards(q.SHARD_SIZE)},{_BIGRAM_TABLES}"
 
 
 def _loss(table: str) -> str:
@@ -275,6 +302,11 @@ def _specials_hit() -> str:
     return f"SELECT * FROM ({rows}) WHERE docs > 0"
 
 
+_VAL_PAIRS = (
+    f"{_BIGRAM_TABLES}, val_pairs AS (SELECT rank, batch_index, \"row\", CAST(i AS INT) AS pos, "
+    f"substr(inputs, 5 * i + 1, 4) AS a, substr(targets, 5 * i + 1, 4) AS b FROM batches, range(0, {q.SEQ}) AS g(i))"
+)
+
 ORACLE: dict[str, str] = {
     "read_corpus": "SELECT doc_id, octet_length(encode(text)) AS n_bytes FROM documents",
     "read_corpus_lang": "SELECT lang, count(*) AS docs, max(doc_id) AS last_doc FROM documents "
@@ -287,7 +319,8 @@ ORACLE: dict[str, str] = {
     "pretokenize_gpt4": _pieces_digest(GPT4_SQL),
     "pretokenize_custom": "SELECT doc_id, CAST(len(ps) AS INT) AS n_pieces, md5(array_to_string(ps, '␟')) AS digest "
     f"FROM (SELECT doc_id, regexp_extract_all(text, {_text(q.CUSTOM_PATTERN)}) AS ps FROM documents)",
-    "split_pretokens": "SELECT doc_id, count(*) AS n, CAST(max(idx) AS INT) AS last_idx, max(p) AS last_pretoken FROM "
+    "split_pretokens": "SELECT doc_id, count(*) AS n, CAST(max(idx) AS INT) AS last_idx, "
+    "md5(string_agg(p, '␟' ORDER BY idx)) AS digest FROM "
     "(SELECT doc_id, unnest(ps) AS p, generate_subscripts(ps, 1) - 1 AS idx FROM (SELECT doc_id, "
     f"regexp_extract_all(text, {_text(q.CUSTOM_PATTERN)}) AS ps FROM documents)) GROUP BY doc_id",
     "pretoken_counts": f"WITH {OCCURRENCES} SELECT p AS pretoken, count(*) AS n, "
@@ -300,6 +333,8 @@ ORACLE: dict[str, str] = {
     "train_bpe_text": f'WITH {TEXT_TRAINED} SELECT rank AS round, l AS "left", r AS "right", id AS token_id, c AS cnt '
     "FROM m",
     "train_bpe_pretoken": f'WITH {TRAINED} SELECT rank, l AS "left", r AS "right", id AS token_id FROM m',
+    "train_bpe_long": f"WITH {WORDS}, {_rounds(q.LONG_ROUNDS, _word_pairs)} {_TRACE}",
+    "train_bpe_stops": f"WITH {SOURCES_TRAINED} {_TRACE}",
     "merge_trace": f'WITH {TRAINED} SELECT rank AS round, l AS "left", r AS "right", id AS token_id, c AS cnt FROM m',
     "merges_pretty": f"WITH {_NAMES} SELECT m.rank, '[' || a.s || '][' || b.s || '] -> [' || c.s || ']' AS merge "
     "FROM m JOIN names a ON a.token_id = m.l JOIN names b ON b.token_id = m.r JOIN names c ON c.token_id = m.id",
@@ -314,13 +349,20 @@ ORACLE: dict[str, str] = {
     "special_tokens": f"WITH {VOCAB} SELECT '<|endoftext|>' AS token, CAST(count(*) AS INT) AS token_id FROM vocab "
     "UNION ALL SELECT '<|' || lang || '|>', CAST(row_number() OVER (ORDER BY lang) + (SELECT count(*) FROM vocab) "
     "AS INT) FROM (SELECT DISTINCT lang FROM documents)",
-    "save_load_tokenizer": f'WITH {TRAINED} SELECT rank, l AS "left", r AS "right", id AS token_id FROM m',
+    "save_load_tokenizer": f"WITH {TRAINED} SELECT 'merge' AS kind, l || ' ' || r AS value, id AS token_id FROM m "
+    f"UNION ALL SELECT 'special', '<|endoftext|>', {256 + q.TRAINED_ROUNDS} "
+    f"UNION ALL SELECT 'pattern', {_text(GPT4PAT)}, NULL",
     "encode_text": f"WITH {TRAINED} SELECT doc_id, {_DIGEST} FROM "
     f"(SELECT doc_id, {_merged(_codes('text'))} AS s FROM documents)",
     "encode_text_dictionary": f"WITH {TRAINED} SELECT doc_id, {_DIGEST} FROM "
     f"(SELECT doc_id, {_merged(_codes('text'))} AS s FROM documents)",
     "encode_pretoken": f"WITH {ENCODED} SELECT doc_id, {_DIGEST} FROM enc",
     "encode_pretoken_dictionary": f"WITH {ENCODED} SELECT doc_id, {_DIGEST} FROM enc",
+    "encode_text_large": f"WITH {LARGE_MERGES} SELECT doc_id, {_DIGEST} FROM "
+    f"(SELECT doc_id, {_large(_codes('text'))} AS s FROM documents)",
+    "encode_pretoken_large": f"WITH {OCCURRENCES}, {LARGE_MERGES}, merged AS MATERIALIZED (SELECT p, "
+    f"{_large(_codes('p'))} AS s FROM (SELECT DISTINCT p FROM occ)) SELECT doc_id, {_DIGEST} FROM (SELECT doc_id, "
+    "string_agg(merged.s, '' ORDER BY idx) AS s FROM occ JOIN merged USING (p) GROUP BY doc_id)",
     "decode": "SELECT doc_id, md5(text) AS digest, CAST(length(text) AS INT) AS n_chars FROM documents",
     "round_trip_report": f"WITH {ENCODED} SELECT lang, count(*) AS docs, count(*) AS exact, "
     "CAST(sum(octet_length(encode(d.text))) AS BIGINT) AS bytes, CAST(sum(length(s) // 5) AS BIGINT) AS tokens, "
@@ -329,8 +371,9 @@ ORACLE: dict[str, str] = {
     "special_token_audit": _specials_hit(),
     "tokenize_documents": f"WITH {ENCODED} SELECT doc_id, {_DIGEST} FROM "
     f"(SELECT doc_id, '{_code(256 + q.TRAINED_ROUNDS)}' || s AS s FROM enc)",
-    "validate_token_ids": f"WITH {DOC_CODES} SELECT doc_id, CAST(len(regexp_extract_all(s, "
-    "'0[1-9a-f]..\\||00[89a-f].\\|')) AS INT) AS n_bad, CAST(n_tokens AS INT) AS n_tokens FROM placed",
+    "validate_token_ids": "SELECT doc_id, CAST(nullif(bad, 0) AS INT) AS n_bad, "
+    "CAST(CASE WHEN bad = 0 THEN n END AS INT) AS n_tokens FROM (SELECT doc_id, octet_length(encode(text)) AS n, "
+    "len(list_filter(regexp_extract_all(lower(hex(encode(text))), '..'), lambda b: b >= '80')) AS bad FROM documents)",
     "token_offsets": f'WITH {DOC_CODES} SELECT doc_id, n_tokens, o AS "offset" FROM placed',
     "pack_shards": f"WITH {_shards(q.SHARD_SIZE)} SELECT split, shard, shard_pos, doc_id, {_DIGEST} FROM shards",
     "pack_small_shards": f"WITH {_shards(q.SMALL_SHARD_SIZE)} SELECT split, shard, shard_pos, doc_id, {_DIGEST} "
@@ -378,11 +421,12 @@ ORACLE: dict[str, str] = {
     "s.ending_idx = c.j JOIN preds p ON p.item_id = c.item_id WHERE c.item_id IN (SELECT item_id FROM benchmark "
     "ORDER BY item_id LIMIT 9) GROUP BY c.item_id, c.ctx",
     "validation_loss": f"WITH {_epochs('valid', q.VALIDATION_BATCHES)}, {_batches('epochs')}, "
-    f"{_BIGRAM_TABLES}, val_pairs AS (SELECT rank, batch_index, substr(inputs, 5 * i + 1, 4) AS a, substr(targets, 5 * i + 1, 4) AS b "
-    f"FROM batches, range(0, {q.SEQ}) AS g(i)), val_batch AS (SELECT rank, batch_index, avg(loss) AS loss "
+    f"{_VAL_PAIRS}, val_batch AS (SELECT rank, batch_index, avg(loss) AS loss "
     f"FROM {_loss('val_pairs')} GROUP BY rank, batch_index), val_rank AS (SELECT rank, avg(loss) AS loss, "
     f"count(*) AS batches FROM val_batch GROUP BY rank) SELECT round(avg(loss), {q.DIGITS}) AS val_loss, "
     "CAST(sum(batches) AS BIGINT) AS batches, count(*) AS ranks FROM val_rank",
+    "batch_position_losses": f"WITH {_epochs('valid', q.VALIDATION_BATCHES)}, {_batches('epochs')}, {_VAL_PAIRS} "
+    f'SELECT rank, batch_index, "row", pos, round(loss, {q.DIGITS}) AS loss FROM {_loss("val_pairs")}',
     "step_log_report": f"""WITH log AS (SELECT event_id // 8 AS step, value AS loss, ts AS t0,
         lead(ts) OVER (ORDER BY event_id) AS t1 FROM events),
     agg AS (SELECT step, avg(loss) AS loss, epoch_us(max(t1)) - epoch_us(min(t0)) AS micros FROM log GROUP BY step)

@@ -18,6 +18,10 @@ from corpusloom.sources.corpus import spread
 # Parameters shared with the SQL side.
 TRAINED_ROUNDS = 12
 TEXT_ROUNDS = 4
+LONG_ROUNDS = 100
+STOPPING_ROUNDS = 12
+COMMON_PAIRS = 256
+PAIRED_MERGES = 64
 CUSTOM_PATTERN = r"\p{L}+|\p{N}+|[^\p{L}\p{N}]+"
 MERGED_PAIR = (116, 104, 256)
 SHARD_SIZE = 100_000
@@ -46,12 +50,15 @@ def byte_model() -> cl.TokenizerModel:
     return cl.TokenizerModel(merges=[], special_tokens={END_OF_TEXT: BYTE_EOT})
 
 
-_trained: dict[tuple[str, str], cl.TokenizerModel] = {}
+_trained: dict[tuple, cl.TokenizerModel] = {}
 
 
 def trained_model(spark: SparkSession, sf_dir: str) -> cl.TokenizerModel:
-    """The tokenizer of this folder's documents; trained once per application and used by many queries."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    """The tokenizer of this folder's documents, used by many queries: trained once for each version of the files."""
+    files = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
+    )
+    key = (spark.sparkContext.applicationId, *sorted(map(tuple, files.distinct().collect())))
     if key not in _trained:
         model = cl.train_bpe(documents(spark, sf_dir), 256 + TRAINED_ROUNDS, cl.GPT4PAT)
         model.add_special_tokens({END_OF_TEXT: model.vocab_size})
@@ -59,6 +66,15 @@ def trained_model(spark: SparkSession, sf_dir: str) -> cl.TokenizerModel:
     return _trained[key]
 
 
+def large_model(spark: SparkSession, sf_dir: str, pattern: str | None) -> cl.TokenizerModel:
+    """A long list of merges: the most frequent byte pairs, then each two neighbours among these merges."""
+    pairs = cl.pair_counts(cl.byte_sequences(documents(spark, sf_dir)))
+    common = pairs.orderBy(F.desc("cnt"), "first_key").limit(COMMON_PAIRS).collect()
+    merges = [(row["left"], row["right"], 256 + rank) for rank, row in enumerate(common)]
+    merges += [(256 + i, 257 + i, 256 + COMMON_PAIRS + i) for i in range(PAIRED_MERGES)]
+    return cl.TokenizerModel(merges, pattern)
+
+
 def choice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items from the benchmark texts: the first half of the words is the context, the true ending the second half."""
     texts = spark.read.parquet(f"{sf_dir}/benchmark.parquet").withColumn("words", F.split("text", " "))
@@ -107,8 +123,12 @@ def byte_rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.pad_choices(cl.render_choices(choice_items(spark, sf_dir), byte_model()))
 
 
+def train_bigrams(shards: DataFrame) -> DataFrame:
+    return cl.stream_bigram_counts(shards.where(F.col("split") == "train"))
+
+
 def byte_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.bigram_counts(byte_tokens_of(spark, sf_dir))
+    return train_bigrams(byte_shards(spark, sf_dir))
 
 
 def bigram_position_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,7 +215,11 @@ def q_pretokenize_custom(spark, sf_dir):
 def q_split_pretokens(spark, sf_dir):
     rows = cl.split_pretokens(documents(spark, sf_dir), CUSTOM_PATTERN)
     return rows.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n"), F.max("split_idx").alias("last_idx"), F.max("pretoken").alias("last_pretoken")
+        F.count(F.lit(1)).alias("n"),
+        F.max("split_idx").alias("last_idx"),
+        F.md5(
+            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("split_idx", "pretoken"))), lambda r: r["pretoken"]), "␟")
+        ).alias("digest"),
     )
 
 
@@ -248,6 +272,19 @@ def q_train_bpe_pretoken(spark, sf_dir):
     return cl.train_bpe(documents(spark, sf_dir), 256 + TRAINED_ROUNDS, cl.GPT4PAT).merges_table(spark)
 
 
+def q_train_bpe_long(spark, sf_dir):
+    """Enough merges for several rewrites of the sequences."""
+    return cl.train_bpe(documents(spark, sf_dir), 256 + LONG_ROUNDS, cl.GPT4PAT).trace_table(spark)
+
+
+def q_train_bpe_stops(spark, sf_dir):
+    """Training over the names of the sources ends when no pair occurs twice, long before the rounds asked for."""
+    names = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("source").alias("text")).distinct()
+    # A few names, ordered in one task.
+    numbered = names.select("text", F.row_number().over(Window.orderBy("text")).cast("bigint").alias("doc_id"))
+    return cl.train_bpe(numbered, 256 + 2 * STOPPING_ROUNDS).trace_table(spark)
+
+
 def q_merge_trace(spark, sf_dir):
     return trained_model(spark, sf_dir).trace_table(spark)
 
@@ -286,10 +323,16 @@ def q_special_tokens(spark, sf_dir):
 
 
 def q_save_load_tokenizer(spark, sf_dir):
+    """Merges, pattern and special tokens that both stored forms give back."""
     path = scratch_path(spark, "tokenizer")
     cl.save_tokenizer(spark, trained_model(spark, sf_dir), path)
-    from_text = cl.load_tokenizer(spark, f"{path}.model").merges_table(spark)
-    from_tables = cl.load_tokenizer(spark, f"{path}.tables").merges_table(spark)
+
+    def contents(model):
+        rows = [("merge", f"{left} {right}", token_id) for left, right, token_id in model.merges]
+        rows += [("special", token, token_id) for token, token_id in model.special_tokens.items()]
+        return spark.createDataFrame([*rows, ("pattern", model.pattern, None)], "kind string, value string, token_id int")
+
+    from_text, from_tables = (contents(cl.load_tokenizer(spark, f"{path}.{form}")) for form in ("model", "tables"))
     return from_text.intersect(from_tables)
 
 
@@ -313,6 +356,15 @@ def q_encode_pretoken_dictionary(spark, sf_dir):
     return digest(encoded, "doc_id")
 
 
+def q_encode_text_large(spark, sf_dir):
+    encoded = cl.encode_corpus(documents(spark, sf_dir), large_model(spark, sf_dir, None), mode="text")
+    return digest(encoded, "doc_id")
+
+
+def q_encode_pretoken_large(spark, sf_dir):
+    return digest(cl.encode_corpus(documents(spark, sf_dir), large_model(spark, sf_dir, cl.GPT4PAT)), "doc_id")
+
+
 def q_decode(spark, sf_dir):
     model = trained_model(spark, sf_dir)
     decoded = cl.decode_corpus(cl.encode_corpus(documents(spark, sf_dir), model), model)
@@ -334,12 +386,13 @@ def q_tokenize_documents(spark, sf_dir):
 
 
 def q_validate_token_ids(spark, sf_dir):
-    """Documents that a 7-bit id bound would reject, with the number of offending ids."""
-    tokens = byte_tokens_of(spark, sf_dir)
-    bad = cl.invalid_token_ids(tokens, bound=128)
-    checked = cl.validate_token_ids(tokens, bound=BYTE_VOCAB)
-    sizes = checked.select("doc_id", F.size("tokens").alias("n_tokens"))
-    return bad.select("doc_id", F.size("bad_ids").alias("n_bad")).join(sizes, "doc_id")
+    """Text bytes under a 7-bit bound: how many ids each document has outside it, and the sizes of those that pass."""
+    ids = documents(spark, sf_dir).select("doc_id", cl.byte_tokens(F.col("text")).alias("tokens"))
+    bad = cl.invalid_token_ids(ids, bound=128).select("doc_id", F.size("bad_ids").alias("n_bad"))
+    good = cl.validate_token_ids(ids.join(bad, "doc_id", "left_anti"), bound=128)
+    return bad.select("doc_id", "n_bad", F.lit(None).cast("int").alias("n_tokens")).unionByName(
+        good.select("doc_id", F.lit(None).cast("int").alias("n_bad"), F.size("tokens").alias("n_tokens"))
+    )
 
 
 def q_token_offsets(spark, sf_dir):
@@ -474,15 +527,30 @@ def q_choice_examples(spark, sf_dir):
     return examples.withColumn("endings", F.array_join("endings", " ## "))
 
 
-def q_validation_loss(spark, sf_dir):
-    tokens = byte_tokens_of(spark, sf_dir)
-    shards = cl.pack_shards(tokens, SHARD_SIZE)
+def _validation(spark, sf_dir):
+    """Staged shards and the materialised validation batches."""
+    shards = stage_table(byte_shards(spark, sf_dir), "shards")
     plan = cl.validation_batches(plan_of(cl.shard_manifest(shards), "valid"), VALIDATION_BATCHES)
-    batches = cl.materialize_batches(shards.where(F.col("split") == "valid"), plan, BATCH, SEQ)
-    losses = cl.batch_losses(batches, cl.bigram_counts(tokens), BYTE_VOCAB)
+    return shards, cl.materialize_batches(shards.where(F.col("split") == "valid"), plan, BATCH, SEQ)
+
+
+def q_validation_loss(spark, sf_dir):
+    shards, batches = _validation(spark, sf_dir)
+    losses = cl.batch_losses(batches, train_bigrams(shards), BYTE_VOCAB)
     return rounded(cl.validation_loss(losses), "val_loss")
 
 
+def q_batch_position_losses(spark, sf_dir):
+    """Losses of the validation batches under dense logits of a scorer, here the smoothed counts."""
+    shards, batches = _validation(spark, sf_dir)
+    rows = cl.bigram_logits(train_bigrams(shards), BYTE_VOCAB)
+    unseen = F.array_repeat(F.lit(0.0), BYTE_VOCAB)
+    logits = cl.batch_positions(batches).join(rows, "prev", "left").select(
+        "rank", "batch_index", "row", "pos", F.coalesce("logits", unseen).alias("logits")
+    )
+    return rounded(cl.batch_position_losses(logits, batches), "loss")
+
+
 def step_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A step log from the events: eight in a row make a step, an event ends when the next one begins."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "value")
