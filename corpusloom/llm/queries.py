@@ -72,10 +72,13 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The target corpus is the texts labelled good, the background all texts."""
+    """The target corpus is the texts labelled good, the background all texts.
+
+    Both grow alike, so the join is a shuffle at every size: a broadcast of the labels would only fit small inputs.
+    """
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    models = language_model.train(docs.join(good, "doc_id", "left_semi"), docs)
+    models = language_model.train(docs.join(good.hint("merge"), "doc_id", "left_semi"), docs)
     return language_model.cross_entropy_difference(docs, models)
 
 
