@@ -105,7 +105,7 @@ def running_offset(
     )
     in_order = Window.partitionBy("_slice").orderBy(order_col)
     inside = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    refused = F.raise_error(F.concat(F.lit(f"{order_col} is null or repeated: "), F.col(order_col).cast("string")))
+    refused = F.raise_error(F.concat_ws(" ", F.lit(f"{order_col} is null or repeated:"), F.col(order_col).cast("string")))
     wrong = F.col(order_col).isNull() | F.coalesce(F.lag(order_col).over(in_order) == F.col(order_col), F.lit(False))
     placed = sliced.withColumn(out, F.coalesce(F.sum("_amount").over(inside), F.lit(0))).withColumn("_wrong", wrong)
     return (

@@ -163,3 +163,38 @@ def test_item_lines_keep_their_number(spark, tmp_path):
     (tmp_path / "bad.jsonl").write_text('{"ctx": \n')
     with pytest.raises(Exception):
         cl.read_choice_items(spark, str(tmp_path / "bad.jsonl")).collect()
+
+
+def test_a_missing_row_of_logits_raises(items, spark):
+    rendered = cl.render_choices(items, BYTES)
+    at = rendered.select("item_id", "ending_idx", F.posexplode("tokens").alias("pos", "prev"))
+    logits = at.select("item_id", "ending_idx", "pos", F.array_repeat(F.lit(0.0), 257).alias("logits"))
+    assert cl.position_losses(logits, rendered).count() > 0
+    with pytest.raises(Exception, match="no logits"):
+        cl.position_losses(logits.where("item_id <> 0 OR pos <> 2"), rendered).collect()
+
+
+def test_losses_of_batches_from_logits(spark):
+    batches = spark.createDataFrame([(0, 0, 0, [1, 2], [2, 0])], "rank int, batch_index bigint, row int, inputs array<int>, targets array<int>")
+    logits = spark.createDataFrame(
+        [(0, 0, 0, 0, [0.0, 1.0, 2.0]), (0, 0, 0, 1, [3.0, 0.0, 0.0])], "rank int, batch_index bigint, row int, pos int, logits array<double>"
+    )
+    found = {r["pos"]: r["loss"] for r in cl.batch_position_losses(logits, batches).collect()}
+    assert math.isclose(found[0], math.log(1 + math.e + math.e**2) - 2) and math.isclose(found[1], math.log(math.e**3 + 2) - 3)
+    with pytest.raises(Exception, match="no logits"):
+        cl.batch_position_losses(logits.where("pos = 0"), batches).collect()
+
+
+def test_counts_of_a_stream_cross_documents_but_not_shards(spark):
+    rows = [(0, 0, [1, 2]), (0, 2, [3]), (0, 3, [1, 2]), (1, 0, [9, 9]), (1, 2, [])]
+    shards = spark.createDataFrame(rows, "shard int, shard_pos bigint, tokens array<int>")
+    found = {(r["prev"], r["next"]): r["n"] for r in cl.stream_bigram_counts(shards).collect()}
+    assert found == {(1, 2): 2, (2, 3): 1, (3, 1): 1, (9, 9): 1}
+
+
+def test_dense_logits(spark):
+    counts = spark.createDataFrame([(5, 0, 3), (5, 4, 1), (6, 7, 2), (6, 9, 8)], "prev int, next int, n bigint")
+    found = {r["prev"]: list(r["logits"]) for r in cl.bigram_logits(counts, 8).collect()}
+    want = {5: [math.log(4), 0, 0, 0, math.log(2), 0, 0, 0], 6: [0] * 7 + [math.log(3)]}
+    assert found.keys() == want.keys()
+    assert all(math.isclose(a, b, abs_tol=1e-12) for prev in want for a, b in zip(found[prev], want[prev], strict=True))

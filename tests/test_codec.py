@@ -150,3 +150,39 @@ def test_rendering(spark):
     df = spark.createDataFrame([(i, bytearray(s)) for i, s in enumerate(samples)], "i int, b binary")
     shown = [r["s"] for r in df.select("i", cl.render_token(F.col("b")).alias("s")).orderBy("i").collect()]
     assert shown == ["a\\u000ab", "\\u0000\\u007f", "é\\u200b\\ue0001", "��", "", "\\"]
+
+
+@pytest.mark.parametrize("count", [0, 31, 33, 255, 257, 2_000])
+def test_one_result_for_all_strategies_and_numbers_of_merges(spark, corpus, count):
+    """Null texts, null and repeated ids, long pieces: the rows come back alike from every path."""
+    merges = random_merges(random.Random(count), count)
+    model = cl.TokenizerModel(merges, cl.GPT4PAT)
+    long = "the hello what ".replace(" ", "") * 40
+    rows = [(i, t) for i, t in enumerate(corpus[:28])] + [(3, "hello two"), (None, "the low"), (None, None), (5, None), (90, long)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+
+    def expected(text, in_pieces):
+        if text is None:
+            return None
+        pieces = regex.findall(cl.GPT4PAT, text) if in_pieces else [text]
+        return [token for piece in pieces for token in plain.encode(piece, merges)]
+
+    for mode in ("text", "pretoken"):
+        want = sorted(((i, t, expected(t, mode == "pretoken")) for i, t in rows), key=repr)
+        for strategy in ("auto", "fold", "dictionary"):
+            found = cl.encode_corpus(docs, model, mode, strategy).collect()
+            got = [(r["doc_id"], r["text"], None if r["tokens"] is None else list(r["tokens"])) for r in found]
+            assert sorted(got, key=repr) == want, (mode, strategy)
+
+
+@pytest.mark.parametrize("merges", [
+    [(97, 98, 257), (98, 99, 256)], [(97, 98, 256), (97, 98, 257)], [(97, 256, 256)], [(97, 98, 255)], [(-1, 98, 256)], [(97, 98, 1_000_000)],
+])
+def test_merges_out_of_order_are_refused(merges):
+    with pytest.raises(ValueError):
+        cl.TokenizerModel(merges)
+
+
+def test_a_part_that_no_merge_makes_is_refused():
+    with pytest.raises(ValueError, match="no merge makes"):
+        cl.TokenizerModel([(97, 256, 300)]).vocab()

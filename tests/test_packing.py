@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpusloom as cl
-from corpusloom.plans.offsets import running_offset
+from corpusloom.plans.offsets import running_offset, slice_bounds
 from tests import plain
 
 BYTES = cl.TokenizerModel([], special_tokens={"<|endoftext|>": 256})
@@ -120,3 +120,31 @@ def test_short_shards_and_uneven_steps_are_refused(spark):
         cl.step_plan(cl.batch_plan(longer, 2, 4, 1), 20, 2, 4, 1)
     steps = cl.step_plan(cl.batch_plan(longer, 2, 4, 1), 16, 2, 4, 1).collect()
     assert [(r["step"], r["micro_batches"], r["full"]) for r in steps] == [(0, 1, False)]
+
+
+@pytest.mark.parametrize("key", [None, 1])
+def test_null_and_repeated_keys_are_refused(spark, key):
+    rows = [(0, [1, 2]), (1, [3]), (key, [4, 5]), (2, [6])]
+    tokens = spark.createDataFrame(rows, "doc_id bigint, tokens array<int>").repartition(3)
+    for job in (lambda: cl.pack_shards(tokens, 3), lambda: cl.token_offsets(tokens)):
+        with pytest.raises(Exception, match="null or repeated"):
+            job().collect()
+
+
+def test_crowded_keys_still_give_slices(spark):
+    keys = [*range(3000), 10**15, 2 * 10**15]
+    df = spark.createDataFrame([(k, 1) for k in keys], "k bigint, a int")
+    bounds = slice_bounds(df, "k", 10)
+    assert 8 <= len(bounds) <= 12
+    found = {r["k"]: r["offset"] for r in running_offset(df, "k", F.col("a"), slices=10).collect()}
+    assert found == {k: i for i, k in enumerate(keys)}
+
+
+def test_rows_missing_from_the_shards_raise(spark):
+    shards = spark.createDataFrame([(0, 0, list(range(9)))], "shard int, shard_pos bigint, tokens array<int>")
+    plan = spark.createDataFrame([(0, 0, 0, 0), (0, 1, 0, 4)], "rank int, batch_index bigint, shard int, start bigint")
+    assert cl.materialize_batches(shards, plan, 1, 4).count() == 2
+    for start, shard in ((8, 0), (0, 1)):
+        more = plan.union(spark.createDataFrame([(0, 2, shard, start)], plan.schema))
+        with pytest.raises(Exception, match="not in the shards"):
+            cl.materialize_batches(shards, more, 1, 4).collect()

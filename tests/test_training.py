@@ -5,7 +5,7 @@ import regex
 from pyspark.sql import functions as F
 
 import corpusloom as cl
-from corpusloom.functions.idstrings import char_id, id_char, ids_of, string_of
+from corpusloom.functions.idstrings import char_id, id_char, ids_of
 from corpusloom.operators import training
 from tests import plain
 
@@ -91,9 +91,10 @@ def test_merge_is_left_to_right(spark):
 def test_id_strings_skip_the_surrogates(spark):
     ids = [0, 65, 255, 256, 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFEFF, 0xFFFF]
     assert [char_id(id_char(i)) for i in ids] == ids
-    df = spark.createDataFrame([(ids,), ([0xFEFF, 1],), ([],)], "ids array<int>")
-    back = df.select(ids_of(string_of(F.col("ids"))).alias("ids")).collect()
-    assert [list(row["ids"]) for row in back] == [ids, [0xFEFF, 1], []]
+    cases = [ids, [0xFEFF, 1], []]
+    df = spark.createDataFrame([("".join(map(id_char, case)),) for case in cases], "s string")
+    back = df.select(ids_of(F.col("s")).alias("ids")).collect()
+    assert [list(row["ids"]) for row in back] == cases
 
 
 def test_order_key_refuses_what_does_not_fit(spark):
@@ -107,3 +108,9 @@ def test_order_key_refuses_what_does_not_fit(spark):
 def test_untrained_model_is_refused():
     with pytest.raises(ValueError):
         cl.TokenizerModel().merges
+
+
+def test_null_texts_raise(texts):
+    for job in (cl.byte_sequences, cl.pretoken_counts):
+        with pytest.raises(Exception, match="null text"):
+            job(texts(["a", None])).collect()
