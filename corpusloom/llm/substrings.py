@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.textbytes import SLICE_BYTES, row_of, slices, span_hashes, window_hashes, word_bounds
+from corpusloom.llm.textbytes import SLICE_BYTES, mix, row_of, slices, span_hashes, window_hashes, word_bounds
 from corpusloom.session import stage_table
 
 WINDOW = 20
@@ -153,7 +153,8 @@ class _Chunk:
             return np.zeros(0, np.uint64), alive, alive
         h = window_hashes(self.words, length)
         at = alive if length == window else _leftmost_smallest(h, window - length + 1)[alive]
-        distinct, which = np.unique(h[at], return_inverse=True)
+        chosen = h[at] if length == window else mix(h[at])  # smallest hashes lie low; mixed again they fill all buckets
+        distinct, which = np.unique(chosen, return_inverse=True)
         return distinct, which, at
 
     def bits(self, level: int, distinct: np.ndarray, buckets: int) -> np.ndarray:
