@@ -87,7 +87,7 @@ def identify(
             picked, scores, margins, rejected = [], [], [], []
             for text in batch.column(1).to_pylist():
                 data = letters(text or "").encode()
-                if not data or not names:
+                if not names or not any(map(str.isalpha, text or "")):
                     picked.append(UNKNOWN), scores.append(0.0), margins.append(0.0), rejected.append(True)
                     continue
                 pieces = [data[i : i + block] for i in range(0, len(data), block)]

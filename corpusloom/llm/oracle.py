@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from corpusloom.llm.secrets import KINDS, PATTERNS, REACH
+from corpusloom.llm.substrings import WINDOW
 
 OP5 = """
 WITH usable AS (
@@ -76,4 +77,24 @@ FROM texts LEFT JOIN spans USING (doc_id), (SELECT {KINDS!r} AS names)
 GROUP BY doc_id
 """
 
-ORACLE: dict[str, str] = {"op1_secrets": OP1, "op5_topk": OP5}
+OP9 = f"""
+WITH split AS (SELECT doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+words AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split),
+windows AS (
+  SELECT *, i + {WINDOW - 1} <= n AS whole, string_agg(word, ' ') OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING) AS seen
+  FROM words
+), again AS (
+  SELECT *, whole AND row_number() OVER (PARTITION BY whole, seen ORDER BY doc_id, i) > 1 AS later FROM windows
+), covered AS (
+  SELECT doc_id, i, word, bool_or(later) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW) AS gone
+  FROM again
+)
+SELECT doc_id, count(word) AS n_words, count(word) FILTER (WHERE gone) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM documents LEFT JOIN covered USING (doc_id)
+GROUP BY doc_id
+"""
+
+ORACLE: dict[str, str] = {"op1_secrets": OP1, "op5_topk": OP5, "op9_substrings": OP9}
