@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from corpusloom.llm.splits import held_out
 
 DICTIONARY_BYTES = 256 << 10
-SAMPLED = 1_000
-BLOCK = 1 << 12
+SAMPLED = 3_000
+EXCERPT = 160
+BLOCK = 1 << 10
 LEVEL = 3
 MARGIN = 0.01
 UNKNOWN = "und"
@@ -28,14 +29,16 @@ def learn_dictionaries(
     docs: DataFrame,
     dictionary_bytes: int = DICTIONARY_BYTES,
     sampled: int = SAMPLED,
+    excerpt: int = EXCERPT,
     lang_col: str = "lang",
     text_col: str = "text",
 ) -> dict[str, bytes]:
-    """A raw-content dictionary for each language, the most frequent first: sample texts of it, one after the other.
+    """A raw-content dictionary for each language, the most frequent first: excerpts of its texts, one after the other.
 
-    The fit takes a bounded sample: about ``sampled`` texts of each language, those of the smallest text hashes, up to
-    ``dictionary_bytes`` a language (a longer text gives what still fits).  The hash limit of a language comes
-    from its row count; one small table of counts and the sample reach the driver.
+    The fit takes a bounded sample: ``excerpt`` characters, at a place that a hash picks, of about ``sampled`` different
+    texts of each language, those of the smallest hashes, up to ``dictionary_bytes``.  Many short excerpts keep a passage
+    of another language within some text from marking that language.  The hash limit of a language comes from its row
+    count; one small table of counts and the excerpts reach the driver.
     """
     known = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     known = known.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("h", F.xxhash64("text"))
@@ -45,7 +48,9 @@ def learn_dictionaries(
     order = sorted(counts, key=lambda lang: (-counts[lang], lang))
     limit = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, sampled / n))])[F.col("lang")]
     share = (F.pmod("h", F.lit(1 << 32)) / float(1 << 32)) < limit
-    taken = known.where(share).select("lang", "h", F.substring("text", 1, dictionary_bytes).alias("text"))
+    place = F.pmod(F.shiftrightunsigned("h", 32), F.greatest(F.length("text") - excerpt, F.lit(1))) + 1
+    part = F.substring("text", place.cast("int"), F.lit(excerpt))
+    taken = known.where(share).select("lang", "h", part.alias("text"))
     taken = taken.groupBy("lang", "h").agg(F.min("text").alias("text"))
     texts: dict[str, list[tuple[int, bytes]]] = {lang: [] for lang in counts}
     for row in taken.toLocalIterator():
