@@ -12,11 +12,12 @@ import time
 
 import corpusloom as cl
 from corpusloom import queries as q
-from corpusloom.session import build_session, stage_table
+from corpusloom.session import build_session, scratch_path, stage_table
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 TRAIN_VOCAB = 320
+LARGE = (1_024, 1_000)  # frequent pairs and pairs of these: a list of 2,024 merges
 
 
 def drain(df) -> None:
@@ -53,11 +54,18 @@ def main() -> None:
     timed("encode_text", lambda: drain(cl.encode_corpus(docs, model, mode="text")))
     timed("encode_pretoken", lambda: drain(cl.encode_corpus(docs, model, strategy="fold")))
     timed("encode_pretoken_dictionary", lambda: drain(cl.encode_corpus(docs, model, strategy="dictionary")))
+    large = timed("pair_list_of_2024", lambda: q.large_model(spark, SF_DIR, cl.GPT4PAT, *LARGE))
+    timed("encode_pretoken_2024", lambda: drain(cl.encode_corpus(docs, large)))
     timed("round_trip_report", lambda: drain(cl.round_trip_report(docs, model)))
     tokens = timed("tokenize_documents", lambda: stage_table(cl.tokenize_documents(docs, model), "tokens"))
+    timed("decode_corpus", lambda: drain(cl.decode_corpus(tokens, model, render_special=True)))
     timed("pack_shards", lambda: drain(cl.pack_shards(tokens, q.SHARD_SIZE)))
     timed("shard_manifest", lambda: drain(cl.shard_manifest(cl.pack_shards(tokens, q.SHARD_SIZE))))
 
+    folder = scratch_path(spark, "bench-shards")
+    timed("write_token_shards", lambda: cl.write_token_shards(cl.pack_shards(tokens, q.SHARD_SIZE), folder))
+    timed("read_token_shards", lambda: drain(cl.read_token_shards(spark, folder, "train")))
+
     def batches():
         shards = cl.pack_shards(tokens, q.SHARD_SIZE).where("split = 'train'")
         plan = cl.batch_plan(cl.shard_manifest(shards), 8, 1024, 1)

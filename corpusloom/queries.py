@@ -66,12 +66,14 @@ def trained_model(spark: SparkSession, sf_dir: str) -> cl.TokenizerModel:
     return _trained[key]
 
 
-def large_model(spark: SparkSession, sf_dir: str, pattern: str | None) -> cl.TokenizerModel:
+def large_model(
+    spark: SparkSession, sf_dir: str, pattern: str | None, common: int = COMMON_PAIRS, paired: int = PAIRED_MERGES
+) -> cl.TokenizerModel:
     """A long list of merges: the most frequent byte pairs, then each two neighbours among these merges."""
     pairs = cl.pair_counts(cl.byte_sequences(documents(spark, sf_dir)))
-    common = pairs.orderBy(F.desc("cnt"), "first_key").limit(COMMON_PAIRS).collect()
-    merges = [(row["left"], row["right"], 256 + rank) for rank, row in enumerate(common)]
-    merges += [(256 + i, 257 + i, 256 + COMMON_PAIRS + i) for i in range(PAIRED_MERGES)]
+    first = pairs.orderBy(F.desc("cnt"), "first_key").limit(common).collect()
+    merges = [(row["left"], row["right"], 256 + rank) for rank, row in enumerate(first)]
+    merges += [(256 + i, 257 + i, 256 + len(first) + i) for i in range(min(paired, len(first) - 1))]
     return cl.TokenizerModel(merges, pattern)
 
 

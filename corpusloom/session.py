@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,14 +28,15 @@ def build_session(app_name: str = "corpusloom", master: str | None = None, **con
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``.  Only a local-mode session without that
-    setting gets a temporary folder; on a cluster a machine-local folder would not survive a lost machine.
+    It is the one the cluster names in ``spark.checkpoint.dir``.  Only a session in one process (``local`` or
+    ``local[n]``) without that setting gets a temporary folder, as in tests; anywhere else the setting is required.
+    Written tables stay until the application's folder is removed; ``cleanCheckpoints`` removes checkpoints earlier.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared:
-            if not context.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             shared = tempfile.mkdtemp(prefix="corpusloom-")
         context.setCheckpointDir(shared)
