@@ -47,7 +47,7 @@ def re_pair(
             break
         slots = symbols[:-1] * _SPREAD[0]
         slots ^= (symbols[1:] + np.uint32(1)) * _SPREAD[1]
-        slots >>= np.uint32(32 - _SLOT_BITS)
+        slots = (slots >> np.uint32(32 - _SLOT_BITS)).astype(np.intp)
         counts = np.bincount(slots, minlength=slot_count)
         frequent = np.flatnonzero(counts >= min_count)
         if len(frequent) > per_round:
@@ -95,8 +95,8 @@ def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     return lengths
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that symbols stand for."""
+def _unfold(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
+    """The ids that symbols stand for, one level of rules at a time."""
     symbols = symbols.astype(np.uint32)
     while len(open_ := np.flatnonzero(symbols >= base)) and len(rules):
         width = np.ones(len(symbols), np.int64)
@@ -108,6 +108,23 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     return symbols
 
 
+def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
+    """The ids that symbols stand for.  Each rule is unfolded once where there are more symbols than rules."""
+    if len(symbols) <= len(rules) or not len(rules):
+        return _unfold(symbols, rules, base)
+    lengths = expansion_lengths(rules, base)
+    unfolded = _unfold(np.arange(base, base + len(rules), dtype=np.uint32), rules, base)
+    begins = np.cumsum(lengths) - lengths
+    rule = np.maximum(symbols.astype(np.int32), base - 1) - (base - 1)  # 0: an id
+    width = np.append(1, lengths).astype(np.int32)[rule]
+    own = np.arange(len(unfolded), len(unfolded) + len(symbols), dtype=np.int32)
+    begin = np.where(rule > 0, np.append(0, begins).astype(np.int32)[rule], own)
+    ends = np.cumsum(width, dtype=np.int32)
+    place = np.repeat(begin - (ends - width), width)
+    place += np.arange(len(place), dtype=np.int32)
+    return np.concatenate([unfolded, symbols.astype(np.uint32)])[place]
+
+
 def decode_range(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int, start: int, end: int) -> np.ndarray:
     """Ids ``start`` to ``end`` of a block: only symbols that reach into the range are expanded."""
     width = np.where(symbols >= base, lengths[np.maximum(symbols.astype(np.int64) - base, 0)] if len(lengths) else 1, 1)
