@@ -44,22 +44,28 @@ def batch_plan(manifest: DataFrame, batch_size: int, seq_len: int, world: int =
     )
 
 
-def epochs(plan: DataFrame, steps: int) -> DataFrame:
+def epochs(plan: DataFrame, steps: int, restart_every: int | None = None) -> DataFrame:
     """``(epoch, rank, batch_index, shard, start)`` for ``steps`` batches per rank; after the last shard the first
-    one follows again.  ``batch_index`` keeps counting."""
+    one follows again.  ``batch_index`` keeps counting.
+
+    With ``restart_every`` each rank goes back to its first batch after so many of them, as a loader that is reset does;
+    ``epoch`` counts the passes since the last restart.
+    """
+    span = steps if restart_every is None else restart_every
+    if span < 1 <= steps:
+        raise ValueError("restart_every must be at least 1")
     totals = plan.groupBy("rank").agg(F.count(F.lit(1)).alias("total"))
-    last_epoch = div(F.lit(steps) - 1 - F.col("batch_index"), F.col("total"))
-    return (
-        plan.where(F.col("batch_index") < steps)
+    last_epoch = div(F.lit(min(span, steps)) - 1 - F.col("batch_index"), F.col("total"))
+    place = F.col("epoch") * F.col("total") + F.col("batch_index")
+    runs = (
+        plan.where(F.col("batch_index") < min(span, steps))
         .join(F.broadcast(totals), "rank")  # one row per rank
         .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_epoch)).alias("epoch"))
-        .select(
-            F.col("epoch").cast("int").alias("epoch"),
-            "rank",
-            (F.col("epoch") * F.col("total") + F.col("batch_index")).alias("batch_index"),
-            "shard",
-            "start",
-        )
+        .select(F.col("epoch").cast("int").alias("epoch"), "rank", place.alias("place"), "shard", "start")
+    )
+    last_round = div(F.lit(steps - 1).cast("bigint") - F.col("place"), max(span, 1))
+    return runs.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_round)).alias("round")).select(
+        "epoch", "rank", (F.col("round") * span + F.col("place")).alias("batch_index"), "shard", "start"
     )
 
 

@@ -185,12 +185,13 @@ plan AS MATERIALIZED (SELECT rank, row_number() OVER (PARTITION BY rank ORDER BY
                 (rank + k * {_W}) * {_N} AS start, k FROM taken)"""
 
 
-def _epochs(split: str, steps: int) -> str:
+def _epochs(split: str, steps: int, restart: int | None = None) -> str:
+    place = f"(i % {restart})" if restart else "i"
     return f"""{_plan(split)},
 totals AS (SELECT rank, count(*) AS total FROM plan GROUP BY rank),
 ticks AS (SELECT rank, total, i FROM totals, range(0, {steps}) AS g(i)),
-epochs AS MATERIALIZED (SELECT CAST(i // total AS INT) AS epoch, t.rank, i AS batch_index, p.shard, p.start
-           FROM ticks t JOIN plan p ON p.rank = t.rank AND p.batch_index = i % total)"""
+epochs AS MATERIALIZED (SELECT CAST({place} // total AS INT) AS epoch, t.rank, i AS batch_index, p.shard, p.start
+           FROM ticks t JOIN plan p ON p.rank = t.rank AND p.batch_index = {place} % total)"""
 
 
 def _batches(plan: str) -> str:
@@ -311,6 +312,8 @@ ORACLE: dict[str, str] = {
     "read_corpus": "SELECT doc_id, octet_length(encode(text)) AS n_bytes FROM documents",
     "read_corpus_lang": "SELECT lang, count(*) AS docs, max(doc_id) AS last_doc FROM documents "
     "WHERE lang IN ('fr', 'es') GROUP BY lang",
+    "read_corpus_lists": "SELECT doc_id, lang, octet_length(encode(text)) AS n_bytes FROM documents "
+    "WHERE (lang = 'en' AND doc_id % 10 IN (3, 7)) OR (lang = 'de' AND doc_id % 10 = 3)",
     "corpus_order": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS doc_ord FROM documents",
     "read_choice_items": f"WITH {ITEMS} SELECT item_id, ctx, label, string_agg(ending, ' ## ' ORDER BY j) AS endings "
     "FROM choices GROUP BY item_id, ctx, label",
@@ -391,6 +394,8 @@ ORACLE: dict[str, str] = {
     "FROM plan GROUP BY shard, rank",
     "epochs": f'WITH {_epochs("train", q.STEPS_PER_RANK)} SELECT epoch, rank, batch_index, shard, start AS "start" '
     "FROM epochs",
+    "epochs_restarted": f'WITH {_epochs("train", q.RESTARTED_STEPS, q.RESTART_EVERY)} SELECT epoch, rank, batch_index, '
+    'shard, start AS "start" FROM epochs',
     "materialize_batches": f'WITH {_plan("train")}, {_batches("plan")} SELECT rank, batch_index, "row", shard, '
     "md5(inputs) AS inputs, md5(targets) AS targets FROM batches",
     "step_plan": f"WITH {_plan('train')} SELECT step, count(*) AS micro_batches, count(*) * {_N} AS tokens, "

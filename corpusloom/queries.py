@@ -28,6 +28,7 @@ SHARD_SIZE = 100_000
 SMALL_SHARD_SIZE = 20_000
 BATCH, SEQ, WORLD = 2, 64, 3
 STEPS_PER_RANK = 8_000
+RESTART_EVERY, RESTARTED_STEPS = 700, 2_000
 STEP_TOKENS = BATCH * SEQ * WORLD * 4
 VALIDATION_BATCHES = 20
 BYTE_EOT = 256
@@ -172,6 +173,18 @@ def q_read_corpus_lang(spark, sf_dir):
     return docs.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("last_doc"))
 
 
+def q_read_corpus_lists(spark, sf_dir):
+    """A dump with a list of part files for each language; the parts hold documents by the last digit of their id."""
+    path = scratch_path(spark, "dump")
+    parts = documents(spark, sf_dir).withColumn("part", F.col("doc_id") % 10)
+    for lang, part in (("en", 3), ("en", 7), ("de", 3), ("fr", 3)):
+        chosen = parts.where((F.col("lang") == lang) & (F.col("part") == part)).select("doc_id", "text")
+        chosen.write.parquet(f"{path}/data/one/{lang}/{part}.parquet")
+    lists = {"en": ["3.parquet", "7.parquet"], "de": ["3.parquet"]}
+    docs = cl.read_corpus(spark, path, lists, dump="one")
+    return docs.select("doc_id", "lang", F.octet_length("text").alias("n_bytes"))
+
+
 def q_corpus_order(spark, sf_dir):
     docs = cl.with_corpus_order(cl.read_corpus(spark, sf_dir, ["documents.parquet"]))
     return docs.select("doc_id", "doc_ord")
@@ -445,6 +458,11 @@ def q_epochs(spark, sf_dir):
     return cl.epochs(byte_plan(spark, sf_dir, "train"), STEPS_PER_RANK)
 
 
+def q_epochs_restarted(spark, sf_dir):
+    """The loader is reset every few batches and begins again at the first shard."""
+    return cl.epochs(byte_plan(spark, sf_dir, "train"), RESTARTED_STEPS, RESTART_EVERY)
+
+
 def q_materialize_batches(spark, sf_dir):
     shards = byte_shards(spark, sf_dir)
     plan = plan_of(cl.shard_manifest(shards), "train")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from corpusloom.plans.offsets import small_side
 def read_corpus(
     spark: SparkSession,
     base: str,
-    files: Iterable[str] | None = None,
+    files: Iterable[str] | Mapping[str, Iterable[str]] | None = None,
     lang: str | Iterable[str] | None = None,
     dump: str | None = None,
     columns: Iterable[str] | None = None,
@@ -22,10 +22,23 @@ def read_corpus(
     """The chosen part files below ``base``.
 
     ``dump`` and ``lang`` pick ``data/<dump>/<lang>`` directories when a dump is given; without one, ``lang`` filters
-    the ``lang`` column, which reaches the scan.  ``schema`` (DDL) avoids reading a footer for it; ``columns`` prunes.
+    the ``lang`` column, which reaches the scan.  With a dump, ``files`` may be a list for each language; a column ``lang``
+    then tells from which directory a row comes.  ``schema`` (DDL) avoids reading a footer for it; ``columns`` prunes.
     """
     base = base.rstrip("/")
     langs = [lang] if isinstance(lang, str) else list(lang or [])
+    if isinstance(files, Mapping):
+        if dump is None:
+            raise ValueError("files for each language need a dump")
+        langs = langs or list(files)
+        wanted = {name: list(files.get(name, ())) for name in langs}
+        if not all(wanted.values()):
+            raise ValueError(f"no part files chosen for {[name for name, chosen in wanted.items() if not chosen]}")
+        paths = [f"{base}/data/{dump}/{name}/{file}" for name, chosen in wanted.items() for file in chosen]
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        place = F.regexp_extract("_metadata.file_path", rf"/data/\Q{dump}\E/([^/]+)/", 1)
+        df = reader.parquet(*paths).withColumn("lang", place)
+        return df if columns is None else df.select(*columns)
     roots = [base]
     if dump is not None:
         if not langs:

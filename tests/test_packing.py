@@ -148,3 +148,14 @@ def test_rows_missing_from_the_shards_raise(spark):
         more = plan.union(spark.createDataFrame([(0, 2, shard, start)], plan.schema))
         with pytest.raises(Exception, match="not in the shards"):
             cl.materialize_batches(shards, more, 1, 4).collect()
+
+
+@pytest.mark.parametrize("every,steps", [(1, 5), (3, 7), (20, 45), (9, 9), (50, 10)])
+def test_restarts_go_back_to_the_first_batch(spark, every, steps):
+    sizes = [20, 33, 17]
+    plan = cl.batch_plan(spark.createDataFrame(list(enumerate(sizes)), "shard int, n_tokens bigint"), 2, 3, 2)
+    found = {}
+    for row in cl.epochs(plan, steps, every).orderBy("rank", "batch_index").collect():
+        found.setdefault(row["rank"], []).append((row["shard"], row["start"]))
+    want = {rank: (plain.loader(sizes, 2, 3, 2, rank, every) * steps)[:steps] for rank in range(2)}
+    assert found == want

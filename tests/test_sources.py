@@ -66,3 +66,18 @@ def test_corpus_order(spark, tmp_path):
     spark.range(100).repartition(4).write.parquet(str(tmp_path / "c"))
     found = cl.with_corpus_order(cl.read_corpus(spark, str(tmp_path / "c"))).collect()
     assert sorted(r["doc_ord"] for r in found) == list(range(100))
+
+
+def test_a_file_list_for_each_language(spark, tmp_path):
+    for lang, name in (("en", "a"), ("en", "b"), ("zh", "a"), ("fr", "a")):
+        spark.createDataFrame([(lang + name,)], "text string").write.parquet(f"{tmp_path}/data/d.1/{lang}/{name}.parquet")
+    lists = {"en": ["b.parquet"], "zh": ["a.parquet"]}
+    found = cl.read_corpus(spark, str(tmp_path), lists, dump="d.1").collect()
+    assert sorted((r["lang"], r["text"]) for r in found) == [("en", "enb"), ("zh", "zha")]
+    one = cl.read_corpus(spark, str(tmp_path), lists, lang="zh", dump="d.1", columns=["text"]).collect()
+    assert [tuple(r) for r in one] == [("zha",)]
+    for bad in ({"en": []}, {}):
+        with pytest.raises(ValueError):
+            cl.read_corpus(spark, str(tmp_path), bad, lang="en", dump="d.1")
+    with pytest.raises(ValueError):
+        cl.read_corpus(spark, str(tmp_path), lists)
