@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark import SparkContext
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The two published split patterns in the form this data format uses them.
+# Two split patterns, in the form this data format uses.
 GPT2PAT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?\p{P}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 GPT4PAT = r"""'(?i:[sdmt]|ll|ve|re)|[^\r\n\p{L}\p{N}]?+\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]++[\r\n]*|\s*[\r\n]|\s+(?!\S)|\s+"""
 
 
+# What is not a group: escapes, quoted stretches and character classes.  A group captures unless ``(?`` opens it, or if
+# it has a name.
+_NO_GROUP = re.compile(r"\\Q.*?(?:\\E|\Z)|\\.|\[\^?\]?(?:\\.|[^\]\\])*\]", re.DOTALL)
+_GROUP = re.compile(r"\((?!\?)|\(\?<(?![=!])")
+
+
 def check_pattern(pattern: str) -> str:
     """Reject patterns with capture groups: only whole matches are split points here."""
-    jvm = SparkContext._active_spark_context._jvm
-    groups = jvm.java.util.regex.Pattern.compile(pattern).matcher("").groupCount()
+    groups = len(_GROUP.findall(_NO_GROUP.sub("", pattern)))
     if groups:
         raise ValueError(f"a split pattern must not have capture groups, this one has {groups}: {pattern}")
     return pattern

@@ -8,19 +8,30 @@ white-space character before a word and those before it, which is where the look
 from __future__ import annotations
 
 from corpusloom import queries as q
-from corpusloom.functions.patterns import GPT4PAT
+from corpusloom.functions.patterns import GPT2PAT, GPT4PAT
 
 # White space as Unicode has it; \s alone is ASCII in this regex dialect.
 WS = r"\t-\r \x{85}\p{Z}"
 MARK = ""
-GPT2_SQL = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?\p{P}+| ?[^\s\p{L}\p{N}" + MARK + r"]+|[" + WS + "]+" + MARK
-    + "|[" + WS + "]+"
-).replace(r"\s", WS)
-GPT4_SQL = (
-    r"'(?i:[sdmt]|ll|ve|re)|[^\r\n\p{L}\p{N}" + MARK + r"]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}" + MARK
-    + r"]+[\r\n]*|[" + WS + "]*" + MARK + r"?[\r\n]|[" + WS + "]+" + MARK + "|[" + WS + "]+"
-).replace(r"\s", WS)
+
+
+def _without_look_ahead(pattern: str) -> str:
+    """A split pattern in this dialect: no possessive quantifiers, and the marker where the look-ahead would stop."""
+    steps = (
+        (r"\s+(?!\S)|\s+", f"[{WS}]+{MARK}|[{WS}]+"),
+        (r"\s*[\r\n]", rf"[{WS}]*{MARK}?[\r\n]"),
+        (r"\p{N}]", rf"\p{{N}}{MARK}]"),
+        ("?+", "?"),
+        ("++", "+"),
+        (r"\s", WS),
+    )
+    for old, replacement in steps:
+        pattern = pattern.replace(old, replacement)
+    return pattern
+
+
+GPT2_SQL = _without_look_ahead(GPT2PAT)
+GPT4_SQL = _without_look_ahead(GPT4PAT)
 
 
 def _text(value: str) -> str:

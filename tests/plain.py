@@ -54,13 +54,13 @@ def encode(text, merges):
 
 
 def loader(shard_sizes, batch, length, world, rank, steps):
-    """(shard, start) of the first ``steps`` batches, by walking the shards."""
-    taken = []
-    shard, start = 0, rank * batch * length
-    for _ in range(steps):
-        taken.append((shard, start))
-        start += batch * length * world
-        if not start + batch * length + 1 < shard_sizes[shard]:
-            shard = (shard + 1) % len(shard_sizes)
-            start = rank * batch * length
-    return taken
+    """(shard, start) of the first ``steps`` batches.  Of a shard's batches of a rank, one is read if it is the first or
+    ends before the last token; after the last shard the first follows."""
+    size = batch * length
+    one_pass = [
+        (shard, number * size)
+        for shard, tokens in enumerate(shard_sizes)
+        for number in range(rank, tokens // size + world, world)
+        if number == rank or number * size + size + 1 < tokens
+    ]
+    return [one_pass[step % len(one_pass)] for step in range(steps)]
