@@ -1,7 +1,8 @@
-"""Cross-entropy difference: every text is scored by two bigram models over one vocabulary."""
+"""Cross-entropy difference: every text is scored by two bigram models over one vocabulary, that of all words."""
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -9,12 +10,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.textbytes import row_of, slices, span_hashes, word_bounds
+from corpusloom.llm.staging import staged
+from corpusloom.llm.substrings import _chunks, _cuts, _width
+from corpusloom.llm.textbytes import SLICE_BYTES, mix, row_of, slices, span_hashes, word_bounds
 
-VOCABULARY = 1_000
 BIGRAM = 0.7
 UNIGRAM = 0.29
 HELD_ENTRIES = 1 << 20
+CHUNK_BYTES = 4 << 20
+PAIR, TOKEN, CONTEXT = (np.uint64(k) for k in range(3))
+_KIND = np.uint64(3)
+_UNKNOWN, _START = np.uint64(1), np.uint64(2)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _CLEAN = np.arange(256, dtype=np.uint8)
 _CLEAN[65:91] += 32
 _CLEAN[[*range(48), *range(58, 65), *range(91, 97), *range(123, 128)]] = 32
@@ -29,13 +36,17 @@ def _words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(clean, starts, ends).view(np.int64), firsts
 
 
-def _tokens(words: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """Vocabulary numbers from 1; 0 is any other word."""
-    at = np.minimum(np.searchsorted(vocabulary, words), max(0, len(vocabulary) - 1))
-    return np.where(vocabulary[at] == words, at + 1, 0) if len(vocabulary) else np.zeros(len(words), np.int64)
+def _tokens(words: np.ndarray, vocabulary: np.ndarray | None) -> np.ndarray:
+    """The words' hashes; with a given vocabulary any other word is one unknown token."""
+    if vocabulary is None or not len(words):
+        return words.view(np.uint64)
+    if not len(vocabulary):
+        return np.full(len(words), _UNKNOWN)
+    at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
+    return np.where(vocabulary[at] == words, words.view(np.uint64), _UNKNOWN)
 
 
-def _contexts(tokens: np.ndarray, firsts: np.ndarray, start: int) -> np.ndarray:
+def _contexts(tokens: np.ndarray, firsts: np.ndarray, start: np.uint64) -> np.ndarray:
     """The token before each one; ``start`` at the beginning of a text."""
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
@@ -44,6 +55,82 @@ def _contexts(tokens: np.ndarray, firsts: np.ndarray, start: int) -> np.ndarray:
     return before
 
 
+def _keys(data: np.ndarray, at: np.ndarray, vocabulary: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Three keys of each token, for its pair with the token before, itself, and that token as a context; each row's first.
+
+    The two lowest bits name the kind, the others are a hash of 62 bits.
+    """
+    words, firsts = _words(data, at)
+    tokens = _tokens(words, vocabulary)
+    before = _contexts(tokens, firsts, _START)
+    return [(mix(h) & ~_KIND) | kind for h, kind in ((before * _ODD + tokens, PAIR), (tokens, TOKEN), (before, CONTEXT))], firsts
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0)))).tobytes()
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, _width(len(data) // max(1, n)) if n else "u1").astype(np.int64)
+
+
+def _counted(texts: DataFrame, side: int, vocabulary: np.ndarray | None, buckets: int) -> DataFrame:
+    """``(bucket, side, keys, counts)``: sorted keys of a task's stretch of texts, added up there and dealt by hash."""
+
+    def run(batches):
+        held: list[np.ndarray] = []
+        size = 0
+
+        def rows():
+            keys, counts = np.unique(np.concatenate(held), return_counts=True)
+            cuts = _cuts(keys, buckets)
+            full = np.flatnonzero(np.diff(cuts))
+            pieces = [(int(cuts[b]), int(cuts[b + 1])) for b in full]
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(full.astype(np.int32)),
+                    pa.array(np.full(len(full), side, np.int32)),
+                    pa.array([keys[a:b].tobytes() for a, b in pieces], pa.binary()),
+                    pa.array([_packed(counts[a:b]) for a, b in pieces], pa.binary()),
+                ],
+                names=["bucket", "side", "keys", "counts"],
+            )
+
+        for batch in batches:
+            for _, _, data, at in slices(batch.column(0)):
+                held += _keys(data, at, vocabulary)[0]
+                size += 3 * len(held[-1])
+                if size >= 2 * HELD_ENTRIES:
+                    yield rows()
+                    held, size = [], 0
+        if size:
+            yield rows()
+
+    return texts.mapInArrow(run, "bucket int, side int, keys binary, counts binary")
+
+
+def _summed(part: pa.Table) -> pa.Table:
+    """One row for a bucket: its distinct keys and their counts in both corpora."""
+    keys = [np.frombuffer(k, np.uint64) for k in part.column("keys").to_pylist()]
+    counts = [_unpacked(c, len(k)) for c, k in zip(part.column("counts").to_pylist(), keys)]
+    sides = np.repeat(part.column("side").to_numpy(), [len(k) for k in keys])
+    distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
+    weights = np.concatenate(counts)
+    target, background = (np.bincount(which, weights * (sides == s), len(distinct)).astype(np.int64) for s in (0, 1))
+    words = distinct & _KIND == TOKEN
+    return pa.table(
+        {
+            "bucket": part.column("bucket")[:1],
+            "keys": pa.array([distinct.tobytes()], pa.binary()),
+            "target": pa.array([_packed(target)], pa.binary()),
+            "background": pa.array([_packed(background)], pa.binary()),
+            "words": pa.array([int(words.sum())], pa.int64()),
+            "target_total": pa.array([int(target[words].sum())], pa.int64()),
+            "background_total": pa.array([int(background[words].sum())], pa.int64()),
+        }
+    )
+
+
 def _counts(texts: DataFrame, keys_of) -> DataFrame:
     """``(key, n)``: how often each key occurs in all texts; a task adds up its own counts before they are shuffled."""
 
@@ -83,75 +170,153 @@ def _counts(texts: DataFrame, keys_of) -> DataFrame:
 
 @dataclass
 class BigramModels:
-    """Two loss tables over one vocabulary: ``loss[context, token]`` in nats.  Their size is set by the vocabulary's."""
+    """Counts of all pairs, tokens and contexts of two corpora, as a written table of ``buckets`` rows of sorted keys.
+
+    ``size`` is the number of words plus one for words of neither corpus; ``totals`` are the corpora's tokens;
+    ``vocabulary`` is null, or the hashes of a given vocabulary.  ``chunks`` is how many chunks of text were counted.
+    """
 
-    vocabulary: np.ndarray
-    target: np.ndarray
-    background: np.ndarray
+    vocabulary: np.ndarray | None
+    counts: DataFrame
+    buckets: int
+    chunks: int
+    size: int
+    totals: tuple[int, int]
 
 
-def _losses(counts: np.ndarray) -> np.ndarray:
-    """Interpolated bigram, unigram and uniform probabilities; an unseen context falls back to the unigrams."""
-    tokens = counts.shape[1]
-    uniform = 1.0 / tokens
-    total = counts.sum()
-    unigram = counts.sum(0) / total if total else np.full(tokens, uniform)
-    contexts = counts.sum(1, keepdims=True)
-    bigram = np.where(contexts > 0, counts / np.maximum(contexts, 1), unigram)
-    return -np.log(BIGRAM * bigram + UNIGRAM * unigram + (1 - BIGRAM - UNIGRAM) * uniform).astype(np.float32)
+def _losses(pair: np.ndarray, token: np.ndarray, context: np.ndarray, total: int, size: int) -> np.ndarray:
+    """Interpolated bigram, unigram and uniform probabilities in nats; an unseen context falls back to the unigrams."""
+    uniform = 1.0 / size
+    unigram = token / total if total else np.full(len(token), uniform)
+    bigram = np.where(context > 0, pair / np.maximum(context, 1), unigram)
+    return -np.log(BIGRAM * bigram + UNIGRAM * unigram + (1 - BIGRAM - UNIGRAM) * uniform)
 
 
-def train(target: DataFrame, background: DataFrame, vocabulary: int = VOCABULARY, text_col: str = "text") -> BigramModels:
-    """Count both corpora whole.  The shared vocabulary is the background's ``vocabulary`` most frequent words (ties by
-    hash); all others are one unknown token.  Both models then have the same order and smoothing.
+def train(target: DataFrame, background: DataFrame, vocabulary: int | None = None, text_col: str = "text") -> BigramModels:
+    """Count both corpora whole.  The shared vocabulary is all words of both; with ``vocabulary`` it is that many of the
+    background's most frequent words (ties by hash), and all others are one unknown token.  Both models have the same
+    order and smoothing.
 
-    All words and pairs are counted in Spark; the driver receives the vocabulary and at most one row for each pair of
-    vocabulary words and corpus, a bound that does not depend on the corpora.
+    Tasks add up stretches of text and deal the keys by hash into buckets, whose number grows with the corpora; a bucket
+    is one written row.  A frequent key is one entry a stretch, so none is hot.  The driver receives three sums, and
+    the words of a given vocabulary.
     """
     target, background = (t.select(F.col(text_col).cast("string").alias("text")) for t in (target, background))
-    words = _counts(background, lambda data, at: _words(data, at)[0])
-    chosen = words.orderBy(F.desc("n"), "key").limit(vocabulary).select("key").toPandas()["key"]
-    known = np.sort(chosen.to_numpy(np.int64))
-    size = len(known) + 1
-
-    def pairs(data, at):
-        found, firsts = _words(data, at)
-        tokens = _tokens(found, known)
-        return _contexts(tokens, firsts, size) * size + tokens
+    known = None
+    if vocabulary is not None:
+        words = _counts(background, lambda data, at: _words(data, at)[0])
+        chosen = words.orderBy(F.desc("n"), "key").limit(vocabulary).select("key").toPandas()["key"]
+        known = np.sort(chosen.to_numpy(np.int64))
+    length = F.sum(F.octet_length("text"))
+    chunks = math.ceil(sum(t.agg(length).first()[0] or 0 for t in (target, background)) / CHUNK_BYTES)
+    buckets = max(1, math.ceil(2 * chunks**0.75))
+    both = _counted(target, 0, known, buckets).union(_counted(background, 1, known, buckets))
+    kinds = "bucket int, keys binary, target binary, background binary, words bigint, target_total bigint, background_total bigint"
+    counts = staged(both.groupBy("bucket").applyInArrow(_summed, kinds), "counts")
+    sums = counts.agg(F.sum("words"), F.sum("target_total"), F.sum("background_total")).first()
+    size = (sums[0] or 0) + 1 if known is None else len(known) + 1
+    return BigramModels(known, counts.select("bucket", "keys", "target", "background"), buckets, chunks, size, (sums[1] or 0, sums[2] or 0))
+
+
+def _chunk_keys(batch: pa.RecordBatch, i: int, vocabulary: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
+    """The keys of a chunk's tokens, read in slices, and each text's first."""
+    import zstandard
+
+    sizes = batch.column(2)[i].values.to_numpy(zero_copy_only=False)
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column(3)[i].as_buffer()), np.uint8)
+    parts: list[list[np.ndarray]] = []
+    firsts = [np.zeros(1, np.int64)]
+    row = 0
+    while row < len(sizes):
+        end = max(row + 1, int(np.searchsorted(at, at[row] + SLICE_BYTES, "right")) - 1)
+        keys, begins = _keys(data[at[row] : at[end]], at[row : end + 1] - at[row], vocabulary)
+        parts.append(keys)
+        firsts.append(begins[1:] + firsts[-1][-1])
+        row = end
+    return [np.concatenate(kind) for kind in zip(*parts)], np.concatenate(firsts)
+
+
+def _questions(vocabulary: np.ndarray | None, buckets: int):
+    def ask(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                distinct = np.unique(np.concatenate(_chunk_keys(batch, i, vocabulary)[0]))
+                cuts = _cuts(distinct, buckets)
+                full = np.flatnonzero(np.diff(cuts))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(full.astype(np.int32)),
+                        pa.array(np.full(len(full), batch.column(0)[i].as_py(), np.int64)),
+                        pa.array([distinct[cuts[b] : cuts[b + 1]].tobytes() for b in full], pa.binary()),
+                    ],
+                    names=["bucket", "chunk", "asked"],
+                )
 
-    tables = []
-    for corpus in (target, background):
-        rows = _counts(corpus, pairs).toPandas()
-        counts = np.zeros((size + 1) * size)
-        counts[rows["key"].to_numpy(np.int64)] = rows["n"].to_numpy(np.float64)
-        tables.append(_losses(counts.reshape(size + 1, size)))
-    return BigramModels(known, *tables)
+    return ask
+
+
+def _answers(asked: pa.Table, counts: pa.Table) -> pa.Table:
+    """Both counts of each asked key of a bucket, in the order of the questions; unseen keys have none."""
+    known = np.frombuffer(counts.column("keys")[0].as_py() if len(counts) else b"", np.uint64)
+    sides = [_unpacked(counts.column(n)[0].as_py() if len(counts) else b"", len(known)) for n in ("target", "background")]
+    out: list[list[bytes]] = [[], []]
+    for one in asked.column("asked").to_pylist():
+        keys = np.frombuffer(one, np.uint64)
+        at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
+        for side, lists in zip(sides, out):
+            lists.append(_packed(np.where(known[at] == keys, side[at], 0) if len(known) else np.zeros(len(keys), np.int64)))
+    return pa.table(
+        {
+            "chunk": asked.column("chunk").cast(pa.int64()),
+            "bucket": asked.column("bucket").cast(pa.int32()),
+            "target": pa.array(out[0], pa.binary()),
+            "background": pa.array(out[1], pa.binary()),
+        }
+    )
 
 
 def cross_entropy_difference(docs: DataFrame, models: BigramModels, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, target_loss, background_loss, score``: mean losses a token under both models, and their
     difference.  A negative score says that the text is more like the target than like the background.
 
+    Texts are put into chunks of about 4 MB.  A chunk asks about each distinct key once; questions meet the counts in a
+    shuffle by bucket (the counts are repeated where far more text is scored than was counted), and the answers
+    come back to the chunk.
+
     Defined cases: null text or text without words has no tokens, losses and score 0; repeated rows are kept; models of
     empty corpora are uniform; no rows give no rows; other columns are ignored.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(models)
+    kind = docs.schema[id_col].dataType.simpleString()
+    vocabulary, buckets, size, totals = models.vocabulary, models.buckets, models.size, models.totals
+    chunks = _chunks(docs, id_col, text_col, kind, CHUNK_BYTES)
+    parts = max(1, math.ceil(chunks.count() / max(1, models.chunks)))
+    asked = chunks.mapInArrow(_questions(vocabulary, buckets), "bucket int, chunk bigint, asked binary")
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("chunk"), F.lit(parts)).cast("int"))
+    counts = models.counts.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    met = asked.groupBy("bucket", "part").cogroup(counts.groupBy("bucket", "part"))
+    replies = met.applyInArrow(_answers, "chunk bigint, bucket int, target binary, background binary")
+    replies = staged(replies.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "target", "background")).alias("replies")), "replies")
 
     def run(batches):
-        models = sent.value
-        size = len(models.vocabulary) + 1
         for batch in batches:
-            for row, end, data, at in slices(batch.column(1), 1 << 20):
-                words, firsts = _words(data, at)
-                tokens = _tokens(words, models.vocabulary)
-                before = _contexts(tokens, firsts, size)
+            for i in range(batch.num_rows):
+                keys, firsts = _chunk_keys(batch, i, vocabulary)
+                distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
+                cuts = _cuts(distinct, buckets)
+                sides = np.zeros((2, len(distinct)), np.int64)
+                for one in batch.column(4)[i].as_py() or []:
+                    a, b = int(cuts[one["bucket"]]), int(cuts[one["bucket"] + 1])
+                    sides[:, a:b] = [_unpacked(one[n], b - a) for n in ("target", "background")]
+                pair, token, context = which.reshape(3, -1)
                 rows, n = row_of(firsts), np.diff(firsts)
                 target, background = (
-                    np.bincount(rows, table[before, tokens], end - row) / np.maximum(n, 1) for table in (models.target, models.background)
+                    np.bincount(rows, _losses(side[pair], side[token], side[context], total, size), len(n)) / np.maximum(n, 1)
+                    for side, total in zip(sides, totals)
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(row, end - row),
+                        batch.column(1)[i].values,
                         pa.array(n.astype(np.int64)),
                         pa.array(target),
                         pa.array(background),
@@ -160,6 +325,5 @@ def cross_entropy_difference(docs: DataFrame, models: BigramModels, id_col: str
                     names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
                 )
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, target_loss double, background_loss double, score double")
+    schema = f"doc_id {kind}, n_tokens bigint, target_loss double, background_loss double, score double"
+    return chunks.join(replies, "chunk", "left").mapInArrow(run, schema)

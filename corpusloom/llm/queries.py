@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import decontamination, grammar_files, language, language_model, packing, quality, secrets, simhash, substrings, topk
+from corpusloom.llm.staging import staged
 from corpusloom.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -78,7 +79,8 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    models = language_model.train(docs.join(good.hint("merge"), "doc_id", "left_semi"), docs)
+    target = staged(docs.join(good.hint("merge"), "doc_id", "left_semi").select("text"), "target")
+    models = language_model.train(target, docs)
     return language_model.cross_entropy_difference(docs, models)
 
 

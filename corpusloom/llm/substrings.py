@@ -65,7 +65,7 @@ def repeated_windows(
     return _with_answers(chunks, answers).mapInArrow(_kept(window, lengths, buckets, complete, with_text), schema)
 
 
-def _chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _chunks(docs: DataFrame, id_col: str, text_col: str, kind: str = "bigint", limit: int = SLICE_BYTES) -> DataFrame:
     """The texts as a written table of compressed chunks, each with its ids and text lengths."""
 
     def gather(batches):
@@ -96,15 +96,15 @@ def _chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             ids = batch.column(0)
             for row, end, data, at in slices(batch.column(1)):
-                if held and size + len(data) > SLICE_BYTES:
+                if held and size + len(data) > limit:
                     yield flush()
                 held.append((data.copy(), at, ids.slice(row, end - row)))
                 size += len(data)
         if held:
             yield flush()
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    made = rows.mapInArrow(gather, "chunk bigint, ids array<bigint>, sizes array<bigint>, texts binary")
+    rows = docs.select(F.col(id_col).cast(kind).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    made = rows.mapInArrow(gather, f"chunk bigint, ids array<{kind}>, sizes array<bigint>, texts binary")
     return stage_table(made, "chunks")
 
 

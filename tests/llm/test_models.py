@@ -147,3 +147,36 @@ def test_language_models_of_nothing(docs):
     rows = language_model.cross_entropy_difference(docs([(1, "a b"), (2, None)]), models).collect()
     assert {(r.doc_id, r.n_tokens, r.score) for r in rows} == {(1, 2, 0.0), (2, 0, 0.0)}
     assert language_model.cross_entropy_difference(docs([]), models).count() == 0
+
+
+def test_losses_cover_all_words(docs):
+    words = [f"w{i}" for i in range(1_600)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:1_200])), (3, " ".join(w for w in words[::-1] for _ in range(2)))]
+    good = rows[1:2]
+    scored = [(10, "w5 w1100"), (11, "w5 w1500"), (12, "w1198 w1199 w1200"), (13, "w9 never seen"), (14, "w9 seen never w1"), *rows]
+    models = language_model.train(docs(good), docs(rows))
+    assert models.vocabulary is None and models.size == len(words) + 1
+    got = {r.doc_id: r for r in language_model.cross_entropy_difference(docs(scored), models).collect()}
+
+    def model(texts):
+        pairs, ones, heads = collections.Counter(), collections.Counter(), collections.Counter()
+        for _, t in texts:
+            found = t.split()
+            pairs.update(zip(["<s>", *found], found))
+            ones.update(found)
+            heads.update(["<s>", *found[:-1]])
+        total = sum(ones.values())
+
+        def loss(before, w):
+            one = ones[w] / total
+            return -math.log(0.7 * (pairs[before, w] / heads[before] if heads[before] else one) + 0.29 * one + 0.01 / (len(words) + 1))
+
+        return loss
+
+    target, background = model(good), model(rows)
+    for i, t in scored:
+        found = t.split()
+        steps = list(zip(["<s>", *found], found))
+        want = [sum(m(*s) for s in steps) / len(steps) for m in (target, background)]
+        assert got[i].n_tokens == len(found) and (got[i].target_loss, got[i].background_loss) == pytest.approx(want, abs=1e-9)
+    assert got[10].score < got[11].score
