@@ -77,16 +77,17 @@ def _is(kind: Column, kinds: tuple[str, ...]) -> Column:
     return kind.isin([KINDS.index(k) for k in kinds])
 
 
-def scan_secrets(docs: DataFrame, reach: int = REACH, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+def scan_secrets(docs: DataFrame, reach: int = REACH, text_col: str = "text", keep_text: bool = False, starts: bool = False) -> DataFrame:
     """``docs`` (without its text unless ``keep_text``) with ``base`` and ``spans``: arrays of ``(start, kind, end)`` sorted by start and kind.
 
     ``base`` has the strong kinds (``assign``, ``access``, ``hex``).  ``spans`` adds weak parts that complement each other:
     an identifier (``id``) beside a secret, a secret (``key``) beside an identifier, an ``endpoint`` beside both, where
-    strong spans count as parts, too.  Beside means that the starts are ``reach`` code points apart at most.
+    strong spans count as parts, too.  Beside means that ``reach`` code points at most lie between the parts; with ``starts``, that
+    their starts are that far apart at most, as the SQL of the query states it.
 
     One pass over the texts finds all spans; they are written with a row number.  Parts then meet in an interval join:
-    each lies in the bin of its start, weak parts look into three bins of their own row.  Matches do not overlap, so a
-    bin holds few and no key is hot, however many rows share a text.
+    each lies in the bins from its start to its end, weak parts look one bin further on both sides in their own row.
+    Matches do not overlap, so a bin holds few and no key is hot, however many rows share a text.
 
     Defined cases: null text is empty; repeated rows are kept apart; other columns are kept as they are, but columns
     named ``base``, ``spans`` or ``_row`` are replaced; no rows give no rows.
@@ -102,12 +103,14 @@ def scan_secrets(docs: DataFrame, reach: int = REACH, text_col: str = "text", ke
     found = staged(found, "spans")
     paired = found.where("size(_weak) > 0 AND size(_weak) + size(base) > 1")
     parts = paired.select("_row", F.explode(F.concat("base", "_weak")).alias("p")).select("_row", "p.*")
-    home = F.floor(F.col("start") / reach)
-    weak = parts.where(F.col("kind") >= len(STRONG)).withColumn("_bin", F.explode(F.array(home - 1, home, home + 1)))
+    parts = parts.withColumn("_to", F.col("start" if starts else "end"))
+    low, high = F.floor(F.col("start") / reach), F.floor(F.col("_to") / reach)
+    weak = parts.where(F.col("kind") >= len(STRONG)).withColumn("_bin", F.explode(F.sequence(low - 1, high + 1)))
     other = parts.where(~_is(F.col("kind"), ENDPOINTS)).select(
-        "_row", home.alias("_bin"), F.col("start").alias("_at"), F.col("kind").alias("_kind")
+        "_row", F.explode(F.sequence(low, high)).alias("_bin"), F.col("start").alias("_at"), F.col("_to").alias("_end"), F.col("kind").alias("_kind")
     )
-    beside = weak.join(other, ["_row", "_bin"]).where(F.abs(F.col("start") - F.col("_at")) <= reach)
+    gap = F.greatest("start", "_at") - F.least("_to", "_end")
+    beside = weak.join(other, ["_row", "_bin"]).where(gap <= reach)
     complements = beside.groupBy("_row", "start", "kind", "end").agg(
         F.max(_is(F.col("_kind"), IDENTIFIERS)).alias("identifier"), F.max(_is(F.col("_kind"), SECRETS)).alias("secret")
     )
@@ -122,9 +125,12 @@ def scan_secrets(docs: DataFrame, reach: int = REACH, text_col: str = "text", ke
 
 
 def secret_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH) -> DataFrame:
-    """Counts of the strong kinds, a digest of the strong spans, and all spans as text, one row a document."""
+    """Counts of the strong kinds, a digest of the strong spans, and all spans as text, one row a document.
+
+    Weak parts are linked by their starts, as in the query's SQL.
+    """
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = scan_secrets(narrow, reach)
+    found = scan_secrets(narrow, reach, starts=True)
 
     def count(kind: str) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("bigint").alias(f"n_{kind}")

@@ -79,3 +79,10 @@ def test_redacted_texts(spark, docs):
     assert sorted(got, key=repr) == sorted(want, key=repr)
     long = redact_secrets(spark.createDataFrame([(1, "token=abcdef", 12), (2, None, 7)], "doc_id int, text string, n_chars bigint"))
     assert sorted(tuple(r) for r in long.collect()) == [(1, "[secret]", 8), (2, None, 7)]
+
+
+def test_long_keys_and_links_are_redacted(docs):
+    long = "eyJhbGciOiJIUzI1NiJ9" * 20
+    rows = [(1, f"x {long}\nuser=bob y"), (2, f"https://db.example.com/{'q1/' * 150}\nlogin: amy\n{KEY}"), (3, f"{long} {'y ' * 120} user=bob")]
+    got = {r.doc_id: r.text for r in redact_secrets(docs(rows)).collect()}
+    assert got == {1: "x [secret]\n[secret] y", 2: "[secret]\n[secret]\n[secret]", 3: rows[2][1]}
