@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import decontamination, near_copies, packing, quality, secrets
+from corpusloom.llm import decontamination, packing, quality, secrets, simhash
 from corpusloom.llm.queries import table, tokenizer_path, with_library
 from corpusloom.session import scratch_path
 
@@ -19,9 +19,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: shingles of five words, similarity 0.8."""
+    """One document of each group of near copies: fingerprints of three-word shingles that differ in two bits at most."""
     with_library(spark)
-    return near_copies.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
