@@ -97,4 +97,56 @@ FROM documents LEFT JOIN covered USING (doc_id)
 GROUP BY doc_id
 """
 
-ORACLE: dict[str, str] = {"op1_secrets": OP1, "op5_topk": OP5, "op9_substrings": OP9}
+OP11 = """
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), split AS (
+  SELECT r, doc_id, regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM texts WHERE text IS NOT NULL
+), counted AS (
+  SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM split
+), tfs AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM counted GROUP BY ALL
+), totals AS (
+  SELECT count(*) FILTER (WHERE len(terms) > 0) AS documents, CAST(sum(len(terms)) AS BIGINT) AS terms FROM split
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs, totals GROUP BY term, documents
+), items AS (
+  SELECT row_number() OVER () AS i, item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM benchmark
+), item_terms AS (
+  SELECT i, item_id, unnest(regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM items WHERE text IS NOT NULL
+), repeats AS (
+  SELECT i, item_id, term, count(*) AS c FROM item_terms GROUP BY ALL
+), scored AS (
+  SELECT i, item_id, doc_id, r, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * documents) // totals.terms)))) AS BIGINT) AS score
+  FROM repeats JOIN tfs USING (term) JOIN weights USING (term), totals GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
+
+OP13 = """
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex FROM documents
+), tokens AS (
+  SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS t,
+         list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(hex, i, 8) AS BIGINT)) AS h
+  FROM texts
+), cuts AS (
+  SELECT *, len(t) AS n, least(h[1] % (len(t) + 1), h[2] % (len(t) + 1)) AS a, greatest(h[1] % (len(t) + 1), h[2] % (len(t) + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM tokens
+), parts AS (
+  SELECT *, array_to_string(t[1:a], '') AS prefix, array_to_string(t[a + 1:b], '') AS middle, array_to_string(t[b + 1:], '') AS suffix FROM cuts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(prefix || middle || suffix) AS restored_sha256
+FROM parts
+"""
+
+ORACLE: dict[str, str] = {"op1_secrets": OP1, "op5_topk": OP5, "op9_substrings": OP9, "op11_lexical": OP11, "op13_fill_in_middle": OP13}

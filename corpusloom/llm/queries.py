@@ -6,7 +6,20 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import decontamination, grammar_files, language, language_model, packing, quality, secrets, simhash, substrings, topk
+from corpusloom.llm import (
+    decontamination,
+    fill_in_middle,
+    grammar_files,
+    language,
+    language_model,
+    lexical,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    substrings,
+    topk,
+)
 from corpusloom.llm.staging import staged
 from corpusloom.session import scratch_path
 
@@ -84,7 +97,17 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.cross_entropy_difference(docs, models)
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.fim_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op11_lexical": op11_lexical,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "op8_lm_scoring": op8_lm_scoring,
     "op4_decontamination": op4_decontamination,
     "op1_secrets": op1_secrets,
