@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.staging import staged
-from corpusloom.llm.textbytes import row_of, slices, span_hashes, word_bounds
+from corpusloom.llm.textbytes import row_of, slices, span_checks, span_hashes, word_bounds
 
 TOP = 10
 ITEM_BYTES = 1 << 20
@@ -24,19 +24,12 @@ _RANKED = "item_id bigint, rank int, doc_id bigint, score bigint"
 
 
 def _terms(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(hash, check, each row's first)`` of the terms: runs of ASCII letters and digits and of all beyond ASCII.
-
-    ``check`` is made of a term's first eight bytes and its length, so two terms of one hash are still told apart.
-    """
+    """``(hash, check, each row's first)`` of the terms: runs of ASCII letters and digits and of all beyond ASCII."""
     clean = _CLEAN[data]
     starts, ends, firsts = word_bounds(clean, at)
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), firsts
-    padded = np.concatenate([clean, np.zeros(8, np.uint8)])
-    heads = np.ndarray(len(clean) + 1, "<u8", padded.tobytes(), strides=(1,))[starts]
-    width = np.minimum(ends - starts, 8).astype(np.uint64)
-    check = (heads << (np.uint64(64) - width * np.uint64(8))) ^ (ends - starts).astype(np.uint64)
-    return span_hashes(clean, starts, ends), check, firsts
+    return span_hashes(clean, starts, ends), span_checks(clean, starts, ends), firsts
 
 
 class ItemTerms:

@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import (
+    byte_bpe,
     decontamination,
     fill_in_middle,
     grammar_files,
@@ -24,6 +25,7 @@ from corpusloom.llm.staging import staged
 from corpusloom.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -101,12 +103,17 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.bpe_digest(table(spark, sf_dir, "documents"), byte_bpe.RankTable.load(tokenizer_path(RANKS)))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.fim_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op11_lexical": op11_lexical,
+    "op12_byte_bpe": op12_byte_bpe,
     "op13_fill_in_middle": op13_fill_in_middle,
     "op8_lm_scoring": op8_lm_scoring,
     "op4_decontamination": op4_decontamination,
