@@ -23,6 +23,7 @@ LETTER, NUMBER, SPACE = 1, 2, 3
 MAX_RANK = 1 << 19
 LONG = 64
 HELD_WORDS = 1 << 20
+SLICE = 1 << 19
 # The literal rank map: buckets, the factor that deals a pair of characters to one, and the width of a character.
 BUCKETS = 1 << 16
 FACTOR = 40503
@@ -158,7 +159,8 @@ def folded(words: Column, table: RankTable) -> Column:
 
     The state of a word is its pieces and, for each two neighbours, the character of the id they become, both strings.
     A step takes the smallest of these ids, which is the lowest rank, at its leftmost place: the two pieces become one
-    and its two new neighbourhoods are looked up.  A word that begins with ``END`` has its ids already.
+    and its two new neighbourhoods are looked up.  A value that is needed more than once is the only element of an array
+    that is aggregated, which computes it once and copies nothing.  A word that begins with ``END`` has its ids already.
     """
     bytes_, chars = zip(*((chr(i), _char(table.ranks[bytes([i])])) for i in range(256)))
 
@@ -176,27 +178,26 @@ def folded(words: Column, table: RankTable) -> Column:
             joins = F.array_join(F.transform(inner, lambda i: look(char(pieces, i), char(pieces, i + 1))), "")
             return F.struct(pieces.alias("pieces"), F.concat(F.lit(NONE), joins, F.lit(NONE)).alias("joins"))
 
-        def step(state: Column, _: Column) -> Column:
-            pieces, joins = state["pieces"], state["joins"]
-
-            def merge(new: Column, i: Column) -> Column:
-                both = F.concat(look(char(pieces, i - 1), new), look(new, char(pieces, i + 2)))
-                return F.struct(
-                    F.overlay(pieces, new, i, F.lit(2)).alias("pieces"), F.overlay(joins, both, i - 1, F.lit(3)).alias("joins")
-                )
+        def merge(state: Column, new: Column, i: Column) -> Column:
+            pieces = state["pieces"]
+            both = F.concat(look(char(pieces, i - 1), new), look(new, char(pieces, i + 2)))
+            return F.struct(
+                F.overlay(pieces, new, i, F.lit(2)).alias("pieces"), F.overlay(state["joins"], both, i - 1, F.lit(3)).alias("joins")
+            )
 
-            def lowest(new: Column) -> Column:
-                return F.when(new == NONE, state).otherwise(_let(F.instr(joins, new), lambda i: merge(new, i)))
+        def lowest(state: Column, new: Column) -> Column:
+            merges = F.aggregate(F.array(F.instr(state["joins"], new)), state, lambda s, i: merge(s, new, i))
+            return F.when(new == NONE, state).otherwise(merges)
 
-            return _let(F.array_min(F.split(joins, "")), lowest)
+        def step(state: Column, _: Column) -> Column:
+            return F.aggregate(F.array(F.array_min(F.split(state["joins"], ""))), state, lowest)
 
-        def all_steps(pieces: Column) -> Column:
+        def all_steps(_: Column, pieces: Column) -> Column:
             return F.aggregate(F.sequence(F.lit(2), F.length(pieces) - 2), start(pieces), step, lambda state: state["pieces"])
 
         ends = F.concat(F.lit(END), F.translate(word, "".join(bytes_), "".join(chars)), F.lit(END))
-        return (
-            F.when(F.startswith(word, F.lit(END)), word).when(F.length(word) < 2, ends).otherwise(_let(ends, all_steps))
-        )
+        merged_ends = F.aggregate(F.array(ends), F.lit(""), all_steps)
+        return F.when(F.startswith(word, F.lit(END)), word).when(F.length(word) < 2, ends).otherwise(merged_ends)
 
     return _let(table.literal(), lambda buckets: F.transform(words, lambda w: word_of(w, buckets)))
 
@@ -216,7 +217,7 @@ def _split(docs: DataFrame, table: RankTable, classes: np.ndarray, kind: str) ->
     def run(batches: Iterator[pa.RecordBatch]):
         held: dict[bytes, int] = {}
         for batch in batches:
-            for row, end, data, at in slices(batch.column(1)):
+            for row, end, data, at in slices(batch.column(1), SLICE):
                 anew = len(held) >= HELD_WORDS
                 if anew:
                     held = {}
