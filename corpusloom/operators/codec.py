@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.folding import MergeMap
 from corpusloom.functions.idstrings import MISSING, byte_string, fold_pairs, id_char, ids_of, triple
 from corpusloom.functions.patterns import GPT4PAT, pretokenize
 from corpusloom.functions.rendering import readable
@@ -24,8 +25,10 @@ FOLD_MERGES = 256
 # The part of the dictionary that is sent to every executor: at most so many rows and so many bytes of text.
 HOT_ROWS = 500_000
 HOT_BYTES = 64 << 20
-# Up to this many merges a single pre-token tries them all; with more it looks up which can apply to it.
+# Up to this many merges a single pre-token tries them all; with more it looks up which its neighbours make.
 WORD_FOLD_MERGES = 256
+# Longer pieces look up which merges can apply to them at all, as a ranked fold takes time by the square of the length.
+RANKED_LENGTH = 64
 # Kinds of bytes that tell words from what is between them: letters, digits, space, other white space, bytes of
 # characters outside ASCII, and the rest.
 _LETTERS = {value for value in range(128) if chr(value).isalpha()}
@@ -54,13 +57,28 @@ def encode_text(text: Column, model: TokenizerModel) -> Column:
     return ids_of(merge_string(byte_string(text), model), model.max_id)
 
 
+def _merge_map(model: TokenizerModel) -> MergeMap:
+    return MergeMap((id_char(left), id_char(right), id_char(token_id)) for left, right, token_id in model.merges)
+
+
 def encode_pieces(text: Column, model: TokenizerModel, pattern: str | None = None) -> Column:
-    """Ids of a text encoded inside its pre-tokens, in place: the gap characters between them stop every merge.
+    """Ids of a text encoded inside its pre-tokens, in place.
 
-    The gap is the id after the last one, which no text and no merge can produce.
+    With few merges each is tried on the whole text: the gap characters between the pre-tokens stop it (the gap is the id
+    after the last one, which no text and no merge can produce).  With many, each pre-token is folded by the merges that
+    its neighbours make, so the cost follows the text and not the number of merges.
     """
-    gap = id_char(model.max_id + 1)
     pieces = F.transform(pretokenize(text, pattern or model.pattern or GPT4PAT), byte_string)
+    if len(model.merges) > WORD_FOLD_MERGES:
+
+        def folded(fold: Callable[[Column], Column]) -> Column:
+            def one(seq: Column) -> Column:
+                return F.when(F.length(seq) <= RANKED_LENGTH, fold(seq)).otherwise(merge_string(seq, model))
+
+            return F.array_join(F.transform(pieces, one), "")
+
+        return ids_of(_merge_map(model).folding(folded, "string"), model.max_id)
+    gap = id_char(model.max_id + 1)
     merged = merge_string(F.array_join(pieces, gap), model)
     return ids_of(F.replace(merged, F.lit(gap), F.lit("")), model.max_id)
 
@@ -135,11 +153,24 @@ def encode_words(
 ) -> DataFrame:
     """Add the merged id string of each (distinct) ``word_col``; ``to_seq`` turns a word into its bytes.
 
-    Only merges whose bytes occur in a word can apply to it, so with many merges a word looks up its substrings among
-    the tokens and passes over the hits alone.  The frame stays partitioned by the word throughout.
+    With many merges a word is folded by those that its neighbours make, looked up in a constant map: neither the number
+    of merges nor the longest token plays a part, and nothing is shuffled.  Words above ``RANKED_LENGTH`` go another way.
     """
     if len(model.merges) <= WORD_FOLD_MERGES:
         return words.withColumn(out, merge_string(to_seq(F.col(word_col)), model))
+    seq = to_seq(F.col(word_col))
+    short = F.length(seq) <= RANKED_LENGTH
+    folded = _merge_map(model).folding(lambda fold: fold(seq), "string")
+    rest = _encode_long_words(words.where(~short), model, word_col, out, to_seq)
+    return words.where(short).withColumn(out, folded).unionByName(rest)
+
+
+def _encode_long_words(
+    words: DataFrame, model: TokenizerModel, word_col: str, out: str, to_seq: Callable[[Column], Column]
+) -> DataFrame:
+    """Only merges whose bytes occur in a word can apply to it, so a word looks up its substrings among the tokens and
+    passes over the hits alone.  The frame stays partitioned by the word throughout.
+    """
     vocab = model.vocab()
     longest = max((len(vocab[token_id]) for _, _, token_id in model.merges), default=1)
     spark = words.sparkSession

@@ -8,6 +8,10 @@ A pass over the frame yields the leading pairs.  Merging one pair only touches p
 joint, so a leading run of pairs of which none ends with the token another begins with keeps its counts and its order:
 the whole run is taken from one pass.  Pairs created by those merges cannot overtake the run, as each of their
 occurrences stands on an occurrence of an old pair that ranks behind it.
+
+Counts are kept: a sequence that merges change remembers what it was, and only such sequences give up their old pairs and
+add their new ones.  Positions are not kept, as the first place of a pair can move back; they are looked up
+in a whole pass where they decide, that is where the leading counts are equal.
 """
 
 from __future__ import annotations
@@ -146,15 +150,43 @@ def certain_run(leading: list[Row], limit: int) -> list[Row]:
     return run
 
 
+def untied(leading: list[Row], limit: int) -> list[Row]:
+    """The leading pairs of which each occurs more often than the next: their order needs no positions.
+
+    The last of ``limit`` rows may be as frequent as the first one that was not read.
+    """
+    after = [row["cnt"] for row in leading[1:]] + ([leading[-1]["cnt"]] if len(leading) == limit else [0])
+    tie = next((i for i, (row, cnt) in enumerate(zip(leading, after)) if row["cnt"] == cnt), len(leading))
+    return leading[:tie]
+
+
 def _merged(sequences: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame:
-    """The frame with some merges applied.
+    """``(seq, n, start, before)``: the frame with some merges applied; ``before`` is what a changed sequence was.
 
     The merges are data (a constant array), not part of the expression tree: every pass then has the same generated
     code, which the JVM has compiled and optimized once.  The generator keeps the optimizer from copying the expression
     into every later use of ``seq``.
     """
     triples = string_array(triple(*merge) for merge in merges)
-    return sequences.select("n", "start", F.explode(F.array(fold_pairs(F.col("seq"), triples))).alias("seq"))
+    after = sequences.where(F.length("seq") > 1).select(
+        "n", "start", F.col("seq").alias("old"), F.explode(F.array(fold_pairs(F.col("seq"), triples))).alias("seq")
+    )
+    return after.select("seq", "n", "start", F.when(F.col("seq") != F.col("old"), F.col("old")).alias("before"))
+
+
+def _changed_counts(counts: DataFrame, merged: DataFrame, any_long: bool) -> DataFrame:
+    """``(pair, cnt)`` after some merges: changed sequences alone give up their old pairs and add their new ones."""
+    changed = merged.where(F.col("before").isNotNull())
+    sides = F.array(
+        F.struct(F.col("before").alias("seq"), (-F.col("n")).alias("n")), F.struct(F.col("seq").alias("seq"), F.col("n").alias("n"))
+    )
+    rows = changed.select("start", F.explode(sides).alias("side")).select("side.seq", "side.n", "start")
+    moved = _pair_rows(rows, any_long).select("pair", F.col("n").alias("cnt"))
+    return counts.unionByName(moved).groupBy("pair").agg(F.sum("cnt").alias("cnt")).where("cnt > 0")
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def train_sequences(sequences: DataFrame, rounds: int, partitions: int | None = None) -> list[MergeRound]:
@@ -167,28 +199,35 @@ def train_sequences(sequences: DataFrame, rounds: int, partitions: int | None =
     any_long = (longest or 0) > LONG
     if partitions is None:
         partitions = max(context.defaultParallelism, -(-rows // SEQUENCES_PER_PARTITION))
-    frame = sequences.repartition(partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    frame = _kept(sequences.select("seq", "n", "start").repartition(partitions))
+    counts = _kept(_count_pairs(frame, any_long).select("pair", "cnt"))
 
     trace: list[MergeRound] = []
     pending: list[tuple[int, int, int]] = []
     while len(trace) < rounds:
         current = _merged(frame, pending)
-        leading = top_pairs(_count_pairs(current, any_long), LEADING_PAIRS).collect()
-        run = certain_run(leading, rounds - len(trace))
-        if not run:
+        leading = _changed_counts(counts, current, any_long).orderBy(F.desc("cnt")).limit(LEADING_PAIRS).collect()
+        if not leading or leading[0]["cnt"] < 2:
             break
-        for row in run:
+        ordered = untied(leading, LEADING_PAIRS)
+        if not ordered:
+            ordered = top_pairs(_count_pairs(current, any_long), LEADING_PAIRS).collect()
+        for row in certain_run(ordered, rounds - len(trace)):
             left, right = map(char_id, row["pair"])
             token_id = FIRST_MERGE_ID + len(trace)
             trace.append(MergeRound(len(trace), left, right, token_id, row["cnt"]))
             pending.append((left, right, token_id))
-        # A few merges are redone in every pass, which costs less than writing the frame each time; then the frame is
-        # rewritten in the shared folder, which bounds the plan and what a lost executor has to redo.
+        # A few merges are redone in every pass, which costs less than writing the frame each time; then the frame and
+        # the counts are rewritten in the shared folder, which bounds the plan and what a lost executor has to redo.
         if len(pending) >= MERGES_PER_REWRITE and len(trace) < rounds:
-            rewritten = materialize(_merged(frame, pending).where(F.length("seq") > 1))
+            current = _merged(frame, pending)
+            rewritten = _kept(materialize(current.where(F.length("seq") > 1).select("seq", "n", "start")))
+            recounted = _kept(materialize(_changed_counts(counts, current, any_long)))
             frame.unpersist()
-            frame, pending = rewritten.persist(StorageLevel.MEMORY_AND_DISK), []
+            counts.unpersist()
+            frame, counts, pending = rewritten, recounted, []
     frame.unpersist()
+    counts.unpersist()
     return trace
 
 

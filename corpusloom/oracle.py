@@ -234,6 +234,15 @@ rendered AS MATERIALIZED (SELECT item_id, j AS ending_idx, label,
 padded AS MATERIALIZED (SELECT *, CAST(max(n_ctx + n_end) OVER (PARTITION BY item_id) AS INT) AS max_len
                         FROM rendered)"""
 
+# The pre-tokens of both texts of a choice, those of the context with negative places, and the codes of each distinct one.
+_CHOICE_PIECES = f"""
+choice_pieces AS MATERIALIZED (
+    SELECT item_id, j, unnest(l) AS p, unnest(range(1, len(l) + 1)) - 1000000 AS i
+    FROM (SELECT item_id, j, {_pieces("ctx", GPT4_SQL)} AS l FROM choices)
+    UNION ALL SELECT item_id, j, unnest(l) AS p, unnest(range(1, len(l) + 1)) AS i
+    FROM (SELECT item_id, j, {_pieces("' ' || ending", GPT4_SQL)} AS l FROM choices)),
+piece_codes AS MATERIALIZED (SELECT p, {_large(_codes("p"))} AS s FROM (SELECT DISTINCT p FROM choice_pieces))"""
+
 # The list form avoids walking a long string for every position.
 _BIGRAM_TABLES = """
 bigrams AS MATERIALIZED (SELECT a, b, count(*) AS n FROM (
@@ -416,6 +425,10 @@ ORACLE: dict[str, str] = {
     'start AS "start" FROM epochs',
     "render_choices": f"WITH {RENDERED} SELECT item_id, ending_idx, s AS tokens, "
     "repeat('0', n_ctx) || repeat('1', n_end) AS mask, label FROM rendered",
+    "render_choices_large": f"WITH {ITEMS}, {LARGE_MERGES}, {_CHOICE_PIECES}, coded AS (SELECT item_id, j, "
+    "coalesce(string_agg(s, '' ORDER BY i) FILTER (WHERE i < 0), '') AS c, coalesce(string_agg(s, '' ORDER BY i) FILTER (WHERE i > 0), '') AS e "
+    "FROM choice_pieces LEFT JOIN piece_codes USING (p) GROUP BY item_id, j) SELECT item_id, j AS ending_idx, c || e AS tokens, "
+    "repeat('0', length(c) // 5) || repeat('1', length(e) // 5) AS mask, label FROM coded JOIN choices USING (item_id, j)",
     "pad_choices": f"WITH {RENDERED} SELECT item_id, ending_idx, s || repeat('0000|', max_len - n_ctx - n_end) "
     "AS tokens, repeat('0', n_ctx) || repeat('1', n_end) || repeat('0', max_len - n_ctx - n_end) AS mask, max_len "
     "FROM padded",

@@ -496,6 +496,13 @@ def q_render_choices(spark, sf_dir):
     )
 
 
+def q_render_choices_large(spark, sf_dir):
+    rendered = cl.render_choices(choice_items(spark, sf_dir), large_model(spark, sf_dir, cl.GPT4PAT))
+    return rendered.select(
+        "item_id", "ending_idx", codes(F.col("tokens")).alias("tokens"), F.array_join("mask", "").alias("mask"), "label"
+    )
+
+
 def q_pad_choices(spark, sf_dir):
     return byte_rendered(spark, sf_dir).select(
         "item_id",
