@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.idstrings import GAP, MISSING, SURROGATES_SIZE, SURROGATES_START, id_char, string_array
+from corpusloom.functions.folding import END, WIDTH, MergeMap, held_once
+from corpusloom.functions.idstrings import MISSING, SURROGATES_SIZE, SURROGATES_START, id_char, string_array
 from corpusloom.llm.textbytes import slices, span_checks, span_hashes
 
 # Fixed value: the split rule of the rank files, which ``split_words`` follows.
@@ -24,11 +24,6 @@ MAX_RANK = 1 << 19
 LONG = 64
 HELD_WORDS = 1 << 20
 SLICE = 1 << 19
-# The literal rank map: buckets, the factor that deals a pair of characters to one, and the width of a character.
-BUCKETS = 1 << 16
-FACTOR = 40503
-WIDTH = 1 << 21
-NONE, END = GAP, MISSING
 
 
 def character_classes() -> np.ndarray:
@@ -131,13 +126,9 @@ class RankTable:
         words = {r: w.decode("latin-1") for w, r in self.ranks.items()}
         return string_array(words.get(r, MISSING) for r in range(max(words) + 1))
 
-    def literal(self) -> Column:
-        """The rank map as a constant: buckets of ``pair of characters -> merged character``."""
-        buckets: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
-        for (left, right), rank in self.pairs.items():
-            a, b = ord(_char(left)), ord(_char(right))
-            buckets[(a * FACTOR + b) % BUCKETS][str(a * WIDTH + b)] = _char(rank)
-        return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string,string>>").cast("array<map<bigint,string>>")
+    def merges(self) -> MergeMap:
+        """The rank map as a constant."""
+        return MergeMap((_char(left), _char(right), _char(rank)) for (left, right), rank in self.pairs.items())
 
 
 def _char(rank: int) -> str:
@@ -145,61 +136,22 @@ def _char(rank: int) -> str:
     return id_char(rank + 1)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _big(value: int) -> Column:
-    return F.lit(value).cast("bigint")
-
-
 def folded(words: Column, table: RankTable) -> Column:
     """Each of an array of words (bytes as ISO-8859-1 characters) as its ids' characters between two ``END``.
 
-    The state of a word is its pieces and, for each two neighbours, the character of the id they become, both strings.
-    A step takes the smallest of these ids, which is the lowest rank, at its leftmost place: the two pieces become one
-    and its two new neighbourhoods are looked up.  A value that is needed more than once is the only element of an array
-    that is aggregated, which computes it once and copies nothing.  A word that begins with ``END`` has its ids already.
+    The smallest character that two neighbours merge to is the lowest rank.  A word that begins with ``END`` has its ids
+    already.
     """
     bytes_, chars = zip(*((chr(i), _char(table.ranks[bytes([i])])) for i in range(256)))
 
-    def char(text: Column, i) -> Column:
-        return F.substring(text, i, F.lit(1))
-
-    def word_of(word: Column, buckets: Column) -> Column:
-        def look(left: Column, right: Column) -> Column:
-            a, b = F.ascii(left).cast("bigint"), F.ascii(right)
-            bucket = F.get(buckets, (a * _big(FACTOR) + b).bitwiseAND(_big(BUCKETS - 1)).cast("int"))
-            return F.coalesce(bucket[a * _big(WIDTH) + b], F.lit(NONE))
-
-        def start(pieces: Column) -> Column:
-            inner = F.sequence(F.lit(2), F.length(pieces) - 2)
-            joins = F.array_join(F.transform(inner, lambda i: look(char(pieces, i), char(pieces, i + 1))), "")
-            return F.struct(pieces.alias("pieces"), F.concat(F.lit(NONE), joins, F.lit(NONE)).alias("joins"))
-
-        def merge(state: Column, new: Column, i: Column) -> Column:
-            pieces = state["pieces"]
-            both = F.concat(look(char(pieces, i - 1), new), look(new, char(pieces, i + 2)))
-            return F.struct(
-                F.overlay(pieces, new, i, F.lit(2)).alias("pieces"), F.overlay(state["joins"], both, i - 1, F.lit(3)).alias("joins")
-            )
-
-        def lowest(state: Column, new: Column) -> Column:
-            merges = F.aggregate(F.array(F.instr(state["joins"], new)), state, lambda s, i: merge(s, new, i))
-            return F.when(new == NONE, state).otherwise(merges)
-
-        def step(state: Column, _: Column) -> Column:
-            return F.aggregate(F.array(F.array_min(F.split(state["joins"], ""))), state, lowest)
-
-        def all_steps(_: Column, pieces: Column) -> Column:
-            return F.aggregate(F.sequence(F.lit(2), F.length(pieces) - 2), start(pieces), step, lambda state: state["pieces"])
+    def all_words(fold: Callable[[Column], Column]) -> Column:
+        def one(word: Column) -> Column:
+            ids = fold(F.translate(word, "".join(bytes_), "".join(chars)))
+            return F.when(F.startswith(word, F.lit(END)), word).otherwise(F.concat(F.lit(END), ids, F.lit(END)))
 
-        ends = F.concat(F.lit(END), F.translate(word, "".join(bytes_), "".join(chars)), F.lit(END))
-        merged_ends = F.aggregate(F.array(ends), F.lit(""), all_steps)
-        return F.when(F.startswith(word, F.lit(END)), word).when(F.length(word) < 2, ends).otherwise(merged_ends)
+        return F.transform(words, one)
 
-    return _let(table.literal(), lambda buckets: F.transform(words, lambda w: word_of(w, buckets)))
+    return table.merges().folding(all_words, "array<string>")
 
 
 def _split(docs: DataFrame, table: RankTable, classes: np.ndarray, kind: str) -> DataFrame:
@@ -293,7 +245,7 @@ def encode(docs: DataFrame, table: RankTable, id_col: str = "doc_id", text_col:
 
 def decoded(ids: Column, table: RankTable) -> Column:
     """The bytes of an array of ids: their pieces one after the other.  An id that the file does not have raises."""
-    joined = _let(table.pieces(), lambda pieces: F.array_join(F.transform(ids, lambda i: F.element_at(pieces, i + 1)), ""))
+    joined = held_once(table.pieces(), lambda held: F.array_join(F.transform(ids, lambda i: F.element_at(held, i + 1)), ""), "string")
     unknown = F.raise_error(F.lit("an id that the ranks do not have")).cast("string")
     return F.encode(F.when(F.contains(joined, F.lit(MISSING)), unknown).otherwise(joined), "ISO-8859-1")
 
