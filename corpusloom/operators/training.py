@@ -22,7 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from corpusloom.functions.idstrings import byte_string, char_id, code_of, fold_pairs, id_char, string_array, triple
+from corpusloom.functions.idstrings import GAP, byte_string, char_id, code_of, id_char
 from corpusloom.model import FIRST_MERGE_ID, MAX_ID, TokenizerModel
 from corpusloom.operators.pretokens import order_stride, ordered_key, present, pretoken_counts
 from corpusloom.plans.offsets import running_offset
@@ -32,6 +32,7 @@ from corpusloom.session import materialize
 # sequences per partition of the frame.
 LEADING_PAIRS = 256
 MERGES_PER_REWRITE = 32
+MERGES_PER_CODE = 8
 SEQUENCES_PER_PARTITION = 500_000
 
 # Reading a character of a string walks the string, so sequences longer than LONG are cut into pieces of PIECE tokens
@@ -163,15 +164,17 @@ def untied(leading: list[Row], limit: int) -> list[Row]:
 def _merged(sequences: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame:
     """``(seq, n, start, before)``: the frame with some merges applied; ``before`` is what a changed sequence was.
 
-    The merges are data (a constant array), not part of the expression tree: every pass then has the same generated
-    code, which the JVM has compiled and optimized once.  The generator keeps the optimizer from copying the expression
-    into every later use of ``seq``.
+    The merges are one compiled expression.  Its strings are data of the generated code, and merges that do nothing fill
+    it up to a multiple of ``MERGES_PER_CODE``, so the JVM compiles a few forms of it and not one a pass.  The generator
+    keeps the optimizer from copying the expression into every later use of ``seq``.
     """
-    triples = string_array(triple(*merge) for merge in merges)
-    after = sequences.where(F.length("seq") > 1).select(
-        "n", "start", F.col("seq").alias("old"), F.explode(F.array(fold_pairs(F.col("seq"), triples))).alias("seq")
-    )
-    return after.select("seq", "n", "start", F.when(F.col("seq") != F.col("old"), F.col("old")).alias("before"))
+    after = F.col("seq")
+    for left, right, token_id in merges:
+        after = merge_pair(after, left, right, token_id)
+    for _ in range(-len(merges) % MERGES_PER_CODE):
+        after = F.replace(after, F.lit(GAP + GAP), F.lit(GAP))
+    changed = sequences.where(F.length("seq") > 1).select("n", "start", F.col("seq").alias("old"), F.explode(F.array(after)).alias("seq"))
+    return changed.select("seq", "n", "start", F.when(F.col("seq") != F.col("old"), F.col("old")).alias("before"))
 
 
 def _changed_counts(counts: DataFrame, merged: DataFrame, any_long: bool) -> DataFrame:
