@@ -62,7 +62,7 @@ parts AS ({" UNION ALL ".join(map(_found, KINDS))}
 ), linked AS (
   SELECT w.doc_id, w.kind, w.start, w."end",
          bool_or(o.kind IN (1, 3)) AS identifier, bool_or(o.kind IN (0, 2, 4)) AS secret
-  FROM parts w JOIN parts o ON w.doc_id = o.doc_id AND w.kind > 2 AND o.kind < 5 AND abs(w.start - o.start) <= {REACH}
+  FROM parts w JOIN parts o ON w.doc_id = o.doc_id AND w.kind > 2 AND o.kind < 5 AND greatest(w.start, o.start) - least(w."end", o."end") <= {REACH}
   GROUP BY ALL
 ), spans AS (
   SELECT doc_id, kind, start, "end" FROM parts WHERE kind < 3

@@ -77,60 +77,68 @@ def _is(kind: Column, kinds: tuple[str, ...]) -> Column:
     return kind.isin([KINDS.index(k) for k in kinds])
 
 
-def scan_secrets(docs: DataFrame, reach: int = REACH, text_col: str = "text", keep_text: bool = False, starts: bool = False) -> DataFrame:
-    """``docs`` (without its text unless ``keep_text``) with ``base`` and ``spans``: arrays of ``(start, kind, end)`` sorted by start and kind.
-
-    ``base`` has the strong kinds (``assign``, ``access``, ``hex``).  ``spans`` adds weak parts that complement each other:
-    an identifier (``id``) beside a secret, a secret (``key``) beside an identifier, an ``endpoint`` beside both, where
-    strong spans count as parts, too.  Beside means that ``reach`` code points at most lie between the parts; with ``starts``, that
-    their starts are that far apart at most, as the SQL of the query states it.
-
-    One pass over the texts finds all spans; they are written with a row number.  Parts then meet in an interval join:
-    each lies in the bins from its start to its end, weak parts look one bin further on both sides in their own row.
-    Matches do not overlap, so a bin holds few and no key is hot, however many rows share a text.
-
-    Defined cases: null text is empty; repeated rows are kept apart; other columns are kept as they are, but columns
-    named ``base``, ``spans`` or ``_row`` are replaced; no rows give no rows.
-    """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    kept = [c for c in docs.columns if c not in ("base", "spans", "_row") and (keep_text or c != text_col)]
-    found = docs.select(
-        *(F.col(f"`{c}`") for c in kept),
-        F.monotonically_increasing_id().alias("_row"),
+def _scanned(docs: DataFrame, reach: int, text_col: str, keep_text: bool) -> DataFrame:
+    """``c0, c1, …, row, base, spans``: the columns of ``docs`` by place (without its text unless ``keep_text``), so that
+    none can clash with a name used here, and the spans as in ``scan_secrets``."""
+    at = docs.columns.index(text_col)
+    rows = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    kept = [c for i, c in enumerate(rows.columns) if keep_text or i != at]
+    text = F.coalesce(F.col(f"c{at}").cast("string"), F.lit(""))
+    found = rows.select(
+        *kept,
+        F.monotonically_increasing_id().alias("row"),
         F.array_sort(F.concat(*(_spans(text, k) for k in STRONG))).alias("base"),
-        F.concat(*(_spans(text, k) for k in KINDS[3:])).alias("_weak"),
+        F.concat(*(_spans(text, k) for k in KINDS[3:])).alias("weak"),
     )
     found = staged(found, "spans")
-    paired = found.where("size(_weak) > 0 AND size(_weak) + size(base) > 1")
-    parts = paired.select("_row", F.explode(F.concat("base", "_weak")).alias("p")).select("_row", "p.*")
-    parts = parts.withColumn("_to", F.col("start" if starts else "end"))
-    low, high = F.floor(F.col("start") / reach), F.floor(F.col("_to") / reach)
-    weak = parts.where(F.col("kind") >= len(STRONG)).withColumn("_bin", F.explode(F.sequence(low - 1, high + 1)))
+    may_link = "size(weak) > 0 AND size(weak) + size(base) > 1"
+    paired = found.where(may_link)
+    parts = paired.select("row", F.explode(F.concat("base", "weak")).alias("p")).select("row", "p.*")
+    low, high = F.floor(F.col("start") / reach), F.floor(F.col("end") / reach)
+    weak = parts.where(F.col("kind") >= len(STRONG)).withColumn("bin", F.explode(F.sequence(low - 1, high + 1)))
     other = parts.where(~_is(F.col("kind"), ENDPOINTS)).select(
-        "_row", F.explode(F.sequence(low, high)).alias("_bin"), F.col("start").alias("_at"), F.col("_to").alias("_end"), F.col("kind").alias("_kind")
+        "row", F.explode(F.sequence(low, high)).alias("bin"), F.col("start").alias("at"), F.col("end").alias("to"), F.col("kind").alias("other")
     )
-    gap = F.greatest("start", "_at") - F.least("_to", "_end")
-    beside = weak.join(other, ["_row", "_bin"]).where(gap <= reach)
-    complements = beside.groupBy("_row", "start", "kind", "end").agg(
-        F.max(_is(F.col("_kind"), IDENTIFIERS)).alias("identifier"), F.max(_is(F.col("_kind"), SECRETS)).alias("secret")
+    gap = F.greatest("start", "at") - F.least("end", "to")
+    beside = weak.join(other, ["row", "bin"]).where(gap <= reach)
+    complements = beside.groupBy("row", "start", "kind", "end").agg(
+        F.max(_is(F.col("other"), IDENTIFIERS)).alias("identifier"), F.max(_is(F.col("other"), SECRETS)).alias("secret")
     )
     linked = complements.where(
         F.when(_is(F.col("kind"), IDENTIFIERS), F.col("secret"))
         .when(_is(F.col("kind"), SECRETS), F.col("identifier"))
         .otherwise(F.col("identifier") & F.col("secret"))
     )
-    linked = linked.groupBy("_row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("_linked"))
-    spans = F.array_sort(F.concat("base", F.coalesce("_linked", F.array().cast(_SPAN))))
-    return found.join(linked, "_row", "left").select(*(F.col(f"`{c}`") for c in kept), "_row", "base", spans.alias("spans"))
+    linked = linked.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("linked"))
+    spans = F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(_SPAN))))
+    # Rows that cannot have links go past the join, so their texts are not shuffled.
+    joined = paired.join(linked, "row", "left").select(*kept, "row", "base", spans.alias("spans"))
+    alone = found.where(f"NOT ({may_link})").select(*kept, "row", "base", F.col("base").alias("spans"))
+    return joined.union(alone)
 
 
-def secret_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH) -> DataFrame:
-    """Counts of the strong kinds, a digest of the strong spans, and all spans as text, one row a document.
+def scan_secrets(docs: DataFrame, reach: int = REACH, text_col: str = "text") -> DataFrame:
+    """``docs`` without its text, with ``base`` and ``spans``: arrays of ``(start, kind, end)`` sorted by start and kind.
 
-    Weak parts are linked by their starts, as in the query's SQL.
+    ``base`` has the strong kinds (``assign``, ``access``, ``hex``).  ``spans`` adds weak parts that complement each other:
+    an identifier (``id``) beside a secret, a secret (``key``) beside an identifier, an ``endpoint`` beside both, where
+    strong spans count as parts, too.  Beside means that ``reach`` code points at most lie between the parts.
+
+    One pass over the texts finds all spans; they are written with a row number.  Parts then meet in an interval join:
+    each lies in the bins from its start to its end, weak parts look one bin further on both sides in their own row.
+    Matches do not overlap, so a bin holds few and no key is hot, however many rows share a text.
+
+    Defined cases: null text is empty; repeated rows are kept apart; other columns are kept as they are, but columns
+    named ``base`` or ``spans`` are replaced; no rows give no rows.
     """
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = scan_secrets(narrow, reach, starts=True)
+    found = _scanned(docs, reach, text_col, keep_text=False)
+    named = [(f"c{i}", c) for i, c in enumerate(docs.columns) if c not in (text_col, "base", "spans")]
+    return found.select(*(F.col(place).alias(c) for place, c in named), "base", "spans")
+
+
+def secret_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH) -> DataFrame:
+    """Counts of the strong kinds, a digest of the strong spans, and all spans as text, one row a document."""
+    found = scan_secrets(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), reach)
 
     def count(kind: str) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("bigint").alias(f"n_{kind}")
@@ -143,10 +151,15 @@ def secret_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", reach: int = REACH) -> DataFrame:
     """All documents with the same columns; every secret in a text is replaced by ``[secret]``.
 
-    Overlapping spans become one mark.  ``length_col`` is set to the new length where a text changed.  Null stays null.
+    Overlapping spans become one mark.  ``length_col`` is set to the new length where a text changed.
+
+    Defined cases: null text stays null; repeated rows are kept; all other columns keep their values whatever their
+    names; no rows give no rows.
     """
-    found = scan_secrets(docs, reach, text_col, keep_text=True)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    names = docs.columns
+    found = _scanned(docs, reach, text_col, keep_text=True)
+    place = f"c{names.index(text_col)}"
+    text = F.coalesce(F.col(place).cast("string"), F.lit(""))
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
     def step(done, span):
@@ -158,10 +171,9 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | No
         return F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text)))
 
     hit = F.size("spans") > 0
-    clean = F.when(hit, F.aggregate("spans", start, step, finish)).otherwise(F.col(text_col))
-    found = found.withColumn("_clean", clean)
-    changed = {text_col: F.col("_clean")}
-    if length_col in docs.columns:
-        kind = docs.schema[length_col].dataType
-        changed[length_col] = F.when(hit, F.length("_clean").cast(kind)).otherwise(F.col(length_col))
-    return found.select(*(changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
+    found = found.withColumn("clean", F.when(hit, F.aggregate("spans", start, step, finish)).otherwise(F.col(place)))
+    changed = {place: F.col("clean")}
+    if length_col in names and length_col != text_col:
+        at = f"c{names.index(length_col)}"
+        changed[at] = F.when(hit, F.length("clean").cast(docs.schema[length_col].dataType)).otherwise(F.col(at))
+    return found.select(*(changed.get(f"c{i}", F.col(f"c{i}")).alias(c) for i, c in enumerate(names)))

@@ -37,7 +37,7 @@ def linked(text):
     weak = [(m.start(), KINDS.index(k), m.end()) for k in KINDS[3:] for m in re.finditer(PATTERNS[k], text) if usable(k, m[0])]
     found = []
     for w in weak:
-        near = {p[1] for p in base(text) + weak if abs(p[0] - w[0]) <= REACH}
+        near = {p[1] for p in base(text) + weak if max(p[0], w[0]) - min(p[2], w[2]) <= REACH}
         identifier, secret = near & {1, 3}, near & {0, 2, 4}
         if secret if w[1] == 3 else identifier if w[1] == 4 else identifier and secret:
             found.append(w)
@@ -81,6 +81,26 @@ def test_redacted_texts(spark, docs):
     assert sorted(tuple(r) for r in long.collect()) == [(1, "[secret]", 8), (2, None, 7)]
 
 
+def test_columns_of_any_name_keep_their_values(spark):
+    names = ["doc_id", "base", "spans", "row", "_row", "weak", "linked", "clean", "c0", "c1", "bin", "start", "end", "kind", "at"]
+    schema = "text string, " + ", ".join(f"{n} string" for n in names)
+    rows = [(t, *(f"{n}{i}" for n in names)) for i, t in enumerate([f"user=bob {KEY}", "clean", None, f"x {ACCESS}"])]
+    frame = spark.createDataFrame(rows, schema)
+    want = [("[secret] [secret]", *rows[0][1:]), rows[1], rows[2], ("x [secret]", *rows[3][1:])]
+    redacted = redact_secrets(frame)
+    assert redacted.schema == frame.schema and sorted(map(tuple, redacted.collect()), key=repr) == sorted(want, key=repr)
+    scanned = scan_secrets(frame)
+    kept = [n for n in names if n not in ("base", "spans")]
+    assert scanned.columns == [*kept, "base", "spans"]
+    assert sorted(tuple(r[n] for n in kept) for r in scanned.collect()) == sorted(tuple(r[1 + names.index(n)] for n in kept) for r in rows)
+
+
+def test_long_keys_and_links_are_found_from_both_sides(docs):
+    long = "eyJhbGciOiJIUzI1NiJ9" * 20
+    rows = [(1, f"x {long}\nuser=bob y"), (2, f"user=bob\n{long}")]
+    assert {r.doc_id: r.spans for r in secret_digest(docs(rows)).collect()} == {1: "key:2:402,id:403:411", 2: "id:0:8,key:9:409"}
+
+
 def test_long_keys_and_links_are_redacted(docs):
     long = "eyJhbGciOiJIUzI1NiJ9" * 20
     rows = [(1, f"x {long}\nuser=bob y"), (2, f"https://db.example.com/{'q1/' * 150}\nlogin: amy\n{KEY}"), (3, f"{long} {'y ' * 120} user=bob")]
