@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.folding import END, WIDTH, MergeMap, held_once
 from corpusloom.functions.idstrings import MISSING, SURROGATES_SIZE, SURROGATES_START, id_char, string_array
+from corpusloom.llm.staging import staged
 from corpusloom.llm.textbytes import slices, span_checks, span_hashes
 
 # Fixed value: the split rule of the rank files, which ``split_words`` follows.
@@ -24,6 +27,8 @@ MAX_RANK = 1 << 19
 LONG = 64
 HELD_WORDS = 1 << 20
 SLICE = 1 << 19
+SHARED_WORDS = 1 << 19
+SHARED_PART = 1 << 13
 
 
 def character_classes() -> np.ndarray:
@@ -154,42 +159,122 @@ def folded(words: Column, table: RankTable) -> Column:
     return table.merges().folding(all_words, "array<string>")
 
 
-def _split(docs: DataFrame, table: RankTable, classes: np.ndarray, kind: str) -> DataFrame:
+@dataclass
+class SharedWords:
+    """Words that are merged already: their hashes in ascending order, a check of each, and where its ids begin in ``text``.
+
+    ``text`` has each word's ids between two ``END``; its size follows ``SHARED_WORDS`` and ``LONG`` alone.
+    """
+
+    hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    checks: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    begins: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    text: str = ""
+
+    @classmethod
+    def of(cls, words: list[bytes], folded: list[str]) -> SharedWords:
+        """Words whose hash another one has too are left out."""
+        if not words:
+            return cls()
+        at = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+        data = np.frombuffer(b"".join(words), np.uint8)
+        hashes, first, times = np.unique(span_hashes(data, at[:-1], at[1:]), return_index=True, return_counts=True)
+        hashes, first = hashes[times == 1], first[times == 1]
+        checks = span_checks(data, at[:-1], at[1:])[first]
+        chosen = [folded[i] for i in first.tolist()]
+        return cls(hashes, checks, np.concatenate([[0], np.cumsum([len(f) for f in chosen])]).astype(np.int64), "".join(chosen))
+
+    def find(self, hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """The place of each word, -1 for those that are not here."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where((self.hashes[at] == hashes) & (self.checks[at] == checks), at, -1)
+
+
+class _Words:
+    """The words that a task has met, numbered in order of first use; it forgets them when it has met ``HELD_WORDS``."""
+
+    def __init__(self, classes: np.ndarray):
+        self.classes = classes
+        self.held: dict[bytes, int] = {}
+
+    def read(self, data: np.ndarray, at: np.ndarray):
+        """``(forgotten before, new words, their hashes and checks, number of each word, each row's first word)``."""
+        anew = len(self.held) >= HELD_WORDS
+        if anew:
+            self.held = {}
+        known = len(self.held)
+        starts, ends, firsts = split_words(data, at, self.classes)
+        hashes, checks = span_hashes(data, starts, ends), span_checks(data, starts, ends)
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if not (checks[first][which] == checks).all():
+            first = which = np.arange(len(starts))
+        raw = data.tobytes()
+        words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        numbers = np.fromiter((self.held.setdefault(w, len(self.held)) for w in words), "<u4", len(words))
+        met, place = np.unique(numbers, return_index=True)
+        place = place[met >= known]
+        return anew, [words[i] for i in place.tolist()], hashes[first][place], checks[first][place], numbers[which], firsts
+
+
+def shared_words(docs: DataFrame, table: RankTable, classes: np.ndarray, limit: int = SHARED_WORDS) -> SharedWords:
+    """The words that most tasks meet, at most ``limit`` of them, each folded once for all tasks.
+
+    All texts are counted: a task counts each of its words once, so a word is as frequent as there are tasks that would
+    fold it.  The least count to be taken is chosen from the counts of counts, and it is at least two.  It decides only where a
+    word is folded, never into what.
+    """
+    whole = table.whole
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        words = _Words(classes)
+        for batch in batches:
+            for _, _, data, at in slices(batch.column(0), SLICE):
+                fresh = [w.decode("latin-1") for w in words.read(data, at)[1] if 1 < len(w) <= LONG and w not in whole]
+                yield pa.RecordBatch.from_arrays([pa.array([fresh], pa.list_(pa.string()))], names=["words"])
+
+    met = docs.select("text").mapInArrow(run, "words array<string>").select(F.explode("words").alias("word"))
+    counts = staged(met.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "words")
+    taken, least = 0, None
+    for n, words in counts.groupBy("n").agg(F.count("*")).orderBy(F.desc("n")).toLocalIterator():
+        if taken + words > limit:
+            break
+        taken, least = taken + words, n
+    if least is None:
+        return SharedWords()
+    some = counts.where(F.col("n") >= least).select("word").repartition(math.ceil(taken / SHARED_PART))
+    found = some.select("word", folded(F.array("word"), table)[0].alias("ids")).toArrow()
+    return SharedWords.of([w.encode("latin-1") for w in found.column(0).to_pylist()], found.column(1).to_pylist())
+
+
+def _split(docs: DataFrame, table: RankTable, classes: np.ndarray, kind: str, shared: SharedWords) -> DataFrame:
     """A row for each slice of texts: the words that are new in this task, and all words as numbers in order of first use.
 
-    A task forgets its words when it has met ``HELD_WORDS``; ``anew`` says so.
+    ``anew`` says that the task has forgotten its words before this row.
     """
     ranks, whole = table.ranks, table.whole
 
-    def shown(word: bytes) -> str:
+    def shown(word: bytes, place: int) -> str:
+        if place >= 0:
+            return shared.text[shared.begins[place] : shared.begins[place + 1]]
         if len(word) <= LONG and word not in whole:
             return word.decode("latin-1")
         return END + "".join(map(_char, [ranks[word]] if word in ranks else merged(word, ranks))) + END
 
     def run(batches: Iterator[pa.RecordBatch]):
-        held: dict[bytes, int] = {}
+        words = _Words(classes)
         for batch in batches:
             for row, end, data, at in slices(batch.column(1), SLICE):
-                anew = len(held) >= HELD_WORDS
-                if anew:
-                    held = {}
-                known = len(held)
-                starts, ends, firsts = split_words(data, at, classes)
-                hashes, checks = span_hashes(data, starts, ends), span_checks(data, starts, ends)
-                _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-                if not (checks[first][which] == checks).all():
-                    first = which = np.arange(len(starts))
-                raw = data.tobytes()
-                words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-                numbers = np.fromiter((held.setdefault(w, len(held)) for w in words), "<u4", len(words))
-                fresh = [shown(w) for w, _ in zip(reversed(held), range(len(held) - known))][::-1]
+                anew, fresh, hashes, checks, stream, firsts = words.read(data, at)
+                places = shared.find(hashes, checks).tolist()
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([anew]),
-                        pa.array([fresh], pa.list_(pa.string())),
+                        pa.array([list(map(shown, fresh, places))], pa.list_(pa.string())),
                         pa.ListArray.from_arrays([0, end - row], batch.column(0).slice(row, end - row)),
                         pa.array([np.diff(firsts)], pa.list_(pa.int64())),
-                        pa.array([numbers[which].tobytes()], pa.binary()),
+                        pa.array([stream.tobytes()], pa.binary()),
                     ],
                     names=["anew", "words", "doc_ids", "counts", "stream"],
                 )
@@ -229,17 +314,19 @@ def _joined(rows: DataFrame, kind: str) -> DataFrame:
 def encode(docs: DataFrame, table: RankTable, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids``: every whole text as the ids of its words, each match of ``PATTERN`` encoded on its own.
 
-    Three steps in one stage, without a shuffle: a task splits a slice of texts and numbers the words that are new to it
-    (up to ``HELD_WORDS``, then anew); higher-order functions merge these words, each once, by a literal rank map; the
-    ids are put where the words stand.  Words of more than ``LONG`` bytes are merged by a heap while they are split,
-    as a fold takes time by the square of the length.
+    The words that most tasks meet are counted over all texts and folded first, when called (``shared_words``).  Then three
+    steps in one stage, without a shuffle: a task splits a slice of texts and numbers the words that are new to it (up to
+    ``HELD_WORDS``, then anew); higher-order functions merge those of them that are not shared, each once, by a literal rank
+    map; the ids are put where the words stand.  Words of more than ``LONG`` bytes are merged by a heap while they are
+    split, as a fold takes time by the square of the length.
 
     Defined cases: null and empty texts have no ids; repeated rows and ids keep a row each, null ids too; no rows give no
     rows; other columns are ignored.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    split = _split(rows, table, character_classes(), kind)
+    classes = character_classes()
+    split = _split(rows, table, classes, kind, shared_words(rows, table, classes))
     return _joined(split.withColumn("words", folded(F.col("words"), table)), kind)
 
 

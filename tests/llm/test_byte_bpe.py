@@ -76,6 +76,34 @@ def test_a_task_may_forget_its_words(docs, table, library, monkeypatch):
     assert got == {i: library.encode_ordinary(t) for i, t in rows}
 
 
+def test_shared_words_are_folded_once(docs, spark, table, library, monkeypatch):
+    """Words of two tasks and more are shared, the most frequent ones where there is room; ids stay those of the library."""
+    classes, rng = byte_bpe.character_classes(), random.Random(9)
+    often = ["the", "ofthattion", "日本", "naïve", "q" * 64, "q" * 65]
+    rows = [(i, " ".join([*often, *(f"w{rng.randrange(40)}" for _ in range(20))])) for i in range(60)]
+    frame = docs(rows, 4)
+    found = byte_bpe.shared_words(frame, table, classes)
+    spans = [found.text[a:b] for a, b in zip(found.begins[:-1], found.begins[1:])]
+    shared = {"the", *(f" {w}" for w in often[1:4])}
+    expected = {byte_bpe.END + "".join(map(byte_bpe._char, library.encode_ordinary(w))) + byte_bpe.END for w in shared}
+    assert expected <= set(spans) and len(spans) == len(found.hashes) == len(found.checks)
+    assert not len(byte_bpe.shared_words(frame, table, classes, limit=3).hashes)
+    assert not len(byte_bpe.shared_words(frame.coalesce(1), table, classes).hashes)
+    for limit in (0, 9, 1 << 19):
+        some = byte_bpe.shared_words(frame, table, classes, limit)
+        assert len(some.hashes) <= limit
+        monkeypatch.setattr(byte_bpe, "shared_words", lambda *_, some=some: some)
+        got = {r.doc_id: r.ids for r in byte_bpe.encode(frame, table).collect()}
+        assert got == {i: library.encode_ordinary(t) for i, t in rows}
+        monkeypatch.undo()
+
+
+def test_words_of_one_hash_are_not_shared(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "span_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64))
+    found = byte_bpe.SharedWords.of([b"aa", b"bb", b"ccc"], ["A", "B", "CC"])
+    assert found.text == "CC" and found.hashes.tolist() == [3] and len(found.checks) == 1
+
+
 def test_merges_that_make_lower_ranks_and_words_out_of_reach(docs):
     """Ranks that no training would give: the fold and the heap must still take the lowest, leftmost pair each time."""
     rng = random.Random(5)
