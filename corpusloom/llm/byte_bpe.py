@@ -163,7 +163,7 @@ def folded(words: Column, table: RankTable) -> Column:
 class SharedWords:
     """Words that are merged already: their hashes in ascending order, a check of each, and where its ids begin in ``text``.
 
-    ``text`` has each word's ids between two ``END``; its size follows ``SHARED_WORDS`` and ``LONG`` alone.
+    ``text`` has the ids' characters; its size follows ``SHARED_WORDS`` and ``LONG`` alone.
     """
 
     hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
@@ -172,17 +172,13 @@ class SharedWords:
     text: str = ""
 
     @classmethod
-    def of(cls, words: list[bytes], folded: list[str]) -> SharedWords:
-        """Words whose hash another one has too are left out."""
-        if not words:
-            return cls()
-        at = np.concatenate([[0], np.cumsum([len(w) for w in words])])
-        data = np.frombuffer(b"".join(words), np.uint8)
-        hashes, first, times = np.unique(span_hashes(data, at[:-1], at[1:]), return_index=True, return_counts=True)
+    def of(cls, hashes: np.ndarray, checks: np.ndarray, lengths: np.ndarray, text: str) -> SharedWords:
+        """From words in any order; those whose hash another one has too are left out."""
+        at = np.concatenate([[0], np.cumsum(lengths)])
+        hashes, first, times = np.unique(hashes, return_index=True, return_counts=True)
         hashes, first = hashes[times == 1], first[times == 1]
-        checks = span_checks(data, at[:-1], at[1:])[first]
-        chosen = [folded[i] for i in first.tolist()]
-        return cls(hashes, checks, np.concatenate([[0], np.cumsum([len(f) for f in chosen])]).astype(np.int64), "".join(chosen))
+        chosen = "".join(text[a:b] for a, b in zip(at[first].tolist(), at[first + 1].tolist()))
+        return cls(hashes, checks[first], np.concatenate([[0], np.cumsum(lengths[first])]), chosen)
 
     def find(self, hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
         """The place of each word, -1 for those that are not here."""
@@ -244,8 +240,22 @@ def shared_words(docs: DataFrame, table: RankTable, classes: np.ndarray, limit:
     if least is None:
         return SharedWords()
     some = counts.where(F.col("n") >= least).select("word").repartition(math.ceil(taken / SHARED_PART))
-    found = some.select("word", folded(F.array("word"), table)[0].alias("ids")).toArrow()
-    return SharedWords.of([w.encode("latin-1") for w in found.column(0).to_pylist()], found.column(1).to_pylist())
+    columns = "hashes binary, checks binary, lengths binary, text string"
+    found = some.select("word", folded(F.array("word"), table)[0].alias("ids")).mapInArrow(_hashed, columns).toArrow()
+    parts = [np.frombuffer(b"".join(found.column(i).to_pylist()), kind) for i, kind in enumerate(("<u8", "<u8", "<i8"))]
+    return SharedWords.of(*parts, "".join(found.column(3).to_pylist()))
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes, checks and ids of a batch of folded words, as one row."""
+    for batch in batches:
+        words = [w.encode("latin-1") for w in batch.column(0).to_pylist()]
+        ids = [i.strip(END) for i in batch.column(1).to_pylist()]
+        at = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
+        data = np.frombuffer(b"".join(words), np.uint8)
+        numbers = span_hashes(data, at[:-1], at[1:]), span_checks(data, at[:-1], at[1:]), np.array([len(i) for i in ids], "<i8")
+        row = [pa.array([n.tobytes()], pa.binary()) for n in numbers] + [pa.array(["".join(ids)])]
+        yield pa.RecordBatch.from_arrays(row, names=["hashes", "checks", "lengths", "text"])
 
 
 def _split(docs: DataFrame, table: RankTable, classes: np.ndarray, kind: str, shared: SharedWords) -> DataFrame:
@@ -257,7 +267,7 @@ def _split(docs: DataFrame, table: RankTable, classes: np.ndarray, kind: str, sh
 
     def shown(word: bytes, place: int) -> str:
         if place >= 0:
-            return shared.text[shared.begins[place] : shared.begins[place + 1]]
+            return END + shared.text[shared.begins[place] : shared.begins[place + 1]] + END
         if len(word) <= LONG and word not in whole:
             return word.decode("latin-1")
         return END + "".join(map(_char, [ranks[word]] if word in ranks else merged(word, ranks))) + END

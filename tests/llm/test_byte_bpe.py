@@ -85,7 +85,7 @@ def test_shared_words_are_folded_once(docs, spark, table, library, monkeypatch):
     found = byte_bpe.shared_words(frame, table, classes)
     spans = [found.text[a:b] for a, b in zip(found.begins[:-1], found.begins[1:])]
     shared = {"the", *(f" {w}" for w in often[1:4])}
-    expected = {byte_bpe.END + "".join(map(byte_bpe._char, library.encode_ordinary(w))) + byte_bpe.END for w in shared}
+    expected = {"".join(map(byte_bpe._char, library.encode_ordinary(w))) for w in shared}
     assert expected <= set(spans) and len(spans) == len(found.hashes) == len(found.checks)
     assert not len(byte_bpe.shared_words(frame, table, classes, limit=3).hashes)
     assert not len(byte_bpe.shared_words(frame.coalesce(1), table, classes).hashes)
@@ -98,10 +98,10 @@ def test_shared_words_are_folded_once(docs, spark, table, library, monkeypatch):
         monkeypatch.undo()
 
 
-def test_words_of_one_hash_are_not_shared(monkeypatch):
-    monkeypatch.setattr(byte_bpe, "span_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64))
-    found = byte_bpe.SharedWords.of([b"aa", b"bb", b"ccc"], ["A", "B", "CC"])
-    assert found.text == "CC" and found.hashes.tolist() == [3] and len(found.checks) == 1
+def test_words_of_one_hash_are_not_shared():
+    found = byte_bpe.SharedWords.of(np.array([7, 3, 7], "u8"), np.array([1, 2, 3], "u8"), np.array([1, 2, 1]), "ACCB")
+    assert found.text == "CC" and found.hashes.tolist() == [3] and found.checks.tolist() == [2]
+    assert found.find(np.array([3, 3, 7], "u8"), np.array([2, 1, 1], "u8")).tolist() == [0, -1, -1]
 
 
 def test_merges_that_make_lower_ranks_and_words_out_of_reach(docs):
