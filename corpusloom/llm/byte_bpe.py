@@ -25,8 +25,8 @@ ONE_LETTER, TWO_LETTERS = "stmd", ("re", "ve", "ll")
 LETTER, NUMBER, SPACE = 1, 2, 3
 MAX_RANK = 1 << 19
 LONG = 64
-HELD_WORDS = 1 << 20
-SLICE = 1 << 19
+HELD_WORDS = 1 << 18
+SLICE = 1 << 18
 SHARED_WORDS = 1 << 19
 SHARED_PART = 1 << 13
 
