@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
-import math
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.folding import END, WIDTH, MergeMap, held_once
 from corpusloom.functions.idstrings import MISSING, SURROGATES_SIZE, SURROGATES_START, id_char, string_array
-from corpusloom.llm.staging import staged
 from corpusloom.llm.textbytes import slices, span_checks, span_hashes
 
 # Fixed value: the split rule of the rank files, which ``split_words`` follows.
@@ -25,10 +24,8 @@ ONE_LETTER, TWO_LETTERS = "stmd", ("re", "ve", "ll")
 LETTER, NUMBER, SPACE = 1, 2, 3
 MAX_RANK = 1 << 19
 LONG = 64
-HELD_WORDS = 1 << 18
-SLICE = 1 << 18
-SHARED_WORDS = 1 << 19
-SHARED_PART = 1 << 13
+HELD_WORDS = 1 << 20
+SLICE = 1 << 19
 
 
 def character_classes() -> np.ndarray:
@@ -107,7 +104,7 @@ def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 class RankTable:
     """The ranks of a file: the bytes of each id, and which ids two neighbouring ids become.
 
-    ``whole`` has the words that are an id although their merges do not lead there; such a word is that id.
+    A word that is an id is that id and needs no fold; ``whole`` has those whose merges do not lead there.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -131,6 +128,11 @@ class RankTable:
         words = {r: w.decode("latin-1") for w, r in self.ranks.items()}
         return string_array(words.get(r, MISSING) for r in range(max(words) + 1))
 
+    def binary_pieces(self) -> pa.Array:
+        """Each id's bytes, null where there is no such id."""
+        words = {r: w for w, r in self.ranks.items()}
+        return pa.array([words.get(r) for r in range(max(words) + 1)], pa.binary())
+
     def merges(self) -> MergeMap:
         """The rank map as a constant."""
         return MergeMap((_char(left), _char(right), _char(rank)) for (left, right), rank in self.pairs.items())
@@ -159,132 +161,44 @@ def folded(words: Column, table: RankTable) -> Column:
     return table.merges().folding(all_words, "array<string>")
 
 
-@dataclass
-class SharedWords:
-    """Words that are merged already: their hashes in ascending order, a check of each, and where its ids begin in ``text``.
-
-    ``text`` has the ids' characters; its size follows ``SHARED_WORDS`` and ``LONG`` alone.
-    """
-
-    hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    checks: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    begins: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-    text: str = ""
-
-    @classmethod
-    def of(cls, hashes: np.ndarray, checks: np.ndarray, lengths: np.ndarray, text: str) -> SharedWords:
-        """From words in any order; those whose hash another one has too are left out."""
-        at = np.concatenate([[0], np.cumsum(lengths)])
-        hashes, first, times = np.unique(hashes, return_index=True, return_counts=True)
-        hashes, first = hashes[times == 1], first[times == 1]
-        chosen = "".join(text[a:b] for a, b in zip(at[first].tolist(), at[first + 1].tolist()))
-        return cls(hashes, checks[first], np.concatenate([[0], np.cumsum(lengths[first])]), chosen)
-
-    def find(self, hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
-        """The place of each word, -1 for those that are not here."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where((self.hashes[at] == hashes) & (self.checks[at] == checks), at, -1)
-
-
-class _Words:
-    """The words that a task has met, numbered in order of first use; it forgets them when it has met ``HELD_WORDS``."""
-
-    def __init__(self, classes: np.ndarray):
-        self.classes = classes
-        self.held: dict[bytes, int] = {}
-
-    def read(self, data: np.ndarray, at: np.ndarray):
-        """``(forgotten before, new words, their hashes and checks, number of each word, each row's first word)``."""
-        anew = len(self.held) >= HELD_WORDS
-        if anew:
-            self.held = {}
-        known = len(self.held)
-        starts, ends, firsts = split_words(data, at, self.classes)
-        hashes, checks = span_hashes(data, starts, ends), span_checks(data, starts, ends)
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if not (checks[first][which] == checks).all():
-            first = which = np.arange(len(starts))
-        raw = data.tobytes()
-        words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        numbers = np.fromiter((self.held.setdefault(w, len(self.held)) for w in words), "<u4", len(words))
-        met, place = np.unique(numbers, return_index=True)
-        place = place[met >= known]
-        return anew, [words[i] for i in place.tolist()], hashes[first][place], checks[first][place], numbers[which], firsts
-
-
-def shared_words(docs: DataFrame, table: RankTable, classes: np.ndarray, limit: int = SHARED_WORDS) -> SharedWords:
-    """The words that most tasks meet, at most ``limit`` of them, each folded once for all tasks.
-
-    All texts are counted: a task counts each of its words once, so a word is as frequent as there are tasks that would
-    fold it.  The least count to be taken is chosen from the counts of counts, and it is at least two.  It decides only where a
-    word is folded, never into what.
-    """
-    whole = table.whole
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        words = _Words(classes)
-        for batch in batches:
-            for _, _, data, at in slices(batch.column(0), SLICE):
-                fresh = [w.decode("latin-1") for w in words.read(data, at)[1] if 1 < len(w) <= LONG and w not in whole]
-                yield pa.RecordBatch.from_arrays([pa.array([fresh], pa.list_(pa.string()))], names=["words"])
-
-    met = docs.select("text").mapInArrow(run, "words array<string>").select(F.explode("words").alias("word"))
-    counts = staged(met.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "words")
-    taken, least = 0, None
-    for n, words in counts.groupBy("n").agg(F.count("*")).orderBy(F.desc("n")).toLocalIterator():
-        if taken + words > limit:
-            break
-        taken, least = taken + words, n
-    if least is None:
-        return SharedWords()
-    some = counts.where(F.col("n") >= least).select("word").repartition(math.ceil(taken / SHARED_PART))
-    columns = "hashes binary, checks binary, lengths binary, text string"
-    found = some.select("word", folded(F.array("word"), table)[0].alias("ids")).mapInArrow(_hashed, columns).toArrow()
-    parts = [np.frombuffer(b"".join(found.column(i).to_pylist()), kind) for i, kind in enumerate(("<u8", "<u8", "<i8"))]
-    return SharedWords.of(*parts, "".join(found.column(3).to_pylist()))
-
-
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes, checks and ids of a batch of folded words, as one row."""
-    for batch in batches:
-        words = [w.encode("latin-1") for w in batch.column(0).to_pylist()]
-        ids = [i.strip(END) for i in batch.column(1).to_pylist()]
-        at = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
-        data = np.frombuffer(b"".join(words), np.uint8)
-        numbers = span_hashes(data, at[:-1], at[1:]), span_checks(data, at[:-1], at[1:]), np.array([len(i) for i in ids], "<i8")
-        row = [pa.array([n.tobytes()], pa.binary()) for n in numbers] + [pa.array(["".join(ids)])]
-        yield pa.RecordBatch.from_arrays(row, names=["hashes", "checks", "lengths", "text"])
-
-
-def _split(docs: DataFrame, table: RankTable, classes: np.ndarray, kind: str, shared: SharedWords) -> DataFrame:
+def _split(docs: DataFrame, table: RankTable, classes: np.ndarray, kind: str) -> DataFrame:
     """A row for each slice of texts: the words that are new in this task, and all words as numbers in order of first use.
 
-    ``anew`` says that the task has forgotten its words before this row.
+    A task forgets its words when it has met ``HELD_WORDS``; ``anew`` says so.
     """
-    ranks, whole = table.ranks, table.whole
+    ranks = table.ranks
 
-    def shown(word: bytes, place: int) -> str:
-        if place >= 0:
-            return END + shared.text[shared.begins[place] : shared.begins[place + 1]] + END
-        if len(word) <= LONG and word not in whole:
+    def shown(word: bytes) -> str:
+        if (rank := ranks.get(word)) is not None:
+            return END + _char(rank) + END
+        if len(word) <= LONG:
             return word.decode("latin-1")
-        return END + "".join(map(_char, [ranks[word]] if word in ranks else merged(word, ranks))) + END
+        return END + "".join(map(_char, merged(word, ranks))) + END
 
     def run(batches: Iterator[pa.RecordBatch]):
-        words = _Words(classes)
+        held: dict[bytes, int] = {}
         for batch in batches:
             for row, end, data, at in slices(batch.column(1), SLICE):
-                anew, fresh, hashes, checks, stream, firsts = words.read(data, at)
-                places = shared.find(hashes, checks).tolist()
+                anew = len(held) >= HELD_WORDS
+                if anew:
+                    held = {}
+                known = len(held)
+                starts, ends, firsts = split_words(data, at, classes)
+                hashes, checks = span_hashes(data, starts, ends), span_checks(data, starts, ends)
+                _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+                if not (checks[first][which] == checks).all():
+                    first = which = np.arange(len(starts))
+                raw = data.tobytes()
+                words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+                numbers = np.fromiter((held.setdefault(w, len(held)) for w in words), "<u4", len(words))
+                fresh = [shown(w) for w, _ in zip(reversed(held), range(len(held) - known))][::-1]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([anew]),
-                        pa.array([list(map(shown, fresh, places))], pa.list_(pa.string())),
+                        pa.array([fresh], pa.list_(pa.string())),
                         pa.ListArray.from_arrays([0, end - row], batch.column(0).slice(row, end - row)),
                         pa.array([np.diff(firsts)], pa.list_(pa.int64())),
-                        pa.array([stream.tobytes()], pa.binary()),
+                        pa.array([numbers[which].tobytes()], pa.binary()),
                     ],
                     names=["anew", "words", "doc_ids", "counts", "stream"],
                 )
@@ -293,8 +207,13 @@ def _split(docs: DataFrame, table: RankTable, classes: np.ndarray, kind: str, sh
     return docs.mapInArrow(run, schema)
 
 
-def _joined(rows: DataFrame, kind: str) -> DataFrame:
-    """``(doc_id, ids)``: the ids of each word put where the word stands.  Rows come in the order they were split in."""
+def _ids(lists: pa.ListArray) -> dict[str, pa.Array]:
+    return {"ids": lists}
+
+
+def _joined(rows: DataFrame, kind: str, finish: Callable[[pa.ListArray], dict[str, pa.Array]], columns: str) -> DataFrame:
+    """The ids of each word put where the word stands, and what ``finish`` makes of the texts' lists of ids, as ``columns``
+    after ``doc_id``.  Rows come in the order they were split in."""
     end = ord(END)
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -314,30 +233,33 @@ def _joined(rows: DataFrame, kind: str) -> DataFrame:
                 at = np.concatenate([[0], np.cumsum(counts)])
                 found = ids[np.repeat(before[stream] - at[:-1], counts) + np.arange(at[-1])]
                 words = np.concatenate([[0], np.cumsum(batch.column(3)[i].values.to_numpy())])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(2)[i].values, pa.ListArray.from_arrays(at[words].astype(np.int32), found)], names=["doc_id", "ids"]
-                )
+                made = finish(pa.ListArray.from_arrays(at[words].astype(np.int32), found))
+                yield pa.RecordBatch.from_arrays([batch.column(2)[i].values, *made.values()], names=["doc_id", *made])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return rows.mapInArrow(run, f"doc_id {kind}, {columns}")
+
+
+def _encoded(
+    docs: DataFrame, table: RankTable, id_col: str, text_col: str, finish: Callable[[pa.ListArray], dict[str, pa.Array]], columns: str
+) -> DataFrame:
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    split = _split(rows, table, character_classes(), kind)
+    return _joined(split.withColumn("words", folded(F.col("words"), table)), kind, finish, columns)
 
 
 def encode(docs: DataFrame, table: RankTable, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids``: every whole text as the ids of its words, each match of ``PATTERN`` encoded on its own.
 
-    The words that most tasks meet are counted over all texts and folded first, when called (``shared_words``).  Then three
-    steps in one stage, without a shuffle: a task splits a slice of texts and numbers the words that are new to it (up to
-    ``HELD_WORDS``, then anew); higher-order functions merge those of them that are not shared, each once, by a literal rank
-    map; the ids are put where the words stand.  Words of more than ``LONG`` bytes are merged by a heap while they are
-    split, as a fold takes time by the square of the length.
+    Three steps in one stage, without a shuffle: a task splits a slice of texts and numbers the words that are new to it
+    (up to ``HELD_WORDS``, then anew); higher-order functions merge these words, each once, by a literal rank map; the
+    ids are put where the words stand.  Words of more than ``LONG`` bytes are merged by a heap while they are split,
+    as a fold takes time by the square of the length.
 
     Defined cases: null and empty texts have no ids; repeated rows and ids keep a row each, null ids too; no rows give no
     rows; other columns are ignored.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    classes = character_classes()
-    split = _split(rows, table, classes, kind, shared_words(rows, table, classes))
-    return _joined(split.withColumn("words", folded(F.col("words"), table)), kind)
+    return _encoded(docs, table, id_col, text_col, _ids, "ids array<int>")
 
 
 def decoded(ids: Column, table: RankTable) -> Column:
@@ -347,11 +269,32 @@ def decoded(ids: Column, table: RankTable) -> Column:
     return F.encode(F.when(F.contains(joined, F.lit(MISSING)), unknown).otherwise(joined), "ISO-8859-1")
 
 
+def concatenated(lists: pa.ListArray, pieces: pa.Array) -> pa.Array:
+    """The bytes of lists of ids in a task: their pieces one after the other.  An id that the file does not have raises."""
+    parts = pieces.take(lists.values)
+    if parts.null_count:
+        raise ValueError("an id that the ranks do not have")
+    return pc.binary_join(pa.ListArray.from_arrays(lists.offsets, parts), b"")
+
+
+def _sha256(values: pa.Array) -> pa.Array:
+    return pa.array([hashlib.sha256(v.as_buffer()).hexdigest() for v in values], pa.string())
+
+
 def bpe_digest(docs: DataFrame, table: RankTable, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts and digests of every text's ids and of the bytes that they decode to, one row a document."""
-    return encode(docs, table, id_col, text_col).select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(decoded(F.col("ids"), table), 256).alias("decoded_sha256"),
-    )
+    """Counts and digests of every text's ids and of the bytes that they decode to, one row a document.
+
+    The ids are those of ``encode``; they are written as decimals and decoded where they are put together, so the lists
+    need not leave the task.
+    """
+    pieces = table.binary_pieces()
+
+    def digests(lists: pa.ListArray) -> dict[str, pa.Array]:
+        decimals = pa.ListArray.from_arrays(lists.offsets, lists.values.cast(pa.string()))
+        return {
+            "n_tokens": pc.list_value_length(lists).cast(pa.int64()),
+            "ids_sha256": _sha256(pc.binary_join(decimals, ",")),
+            "decoded_sha256": _sha256(concatenated(lists, pieces)),
+        }
+
+    return _encoded(docs, table, id_col, text_col, digests, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -76,34 +76,6 @@ def test_a_task_may_forget_its_words(docs, table, library, monkeypatch):
     assert got == {i: library.encode_ordinary(t) for i, t in rows}
 
 
-def test_shared_words_are_folded_once(docs, spark, table, library, monkeypatch):
-    """Words of two tasks and more are shared, the most frequent ones where there is room; ids stay those of the library."""
-    classes, rng = byte_bpe.character_classes(), random.Random(9)
-    often = ["the", "ofthattion", "日本", "naïve", "q" * 64, "q" * 65]
-    rows = [(i, " ".join([*often, *(f"w{rng.randrange(40)}" for _ in range(20))])) for i in range(60)]
-    frame = docs(rows, 4)
-    found = byte_bpe.shared_words(frame, table, classes)
-    spans = [found.text[a:b] for a, b in zip(found.begins[:-1], found.begins[1:])]
-    shared = {"the", *(f" {w}" for w in often[1:4])}
-    expected = {"".join(map(byte_bpe._char, library.encode_ordinary(w))) for w in shared}
-    assert expected <= set(spans) and len(spans) == len(found.hashes) == len(found.checks)
-    assert not len(byte_bpe.shared_words(frame, table, classes, limit=3).hashes)
-    assert not len(byte_bpe.shared_words(frame.coalesce(1), table, classes).hashes)
-    for limit in (0, 9, 1 << 19):
-        some = byte_bpe.shared_words(frame, table, classes, limit)
-        assert len(some.hashes) <= limit
-        monkeypatch.setattr(byte_bpe, "shared_words", lambda *_, some=some: some)
-        got = {r.doc_id: r.ids for r in byte_bpe.encode(frame, table).collect()}
-        assert got == {i: library.encode_ordinary(t) for i, t in rows}
-        monkeypatch.undo()
-
-
-def test_words_of_one_hash_are_not_shared():
-    found = byte_bpe.SharedWords.of(np.array([7, 3, 7], "u8"), np.array([1, 2, 3], "u8"), np.array([1, 2, 1]), "ACCB")
-    assert found.text == "CC" and found.hashes.tolist() == [3] and found.checks.tolist() == [2]
-    assert found.find(np.array([3, 3, 7], "u8"), np.array([2, 1, 1], "u8")).tolist() == [0, -1, -1]
-
-
 def test_merges_that_make_lower_ranks_and_words_out_of_reach(docs):
     """Ranks that no training would give: the fold and the heap must still take the lowest, leftmost pair each time."""
     rng = random.Random(5)
@@ -128,6 +100,18 @@ def test_ids_decode_to_their_bytes(spark, table):
         spark.createDataFrame([([60_000],)], "ids array<int>").select(byte_bpe.decoded(frame.ids, table)).collect()
 
 
+def test_lists_of_ids_decode_in_a_task(table):
+    pa = pytest.importorskip("pyarrow")
+    pieces = table.binary_pieces()
+    lists = pa.ListArray.from_arrays(pa.array([0, 4, 4, 5], pa.int32()), pa.array([104, 256, 0, 255, 300], pa.int32()))
+    words = {r: w for w, r in table.ranks.items()}
+    assert byte_bpe.concatenated(lists, pieces).to_pylist() == [b"".join(words[i] for i in (104, 256, 0, 255)), b"", words[300]]
+    assert byte_bpe.concatenated(lists[1:2], pieces).to_pylist() == [b""]
+    gaps = byte_bpe.RankTable({**{bytes([i]): i for i in range(256)}, b"ab": 300}).binary_pieces()
+    with pytest.raises(ValueError):
+        byte_bpe.concatenated(lists, gaps)
+
+
 def test_bad_rank_files_are_refused():
     single = {bytes([i]): i for i in range(256)}
     for ranks in ({b"a": 0}, {**single, b"ab": 7}, {**single, b"ab": byte_bpe.MAX_RANK}):
