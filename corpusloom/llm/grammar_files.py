@@ -14,66 +14,60 @@ from corpusloom.llm.encoding import ENCODED_BYTES, END_ID, encoder, part_bases
 from corpusloom.llm.textbytes import slices
 
 BLOCK_IDS = 1 << 20
-MIN_COUNT = 32
+MIN_COUNT = 4
 RULES_A_ROUND = 4096
-ROUNDS = 8
-MIN_GAIN = 1 / 64
-_SLOT_BITS = 18
-_SPREAD = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77))
+_FILTER_BITS = 18
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _slots(pairs: np.ndarray) -> np.ndarray:
+    return ((pairs * _SPREAD) >> np.uint64(64 - _FILTER_BITS)).astype(np.intp)
 
 
 def re_pair(
-    ids: np.ndarray,
-    min_count: int = MIN_COUNT,
-    per_round: int = RULES_A_ROUND,
-    rounds: int = ROUNDS,
-    min_gain: float = MIN_GAIN,
+    ids: np.ndarray, min_count: int = MIN_COUNT, per_round: int = RULES_A_ROUND, min_gain: float = 0.0
 ) -> tuple[np.ndarray, np.ndarray, int]:
     """``(symbols, rules, base)``: rule k says that symbol ``base + k`` stands for two earlier symbols.
 
-    Each round counts all neighbouring pairs, gives the most frequent ones a nonterminal each (``per_round`` at most,
-    none below ``min_count``) and replaces them from the left.  It ends after ``rounds`` rounds, when no pair is frequent,
-    or when a round shortens the block by less than ``min_gain``.  Pairs are counted in hashed slots; the first pair of a
-    slot has it, and its own occurrences are counted before it gets a rule.  The ids come back exactly in any case.
+    Each round sorts all neighbouring pairs to count them, gives the most frequent ones a nonterminal each (``per_round``
+    at most, the others wait for the next round; none below ``min_count``) and replaces them from the left.  It ends when
+    no pair is frequent any more: when none has ``min_count`` occurrences, or none that keep clear of each other.
+    ``min_gain`` ends it earlier, after a round that shortens the block by less than that share.
     """
     symbols = ids.astype(np.uint32)
     base = int(ids.max()) + 1 if len(ids) else 0
     rules: list[np.ndarray] = []
     names = base
-    slot_count = 1 << _SLOT_BITS
-    owner, name = np.zeros(slot_count, np.int32), np.zeros(slot_count, np.uint32)
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
-        slots = symbols[:-1] * _SPREAD[0]
-        slots ^= (symbols[1:] + np.uint32(1)) * _SPREAD[1]
-        slots = (slots >> np.uint32(32 - _SLOT_BITS)).astype(np.intp)
-        counts = np.bincount(slots, minlength=slot_count)
+    while len(symbols) > 1:
+        keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
+        in_order = np.sort(keys)
+        last = np.flatnonzero(np.append(in_order[1:] != in_order[:-1], True))
+        counts = np.diff(last, prepend=-1)
         frequent = np.flatnonzero(counts >= min_count)
         if len(frequent) > per_round:
-            frequent = frequent[np.argsort(-counts[frequent], kind="stable")[:per_round]]
-        wanted = np.zeros(slot_count, bool)
-        wanted[frequent] = True
-        at = np.flatnonzero(wanted[slots])
-        slot = slots[at]
-        owner[slot[::-1]] = at[::-1]
-        first = owner[slot]
-        same = (symbols[first] == symbols[at]) & (symbols[first + 1] == symbols[at + 1])
-        at, slot = at[same], slot[same]
+            most = np.argsort(-counts[frequent], kind="stable")[:per_round]
+            frequent = np.sort(frequent[most])
+        if not len(frequent):
+            break
+        pairs = in_order[last[frequent]]
+        wanted = np.zeros(1 << _FILTER_BITS, bool)  # spares most places the search among the pairs
+        wanted[_slots(pairs)] = True
+        at = np.flatnonzero(wanted[_slots(keys)])
+        which = np.minimum(np.searchsorted(pairs, keys[at]), len(pairs) - 1)
+        same = pairs[which] == keys[at]
+        at, which = at[same], which[same]
         order = np.arange(len(at))
         opens = np.diff(at, prepend=-2) != 1
         turn = (order - np.maximum.accumulate(np.where(opens, order, 0))) % 2 == 0
-        at, slot = at[turn], slot[turn]
-        used = np.bincount(slot, minlength=slot_count)
-        often = used[slot] >= min_count
-        at, slot = at[often], slot[often]
+        at, which = at[turn], which[turn]
+        often = np.bincount(which, minlength=len(pairs)) >= min_count
+        at, which = at[often[which]], which[often[which]]
         if not len(at):
             break
-        chosen = frequent[used[frequent] >= min_count]
-        name[chosen] = np.arange(names, names + len(chosen), dtype=np.uint32)
+        chosen = pairs[often]
+        rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        symbols[at] = (names + np.cumsum(often) - 1)[which]
         names += len(chosen)
-        rules.append(np.stack([symbols[owner[chosen]], symbols[owner[chosen] + 1]], 1))
-        symbols[at] = name[slot]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols = symbols[keep]

@@ -85,3 +85,21 @@ def test_grammar_round_trip_and_random_access(seed):
 def test_frequent_pairs_are_replaced():
     symbols, rules, base = re_pair(np.array([5, 6] * 400, np.uint32), min_count=2)
     assert len(symbols) < 10 and rules[0].tolist() == [5, 6] and base == 7
+
+
+@pytest.mark.parametrize("min_count", [2, 4])
+def test_no_frequent_pair_is_left(min_count):
+    rng = np.random.default_rng(min_count)
+    ids = (rng.zipf(1.3, 60_000) % 3000).astype(np.uint32)
+    symbols, rules, base = re_pair(ids, min_count=min_count, per_round=300)
+    assert (expand(symbols, rules, base) == ids).all()
+    pairs, counts = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)
+    # What is left often enough at all overlaps with itself or with other such pairs.
+    often = {tuple(p) for p in pairs[:, counts >= min_count].T.tolist()}
+    used, end = dict.fromkeys(often, 0), -1
+    for i, p in enumerate(zip(symbols[:-1].tolist(), symbols[1:].tolist())):
+        if p in often and i > end:
+            used[p] += 1
+            end = i + 1
+    assert all(n < min_count for n in used.values())
+    assert len(symbols) + 2 * len(rules) < 0.9 * len(ids)
