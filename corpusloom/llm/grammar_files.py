@@ -16,12 +16,17 @@ from corpusloom.llm.textbytes import slices
 BLOCK_IDS = 1 << 20
 MIN_COUNT = 4
 RULES_A_ROUND = 4096
-_FILTER_BITS = 18
-_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _slots(pairs: np.ndarray) -> np.ndarray:
-    return ((pairs * _SPREAD) >> np.uint64(64 - _FILTER_BITS)).astype(np.intp)
+def _in_order(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and their ascending places, by key and then by place."""
+    bits = int(places[-1]).bit_length()
+    if int(keys.max()).bit_length() + bits > 64:
+        order = np.argsort(keys, kind="stable")
+        return keys[order], places[order]
+    both = (keys << np.uint64(bits)) | places.astype(np.uint64)  # one sort of numbers is faster than one of indices
+    both.sort()
+    return both >> np.uint64(bits), (both & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
 def re_pair(
@@ -29,48 +34,55 @@ def re_pair(
 ) -> tuple[np.ndarray, np.ndarray, int]:
     """``(symbols, rules, base)``: rule k says that symbol ``base + k`` stands for two earlier symbols.
 
-    Each round sorts all neighbouring pairs to count them, gives the most frequent ones a nonterminal each (``per_round``
+    Each round counts neighbouring pairs by sorting them, gives the most frequent ones a nonterminal each (``per_round``
     at most, the others wait for the next round; none below ``min_count``) and replaces them from the left.  It ends when
     no pair is frequent any more: when none has ``min_count`` occurrences, or none that keep clear of each other.
     ``min_gain`` ends it earlier, after a round that shortens the block by less than that share.
+
+    A pair of old symbols never gains occurrences, so one that is not frequent is not looked at again: a round sorts the
+    places of pairs that were frequent and those beside a new symbol, which are all places that pairs frequent now have.
     """
     symbols = ids.astype(np.uint32)
     base = int(ids.max()) + 1 if len(ids) else 0
     rules: list[np.ndarray] = []
     names = base
-    while len(symbols) > 1:
-        keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        in_order = np.sort(keys)
-        last = np.flatnonzero(np.append(in_order[1:] != in_order[:-1], True))
-        counts = np.diff(last, prepend=-1)
+    live = np.arange(len(symbols) - 1)
+    while len(live):
+        half = np.uint64(names.bit_length())
+        keys, places = _in_order((symbols[live].astype(np.uint64) << half) | symbols[live + 1], live)
+        firsts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        counts = np.diff(firsts, append=len(keys))
         frequent = np.flatnonzero(counts >= min_count)
-        if len(frequent) > per_round:
-            most = np.argsort(-counts[frequent], kind="stable")[:per_round]
-            frequent = np.sort(frequent[most])
         if not len(frequent):
             break
-        pairs = in_order[last[frequent]]
-        wanted = np.zeros(1 << _FILTER_BITS, bool)  # spares most places the search among the pairs
-        wanted[_slots(pairs)] = True
-        at = np.flatnonzero(wanted[_slots(keys)])
-        which = np.minimum(np.searchsorted(pairs, keys[at]), len(pairs) - 1)
-        same = pairs[which] == keys[at]
-        at, which = at[same], which[same]
+        group = np.full(len(counts), -2, np.int32)  # -2: not frequent, -1: waits, else the number of the pair
+        group[frequent] = -1
+        if len(frequent) > per_round:
+            frequent = np.sort(frequent[np.argsort(-counts[frequent], kind="stable")[:per_round]])
+        group[frequent] = np.arange(len(frequent))
+        pair_at = np.full(len(symbols), -2, np.int32)
+        pair_at[places] = np.repeat(group, counts)
+        at = np.flatnonzero(pair_at >= 0)
+        which = pair_at[at]
         order = np.arange(len(at))
         opens = np.diff(at, prepend=-2) != 1
         turn = (order - np.maximum.accumulate(np.where(opens, order, 0))) % 2 == 0
         at, which = at[turn], which[turn]
-        often = np.bincount(which, minlength=len(pairs)) >= min_count
+        often = np.bincount(which, minlength=len(frequent)) >= min_count
         at, which = at[often[which]], which[often[which]]
         if not len(at):
             break
-        chosen = pairs[often]
-        rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        chosen = keys[firsts[frequent[often]]]
+        rules.append(np.stack([chosen >> half, chosen & ((np.uint64(1) << half) - np.uint64(1))], 1).astype(np.uint32))
         symbols[at] = (names + np.cumsum(often) - 1)[which]
         names += len(chosen)
+        stays = pair_at >= -1
+        stays[at] = True
+        stays[np.maximum(at - 1, 0)] = True
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols = symbols[keep]
+        live = np.flatnonzero(stays[keep][:-1])
         if len(at) < min_gain * len(keep):
             break
     return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), base
