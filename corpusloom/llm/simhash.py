@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from corpusloom.llm.components import connected_components
 from corpusloom.llm.staging import staged
 from corpusloom.llm.textbytes import slices, word_bounds
+from corpusloom.plans.offsets import small_side
 
 SHINGLE = 3
 SEED = 42
@@ -129,7 +130,7 @@ def keep_one(
     first; a null id stays only where the whole group has none.
 
     The documents are written once with their fingerprints and a row number; groups are formed from these two narrow
-    columns, and the rows that stay are picked by row number.
+    columns, and the rows that go are dropped by row number.
     """
     at_column, names = docs.columns.index(text_col), docs.columns
 
@@ -147,7 +148,9 @@ def keep_one(
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first")
     roots = rooted_fingerprints(narrow, radius)
     best = narrow.groupBy("fingerprint").agg(first).join(roots, "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
-    stay = rows.join(best.select(F.col("first._row").alias("_row")), "_row", "left_semi")
+    # Rows that go are fewer than rows that stay; while they are counted to be few, no text is shuffled.
+    gone = staged(narrow.select("_row").join(best.select(F.col("first._row").alias("_row")), "_row", "left_anti"), "gone")
+    stay = rows.join(small_side(gone), "_row", "left_anti")
     return stay.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))
 
 

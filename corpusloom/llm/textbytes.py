@@ -100,6 +100,14 @@ def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(h[: len(words) - n + 1])
 
 
+def sequence_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of ``words[start:end]`` for spans of any lengths: equal words give equal hashes wherever they lie."""
+    up, down = _power(len(words) + 1)
+    sums = np.zeros(len(words) + 1, U64)
+    np.cumsum(words * up[:-1], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64))
+
+
 def row_of(firsts: np.ndarray) -> np.ndarray:
     """The row of each element, given where the rows' elements begin (and the total)."""
     return np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
