@@ -67,7 +67,7 @@ def main() -> None:
     timed("read_token_shards", lambda: drain(cl.read_token_shards(spark, folder, "train")))
 
     def batches():
-        shards = cl.pack_shards(tokens, q.SHARD_SIZE).where("split = 'train'")
+        shards = cl.read_token_shards(spark, folder, "train")
         plan = cl.batch_plan(cl.shard_manifest(shards), 8, 1024, 1)
         drain(cl.materialize_batches(shards, plan, 8, 1024))
 

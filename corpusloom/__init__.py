@@ -24,6 +24,8 @@ from corpusloom.operators.choices import (
     pad_choices,
     position_losses,
     render_choices,
+    sliced_losses,
+    sliced_position_losses,
 )
 from corpusloom.operators.codec import decode_corpus, encode_corpus, round_trip_report, special_token_audit
 from corpusloom.operators.packing import (
@@ -36,7 +38,7 @@ from corpusloom.operators.packing import (
     tokenize_documents,
     validate_token_ids,
 )
-from corpusloom.operators.pretokens import byte_tokens, pretoken_counts, split_pretokens
+from corpusloom.operators.pretokens import byte_tokens, dense_order, pretoken_counts, split_pretokens
 from corpusloom.operators.scoring import (
     batch_losses,
     bigram_counts,

@@ -90,6 +90,45 @@ def cross_entropy(logits: DataFrame, positions: DataFrame, keys: list[str]) -> D
     )
 
 
+def sliced_losses(slices: DataFrame, keys: list[str]) -> DataFrame:
+    """``(*keys, loss)``: cross-entropy where the logits of a position come in slices of the vocabulary.
+
+    ``slices`` holds rows ``(*keys, target, first_id, logits ARRAY<number>)``: the logits of the ids from ``first_id`` on, as
+    a scorer with a divided output layer gives them.  Each slice becomes its largest logit, the sum of exponentials
+    relative to it, and the target's logit if it lies there; only these three numbers are shuffled.  A position whose
+    target has no logit, or has one in several slices, raises.
+    """
+    values = F.col("logits")
+    largest = F.array_max(values).cast("double")
+    nothing = largest.isNull() | (largest == float("-inf"))
+    total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + F.exp(x.cast("double") - F.col("_largest")))
+    inside = (F.col("target") >= F.col("first_id")) & (F.col("target") - F.col("first_id") < F.size(values))
+    found = F.when(inside, F.get(values, (F.col("target") - F.col("first_id")).cast("int")).cast("double"))
+    parts = (
+        slices.withColumn("_largest", F.when(~nothing, largest))
+        .select(*keys, "_largest", F.when(~nothing, total).alias("_total"), found.alias("_wanted"))
+        .groupBy(*keys)
+        .agg(
+            F.max("_largest").alias("_most"),
+            F.collect_list(F.when(~F.isnull("_largest"), F.struct("_largest", "_total"))).alias("_parts"),
+            F.max("_wanted").alias("_wanted"),
+            F.count("_wanted").alias("_times"),
+        )
+    )
+    whole = F.aggregate("_parts", F.lit(0.0), lambda acc, p: acc + p["_total"] * F.exp(p["_largest"] - F.col("_most")))
+    wrong = F.raise_error(F.when(F.col("_times") == 0, "a token has no logit").otherwise("a token has several logits")).cast("double")
+    wanted = F.when(F.col("_times") == 1, F.col("_wanted")).otherwise(wrong)
+    return parts.select(*keys, (F.log(whole) + F.col("_most") - wanted).alias("loss"))
+
+
+def sliced_position_losses(slices: DataFrame, rendered: DataFrame, item_col: str = "item_id") -> DataFrame:
+    """As :func:`position_losses`, from slices ``(item, ending_idx, pos, first_id, target, logits)``."""
+    keys = [item_col, "ending_idx", "pos"]
+    joined = shifted_positions(rendered, item_col).join(sliced_losses(slices, keys), keys, "left")
+    missing = F.raise_error(F.lit("a position has no logits")).cast("double")
+    return joined.select(*keys, F.coalesce("loss", missing).alias("loss"), "mask")
+
+
 def position_losses(logits: DataFrame, rendered: DataFrame, item_col: str = "item_id") -> DataFrame:
     """``(item, ending_idx, pos, loss, mask)``: cross-entropy of the logits at ``pos`` against the next token."""
     keys = [item_col, "ending_idx", "pos"]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.folding import MergeMap
 from corpusloom.functions.idstrings import MISSING, byte_string, fold_pairs, id_char, ids_of, triple
+from corpusloom.functions.literals import literals_in
 from corpusloom.functions.patterns import GPT4PAT, pretokenize
 from corpusloom.functions.rendering import readable
 from corpusloom.model import TokenizerModel
@@ -22,6 +23,7 @@ from corpusloom.session import materialize, stage_table
 
 # Up to this many merges the pass over the whole document is cheaper than a dictionary of its pre-tokens.
 FOLD_MERGES = 256
+FEW_LITERALS = 8
 # The part of the dictionary that is sent to every executor: at most so many rows and so many bytes of text.
 HOT_ROWS = 500_000
 HOT_BYTES = 64 << 20
@@ -333,7 +335,9 @@ def round_trip_report(
 
 
 def special_tokens_in(text: Column, model: TokenizerModel) -> Column:
-    """The special-token literals a text holds, as an array."""
+    """The special-token literals a text holds, as an array: a few are looked for one by one, many in one pass."""
+    if len(model.special_tokens) > FEW_LITERALS:
+        return literals_in(text, list(model.special_tokens))
     literals = [F.when(F.contains(text, F.lit(token)), F.lit(token)) for token in model.special_tokens]
     return F.array_compact(F.array(*literals)) if literals else F.array().cast("array<string>")
 

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.idstrings import byte_string, ids_of
 from corpusloom.functions.patterns import GPT4PAT, pretokenize
+from corpusloom.plans.offsets import running_offset
+
+# Order ids below this leave room for any position in a text, as a text has fewer than 2^31 bytes.
+ROOMY_ORDER = 1 << 31
 
 
 def byte_tokens(text: Column) -> Column:
@@ -30,6 +34,22 @@ def ordered_key(order: Column, position: Column, stride: int) -> Column:
     )
 
 
+def dense_order(df: DataFrame, order_col: str = "doc_id") -> DataFrame:
+    """``df`` with ``order_col`` replaced by its rank where its values are negative or too far apart for a key, as hashes
+    are; else ``df`` as it is.
+
+    The ranks come from the distinct values alone, by slices of the order; the texts are then joined once by that
+    column.  Rows with one value keep one rank, so results that depend on the order stay the same.  A null order raises.
+    """
+    low, high = df.agg(F.min(order_col), F.max(order_col)).first()
+    if low is None or (low >= 0 and high < ROOMY_ORDER):
+        return df
+    values = df.select(F.col(order_col).cast("bigint").alias("_value")).distinct()
+    ranks = running_offset(values, "_value", F.lit(1), out="_rank")
+    joined = df.join(ranks, df[order_col].eqNullSafe(F.col("_value")))
+    return joined.select(*(F.col("_rank").alias(c) if c == order_col else F.col(c) for c in df.columns))
+
+
 def present(text: Column) -> Column:
     """The text itself; null raises."""
     return F.coalesce(text, F.raise_error(F.lit("null text")).cast("string"))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.idstrings import GAP, byte_string, char_id, code_of, id_char
 from corpusloom.model import FIRST_MERGE_ID, MAX_ID, TokenizerModel
-from corpusloom.operators.pretokens import order_stride, ordered_key, present, pretoken_counts
+from corpusloom.operators.pretokens import dense_order, order_stride, ordered_key, present, pretoken_counts
 from corpusloom.plans.offsets import running_offset
 from corpusloom.session import materialize
 
@@ -245,10 +245,11 @@ def train_bpe(
 ) -> TokenizerModel:
     """Train a tokenizer on a text column: over whole texts, or inside pre-tokens when ``pattern`` is given.
 
-    ``order_col`` is the corpus order (unique, not negative); it decides ties.
+    ``order_col`` is the corpus order (unique, any BIGINT, hashes as well; see ``dense_order``); it decides ties.
     """
     if not FIRST_MERGE_ID <= vocab_size <= MAX_ID:
         raise ValueError(f"vocab_size must be from {FIRST_MERGE_ID} to {MAX_ID}")
+    df = dense_order(df.select(order_col, text_col), order_col)
     if pattern is None:
         sequences = byte_sequences(df, text_col, order_col)
     else:

@@ -111,8 +111,8 @@ TEXT_TRAINED = (
 
 _TRACE = 'SELECT rank AS round, l AS "left", r AS "right", id AS token_id, c AS cnt FROM m'
 SOURCES_TRAINED = (
-    f"w0 AS MATERIALIZED (SELECT {_codes('source')} AS s, 1 AS n, row_number() OVER (ORDER BY source) AS ord "
-    "FROM (SELECT DISTINCT source FROM documents)),\n" + _rounds(q.STOPPING_ROUNDS, _text_pairs)
+    f"w0 AS MATERIALIZED (SELECT {_codes('source')} AS s, 1 AS n, doc_id AS ord FROM documents),\n"
+    + _rounds(q.STOPPING_ROUNDS, _text_pairs)
 )
 
 # A long list of merges: the most frequent byte pairs, then each two neighbours among these merges.
@@ -333,7 +333,7 @@ ORACLE: dict[str, str] = {
     "read_corpus_lang": "SELECT lang, count(*) AS docs, max(doc_id) AS last_doc FROM documents "
     "WHERE lang IN ('fr', 'es') GROUP BY lang",
     "read_corpus_lists": "SELECT doc_id, lang, octet_length(encode(text)) AS n_bytes FROM documents "
-    "WHERE (lang = 'en' AND doc_id % 10 IN (3, 7)) OR (lang = 'de' AND doc_id % 10 = 3)",
+    "WHERE lang IS NOT NULL",
     "corpus_order": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS doc_ord FROM documents",
     "read_choice_items": f"WITH {ITEMS} SELECT item_id, ctx, label, string_agg(ending, ' ## ' ORDER BY j) AS endings "
     "FROM choices GROUP BY item_id, ctx, label",
@@ -359,6 +359,7 @@ ORACLE: dict[str, str] = {
     "train_bpe_long": f"WITH {WORDS}, {_rounds(q.LONG_ROUNDS, _word_pairs)} {_TRACE}",
     "train_bpe_stops": f"WITH {SOURCES_TRAINED} {_TRACE}",
     "merge_trace": f'WITH {TRAINED} SELECT rank AS round, l AS "left", r AS "right", id AS token_id, c AS cnt FROM m',
+    "train_bpe_sparse_ids": f"WITH {TRAINED} {_TRACE}",
     "merges_pretty": f"WITH {_NAMES} SELECT m.rank, '[' || a.s || '][' || b.s || '] -> [' || c.s || ']' AS merge "
     "FROM m JOIN names a ON a.token_id = m.l JOIN names b ON b.token_id = m.r JOIN names c ON c.token_id = m.id",
     "build_vocab": f"WITH {VOCAB} SELECT token_id, b AS bytes FROM vocab",
@@ -392,6 +393,8 @@ ORACLE: dict[str, str] = {
     f"round(sum(length(s) // 5) / sum(octet_length(encode(d.text))), {q.DIGITS}) AS tokens_per_byte "
     "FROM enc JOIN (SELECT doc_id, text FROM documents) d USING (doc_id) GROUP BY lang",
     "special_token_audit": _specials_hit(),
+    "special_token_audit_many": "SELECT token, count(*) AS docs FROM (SELECT DISTINCT unnest(string_split(text, ' ')) AS token "
+    "FROM benchmark) JOIN documents ON token <> '' AND contains(text, token) GROUP BY token",
     "tokenize_documents": f"WITH {ENCODED} SELECT doc_id, {_DIGEST} FROM "
     f"(SELECT doc_id, '{_code(256 + q.TRAINED_ROUNDS)}' || s AS s FROM enc)",
     "validate_token_ids": "SELECT doc_id, CAST(nullif(bad, 0) AS INT) AS n_bad, "
@@ -434,6 +437,8 @@ ORACLE: dict[str, str] = {
     "FROM padded",
     "position_losses": f"WITH {POSITIONS} SELECT item_id, ending_idx, pos, round(loss, {q.DIGITS}) AS loss, mask "
     "FROM losses",
+    "position_losses_sliced": f"WITH {POSITIONS} SELECT item_id, ending_idx, pos, round(loss, {q.DIGITS}) AS loss, mask "
+    "FROM losses",
     "bigram_scores": f"WITH {POSITIONS} SELECT item_id, ending_idx, pos, round(loss, {q.DIGITS}) AS loss, mask "
     "FROM losses",
     "bigram_counts": f"WITH {BIGRAMS} SELECT CAST('0x' || a AS INT) AS prev, CAST('0x' || b AS INT) AS \"next\", n "

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpusloom as cl
 from corpusloom.functions.idstrings import byte_string, ids_of
+from corpusloom.operators.choices import shifted_positions
 from corpusloom.operators.packing import END_OF_TEXT, shard_name
 from corpusloom.operators.pretokens import order_stride
 from corpusloom.session import scratch_path, stage_table
@@ -19,7 +20,8 @@ from corpusloom.sources.corpus import spread
 TRAINED_ROUNDS = 12
 TEXT_ROUNDS = 4
 LONG_ROUNDS = 100
-STOPPING_ROUNDS = 12
+STOPPING_ROUNDS = 30
+SPARSE_STEP, SPARSE_SHIFT = 1_000_000_007_000, 1 << 50
 COMMON_PAIRS = 256
 PAIRED_MERGES = 64
 CUSTOM_PATTERN = r"\p{L}+|\p{N}+|[^\p{L}\p{N}]+"
@@ -33,6 +35,7 @@ STEP_TOKENS = BATCH * SEQ * WORLD * 4
 VALIDATION_BATCHES = 20
 BYTE_EOT = 256
 BYTE_VOCAB = 257
+VOCAB_SLICE = 100
 LITERALS = {END_OF_TEXT: 50_256, "License": 50_257, "http": 50_258, "the ": 50_259}
 DIGITS = 6
 
@@ -131,7 +134,8 @@ def train_bigrams(shards: DataFrame) -> DataFrame:
 
 
 def byte_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return train_bigrams(byte_shards(spark, sf_dir))
+    """Staged, as losses use the counts twice; the corpus is packed once."""
+    return stage_table(train_bigrams(stage_table(byte_shards(spark, sf_dir), "shards")), "bigrams")
 
 
 def bigram_position_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,15 +178,19 @@ def q_read_corpus_lang(spark, sf_dir):
 
 
 def q_read_corpus_lists(spark, sf_dir):
-    """A dump with a list of part files for each language; the parts hold documents by the last digit of their id."""
+    """A dump with a list of part files for each language: three parts of the most frequent one, two of the others."""
     path = scratch_path(spark, "dump")
-    parts = documents(spark, sf_dir).withColumn("part", F.col("doc_id") % 10)
-    for lang, part in (("en", 3), ("en", 7), ("de", 3), ("fr", 3)):
-        chosen = parts.where((F.col("lang") == lang) & (F.col("part") == part)).select("doc_id", "text")
-        chosen.write.parquet(f"{path}/data/one/{lang}/{part}.parquet")
-    lists = {"en": ["3.parquet", "7.parquet"], "de": ["3.parquet"]}
-    docs = cl.read_corpus(spark, path, lists, dump="one")
-    return docs.select("doc_id", "lang", F.octet_length("text").alias("n_bytes"))
+    docs = documents(spark, sf_dir)
+    langs = [row["lang"] for row in docs.where("lang IS NOT NULL").groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
+    lists = {}
+    for rank, lang in enumerate(langs):
+        n = 2 if rank else 3
+        lists[lang] = [f"{part}.parquet" for part in range(n)]
+        for part in range(n):
+            chosen = docs.where((F.col("lang") == lang) & (F.pmod("doc_id", F.lit(n)) == part)).select("doc_id", "text")
+            chosen.write.parquet(f"{path}/data/one/{lang}/{part}.parquet")
+    read = cl.read_corpus(spark, path, lists, dump="one")
+    return read.select("doc_id", "lang", F.octet_length("text").alias("n_bytes"))
 
 
 def q_corpus_order(spark, sf_dir):
@@ -293,11 +301,16 @@ def q_train_bpe_long(spark, sf_dir):
 
 
 def q_train_bpe_stops(spark, sf_dir):
-    """Training over the names of the sources ends when no pair occurs twice, long before the rounds asked for."""
-    names = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("source").alias("text")).distinct()
-    # A few names, ordered in one task.
-    numbered = names.select("text", F.row_number().over(Window.orderBy("text")).cast("bigint").alias("doc_id"))
-    return cl.train_bpe(numbered, 256 + 2 * STOPPING_ROUNDS).trace_table(spark)
+    """Training over the sources of all documents ends when no pair occurs twice, long before the rounds asked for."""
+    sources = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("source").alias("text"))
+    return cl.train_bpe(sources, 256 + 2 * STOPPING_ROUNDS).trace_table(spark)
+
+
+def q_train_bpe_sparse_ids(spark, sf_dir):
+    """Order ids that are negative and far apart, as hashes are, give the same merges."""
+    far = (F.col("doc_id") * SPARSE_STEP - SPARSE_SHIFT).alias("doc_id")
+    docs = documents(spark, sf_dir).select(far, "text")
+    return cl.train_bpe(docs, 256 + TRAINED_ROUNDS, cl.GPT4PAT).trace_table(spark)
 
 
 def q_merge_trace(spark, sf_dir):
@@ -396,6 +409,14 @@ def q_special_token_audit(spark, sf_dir):
     return cl.special_token_audit(documents(spark, sf_dir), model)
 
 
+def q_special_token_audit_many(spark, sf_dir):
+    """Every word of the benchmark as a literal: hundreds, many inside others."""
+    texts = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    words = texts.select(F.explode(F.split("text", " ")).alias("word")).where("word <> ''").distinct().orderBy("word")
+    model = cl.TokenizerModel(merges=[], special_tokens={row["word"]: 256 + i for i, row in enumerate(words.collect())})
+    return cl.special_token_audit(documents(spark, sf_dir), model)
+
+
 def q_tokenize_documents(spark, sf_dir):
     return digest(cl.tokenize_documents(documents(spark, sf_dir), trained_model(spark, sf_dir)), "doc_id")
 
@@ -464,7 +485,7 @@ def q_epochs_restarted(spark, sf_dir):
 
 
 def q_materialize_batches(spark, sf_dir):
-    shards = byte_shards(spark, sf_dir)
+    shards = stage_table(byte_shards(spark, sf_dir), "shards")
     plan = plan_of(cl.shard_manifest(shards), "train")
     batches = cl.materialize_batches(shards.where(F.col("split") == "train"), plan, BATCH, SEQ)
     return batches.select(
@@ -524,6 +545,17 @@ def q_position_losses(spark, sf_dir):
     return rounded(cl.position_losses(logits, rendered), "loss")
 
 
+def q_position_losses_sliced(spark, sf_dir):
+    """The same losses from logits in slices of the vocabulary."""
+    rendered = byte_rendered(spark, sf_dir)
+    rows = cl.bigram_logits(byte_bigrams(spark, sf_dir), BYTE_VOCAB)
+    at = shifted_positions(rendered).join(rows, "prev", "left")
+    dense = F.coalesce("logits", F.array_repeat(F.lit(0.0), BYTE_VOCAB))
+    firsts = at.withColumn("first_id", F.explode(F.sequence(F.lit(0), F.lit(BYTE_VOCAB - 1), F.lit(VOCAB_SLICE))))
+    slices = firsts.withColumn("logits", F.slice(dense, F.col("first_id") + 1, F.lit(VOCAB_SLICE)))
+    return rounded(cl.sliced_position_losses(slices, rendered), "loss")
+
+
 def q_bigram_scores(spark, sf_dir):
     return rounded(bigram_position_losses(spark, sf_dir), "loss")
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpusloom as cl
+from corpusloom.operators.choices import shifted_positions
 
 BYTES = cl.TokenizerModel([], special_tokens={"<|endoftext|>": 256})
 
@@ -198,3 +199,28 @@ def test_dense_logits(spark):
     want = {5: [math.log(4), 0, 0, 0, math.log(2), 0, 0, 0], 6: [0] * 7 + [math.log(3)]}
     assert found.keys() == want.keys()
     assert all(math.isclose(a, b, abs_tol=1e-12) for prev in want for a, b in zip(found[prev], want[prev], strict=True))
+
+
+def test_logits_in_slices_equal_dense_logits(items, spark):
+    rng = random.Random(2)
+    rendered = cl.pad_choices(cl.render_choices(items, BYTES))
+    at = shifted_positions(rendered)
+    rows = [(r["item_id"], r["ending_idx"], r["pos"], r["target"], [rng.uniform(-900, 900) for _ in range(257)]) for r in at.collect()]
+    dense = spark.createDataFrame(rows, "item_id bigint, ending_idx int, pos int, target int, logits array<double>")
+    cut = F.explode(F.array(*(F.struct(F.lit(a).alias("first_id"), F.slice("logits", a + 1, n).alias("part")) for a, n in ((0, 5), (5, 250), (255, 2), (257, 3)))))
+    slices = dense.select("item_id", "ending_idx", "pos", "target", cut.alias("c")).select("*", "c.first_id", F.col("c.part").alias("logits")).drop("c")
+    key = ["item_id", "ending_idx", "pos"]
+    both = cl.sliced_position_losses(slices, rendered).join(cl.position_losses(dense, rendered).withColumnRenamed("loss", "other"), key).collect()
+    assert len(both) == len(rows) and all(math.isclose(r["loss"], r["other"], rel_tol=1e-9, abs_tol=1e-9) for r in both)
+    with pytest.raises(Exception, match="no logit"):
+        cl.sliced_position_losses(slices.where("first_id <> 5"), rendered).collect()
+    with pytest.raises(Exception, match="several logits"):
+        cl.sliced_position_losses(slices.union(slices), rendered).collect()
+
+
+def test_slices_of_impossible_tokens(spark):
+    inf = float("-inf")
+    rows = [(0, 1, 0, [1.0, 2.0]), (0, 1, 2, [inf, inf]), (0, 1, 4, []), (1, 0, 0, [0.0])]
+    slices = spark.createDataFrame(rows, "k int, target int, first_id int, logits array<double>")
+    found = {r["k"]: r["loss"] for r in cl.sliced_losses(slices, ["k"]).collect()}
+    assert math.isclose(found[0], math.log(math.e + math.e**2) - 2) and found[1] == 0

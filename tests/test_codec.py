@@ -186,3 +186,12 @@ def test_merges_out_of_order_are_refused(merges):
 def test_a_part_that_no_merge_makes_is_refused():
     with pytest.raises(ValueError, match="no merge makes"):
         cl.TokenizerModel([(97, 256, 300)]).vocab()
+
+
+def test_many_literals_in_one_pass(texts, spark):
+    rng = random.Random(5)
+    some = {"".join(rng.choice("ab.<|\\é ") for _ in range(rng.randint(1, 5))) for _ in range(150)} | {"\n", "[x]", "😀", "😀a", "$"}
+    model = cl.TokenizerModel([], special_tokens={word: 256 + i for i, word in enumerate(sorted(some))})
+    values = ["".join(rng.choice("abab.<|\\é \n😀x[]$") for _ in range(rng.randint(0, 40))) for _ in range(80)]
+    expected = {w: n for w in some if (n := sum(w in v for v in values))}
+    assert {r["token"]: r["docs"] for r in cl.special_token_audit(texts(values), model).collect()} == expected

@@ -114,3 +114,26 @@ def test_null_texts_raise(texts):
     for job in (cl.byte_sequences, cl.pretoken_counts):
         with pytest.raises(Exception, match="null text"):
             job(texts(["a", None])).collect()
+
+
+@pytest.mark.parametrize("pattern", [None, cl.GPT4PAT])
+def test_any_bigint_is_an_order(spark, pattern):
+    """Ties are the rule here, so the order decides most merges."""
+    rng = random.Random(11)
+    values = [" ".join("".join(rng.choice("abcd") for _ in range(3)) for _ in range(6)) for _ in range(30)]
+    ids = sorted({rng.randrange(-(1 << 63), 1 << 63) for _ in values} | {-(1 << 63), (1 << 63) - 1})[: len(values)]
+    rows = list(zip(ids, values, range(30)))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, _rank int").repartition(3)
+    pieces = [p.encode() for v in values for p in (regex.findall(pattern, v) if pattern else [v])]
+    assert as_tuples(cl.train_bpe(df, 256 + 20, pattern)) == plain.train(pieces, 20)
+    ranked = cl.dense_order(df.drop("_rank")).orderBy("doc_id").collect()
+    assert [(r["doc_id"], r["text"]) for r in ranked] == list(enumerate(values))
+
+
+def test_dense_order_keeps_what_fits_and_repeated_values(spark):
+    df = spark.createDataFrame([(5, "a"), (5, "b"), (9, "c")], "doc_id bigint, text string")
+    assert cl.dense_order(df) is df
+    far = cl.dense_order(df.withColumn("doc_id", F.col("doc_id") - 7))
+    assert sorted(map(tuple, far.collect())) == [(0, "a"), (0, "b"), (1, "c")]
+    assert cl.dense_order(df.limit(0)).count() == 0
