@@ -15,7 +15,7 @@ from corpusloom.llm.textbytes import slices
 
 BLOCK_IDS = 1 << 20
 MIN_COUNT = 4
-RULES_A_ROUND = 4096
+RULES_A_ROUND = 16_384
 
 
 def _in_order(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,14 +90,16 @@ def re_pair(
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     """How many ids each nonterminal stands for."""
-    lengths = np.ones(len(rules), np.int64)
-    ready = np.zeros(len(rules), bool)
-    while not ready.all():  # as often as rules nest
-        parts = rules.astype(np.int64) - base
-        inner = np.maximum(parts, 0)
-        now = ~ready & ((parts < 0) | ready[inner]).all(1)
-        lengths[now] = np.where(parts < 0, 1, lengths[inner])[now].sum(1)
-        ready |= now
+    parts = rules.astype(np.int64) - base
+    lengths, ready = np.ones(len(rules), np.int64), np.zeros(len(rules), bool)
+    left = np.arange(len(rules))
+    while len(left):  # as often as rules nest
+        inner = np.maximum(parts[left], 0)
+        plain = parts[left] < 0
+        now = (plain | ready[inner]).all(1)
+        lengths[left[now]] = np.where(plain, 1, lengths[inner])[now].sum(1)
+        ready[left[now]] = True
+        left = left[~now]
     return lengths
 
 
