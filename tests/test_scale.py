@@ -15,3 +15,12 @@ def test_codes_of_common_ids_come_from_a_constant(spark):
     ids = [0, 9, 255, 256, queries.CODED_IDS - 1, queries.CODED_IDS, 50_256, 65_535]
     df = spark.createDataFrame([(ids,), ([],)], "ids array<int>")
     assert [r[0] for r in df.select(queries.codes(F.col("ids"))).collect()] == ["".join(f"{t:04x}|" for t in ids), ""]
+
+
+def test_bad_ids_are_looked_for_behind_the_shuffle(spark, texts):
+    """A filter on the ids that moves below a repartitioning encodes the texts where they are scanned."""
+    docs = texts(["plain", "é", None, "ü ß"]).repartition(3)
+    tokens = docs.select("doc_id", cl.byte_tokens(F.col("text")).alias("tokens"))
+    bad = cl.invalid_token_ids(tokens, bound=128)
+    assert {r["doc_id"]: len(r["bad_ids"]) for r in bad.collect()} == {1: 2, 3: 4}
+    assert plan_of(bad).count("transform(") == 1
