@@ -7,19 +7,20 @@ rank order gives the same tokens.
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.folding import MergeMap
-from corpusloom.functions.idstrings import MISSING, byte_string, fold_pairs, id_char, ids_of, triple
+from corpusloom.functions.folding import MergeMap, held_once
+from corpusloom.functions.idstrings import MISSING, byte_string, fold_pairs, id_char, ids_of
 from corpusloom.functions.literals import literals_in
 from corpusloom.functions.patterns import GPT4PAT, pretokenize
 from corpusloom.functions.rendering import readable
 from corpusloom.model import TokenizerModel
-from corpusloom.plans.offsets import small_side
-from corpusloom.session import materialize, stage_table
+from corpusloom.session import stage_table
 
 # Up to this many merges the pass over the whole document is cheaper than a dictionary of its pre-tokens.
 FOLD_MERGES = 256
@@ -31,6 +32,10 @@ HOT_BYTES = 64 << 20
 WORD_FOLD_MERGES = 256
 # Longer pieces look up which merges can apply to them at all, as a ranked fold takes time by the square of the length.
 RANKED_LENGTH = 64
+# Up to this many merges a longer piece tries them all.
+LONG_FOLD_MERGES = 1_024
+# Text in one task where the pieces of texts are put together: in memory they take about thirty times the room.
+PLACED_BYTES = 16 << 20
 # Kinds of bytes that tell words from what is between them: letters, digits, space, other white space, bytes of
 # characters outside ASCII, and the rest.
 _LETTERS = {value for value in range(128) if chr(value).isalpha()}
@@ -146,84 +151,83 @@ def free_segments(text: Column, model: TokenizerModel) -> Column:
     return F.split(seq, "|".join(cuts)) if cuts else F.array(seq)
 
 
-def encode_words(
-    words: DataFrame,
-    model: TokenizerModel,
-    word_col: str = "piece",
-    out: str = "merged",
-    to_seq: Callable[[Column], Column] = byte_string,
-) -> DataFrame:
-    """Add the merged id string of each (distinct) ``word_col``; ``to_seq`` turns a word into its bytes.
+def _present_merges(seq: Column, model: TokenizerModel) -> Column:
+    """An id string after its merges, for long strings and long lists of merges.
+
+    Only merges whose bytes occur in a string can apply to it, so its substrings are looked up among the tokens and only
+    the hits are tried, in rank order.  Nothing is shuffled.
+    """
+    vocab = model.vocab()
+    longest = max(len(vocab[token_id]) for _, _, token_id in model.merges)
+    # Several merges can produce the same bytes.  A hit begins with the merged character, so hits sort by rank.
+    mask = (1 << len(model.merges).bit_length()) - 1
+    buckets: list[dict[str, list[str]]] = [{} for _ in range(mask + 1)]
+    for left, right, token_id in model.merges:
+        token = vocab[token_id].decode("latin-1")
+        hit = id_char(token_id) + id_char(left) + id_char(right)
+        buckets[zlib.crc32(token.encode()) & mask].setdefault(token, []).append(hit)
+    known = F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string,array<string>>>")
+    none = F.array().cast("array<string>")
+    # Each window goes on far enough for every token that begins in its first WINDOW characters.
+    span = WINDOW + longest - 1
+    windows = F.when(F.length(seq) <= span, F.array(seq)).otherwise(
+        F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{1,{span}}})).{{1,{WINDOW}}}"), F.lit(1))
+    )
+
+    def substrings(window: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.least(F.length(window) - 1, F.lit(span)))
+
+        def at(i: Column) -> Column:
+            sizes = F.sequence(F.lit(2), F.least(F.lit(longest), F.length(window) - i + 1))
+            return F.transform(sizes, lambda n: F.substring(window, i, n))
+
+        return F.when(F.length(window) > 1, F.flatten(F.transform(starts, at))).otherwise(none)
+
+    def hits(held: Column) -> Column:
+        def look(token: Column) -> Column:
+            place = F.crc32(token.cast("binary")).bitwiseAND(F.lit(mask).cast("bigint")).cast("int")
+            return F.coalesce(F.get(held, place)[token], none)
 
-    With many merges a word is folded by those that its neighbours make, looked up in a constant map: neither the number
-    of merges nor the longest token plays a part, and nothing is shuffled.  Words above ``RANKED_LENGTH`` go another way.
+        distinct = F.array_distinct(F.flatten(F.transform(windows, substrings)))
+        return F.sort_array(F.flatten(F.transform(distinct, look)))
+
+    found = held_once(known, hits, "array<string>")
+    return F.aggregate(found, seq, lambda acc, m: F.replace(acc, F.substring(m, 2, 2), F.substring(m, 1, 1)))
+
+
+def merge_word(seq: Column, model: TokenizerModel) -> Column:
+    """All merges of the model over the id string of one piece, in place.
+
+    With many merges a piece is folded by those that its neighbours make, looked up in a constant map: neither the number
+    of merges nor the longest token plays a part.  Pieces above ``RANKED_LENGTH`` try all merges, or those present.
     """
     if len(model.merges) <= WORD_FOLD_MERGES:
-        return words.withColumn(out, merge_string(to_seq(F.col(word_col)), model))
-    seq = to_seq(F.col(word_col))
-    short = F.length(seq) <= RANKED_LENGTH
+        return merge_string(seq, model)
+    long = merge_string(seq, model) if len(model.merges) <= LONG_FOLD_MERGES else _present_merges(seq, model)
     folded = _merge_map(model).folding(lambda fold: fold(seq), "string")
-    rest = _encode_long_words(words.where(~short), model, word_col, out, to_seq)
-    return words.where(short).withColumn(out, folded).unionByName(rest)
+    return F.when(F.length(seq) <= RANKED_LENGTH, folded).otherwise(long)
 
 
-def _encode_long_words(
-    words: DataFrame, model: TokenizerModel, word_col: str, out: str, to_seq: Callable[[Column], Column]
+def encode_words(
+    words: DataFrame,
+    model: TokenizerModel,
+    word_col: str = "piece",
+    out: str = "merged",
+    to_seq: Callable[[Column], Column] = byte_string,
 ) -> DataFrame:
-    """Only merges whose bytes occur in a word can apply to it, so a word looks up its substrings among the tokens and
-    passes over the hits alone.  The frame stays partitioned by the word throughout.
-    """
-    vocab = model.vocab()
-    longest = max((len(vocab[token_id]) for _, _, token_id in model.merges), default=1)
-    spark = words.sparkSession
-    # Several merges can produce the same bytes: the token table is bounded by the id range and broadcast.
-    tokens = spark.createDataFrame(
-        [(vocab[k].decode("latin-1"), k, triple(left, right, k)) for left, right, k in model.merges],
-        "token string, token_id int, triple string",
-    )
-    # Each window goes on far enough for every token that begins in its first WINDOW characters.
-    span = WINDOW + longest - 1
-    windows = F.when(F.length("_seq") <= span, F.array("_seq")).otherwise(
-        F.regexp_extract_all("_seq", F.lit(f"(?s)(?=(.{{1,{span}}})).{{1,{WINDOW}}}"), F.lit(1))
-    )
-    starts = F.sequence(F.lit(1), F.least(F.length("_window") - 1, F.lit(span)))
-    substrings = F.flatten(
-        F.transform(
-            starts,
-            lambda i: F.transform(
-                F.sequence(F.lit(2), F.least(F.lit(longest), F.length("_window") - i + 1)),
-                lambda n: F.substring(F.col("_window"), i, n),
-            ),
-        )
-    )
-    keyed = words.withColumn("_seq", to_seq(F.col(word_col)))
-    looked_up = (
-        keyed.select(word_col, F.explode(windows).alias("_window"))
-        .where(F.length("_window") > 1)
-        .select(word_col, F.explode(F.array_distinct(substrings)).alias("token"))
-        .join(small_side(tokens), "token")
-        .groupBy(word_col)
-        .agg(F.sort_array(F.collect_set(F.struct("token_id", "triple"))).alias("_hits"))
-    )
-    hits = F.transform(F.col("_hits"), lambda hit: hit["triple"])
-    return (
-        keyed.join(looked_up, word_col, "left")
-        .withColumn(out, F.when(F.col("_hits").isNull(), F.col("_seq")).otherwise(fold_pairs(F.col("_seq"), hits)))
-        .drop("_seq", "_hits")
-    )
+    """Add the merged id string of each (distinct) ``word_col``; ``to_seq`` turns a word into its bytes."""
+    return words.withColumn(out, merge_word(to_seq(F.col(word_col)), model))
 
 
-def _hot_threshold(dictionary: DataFrame) -> int:
-    """Smallest power of two such that the entries used at least so often fit the bounds of the broadcast table.
+def _hot_threshold(words: DataFrame) -> int:
+    """Smallest power of two such that the pieces used at least so often fit the bounds of the broadcast table.
 
-    Counts are grouped by their binary length, so at most 63 rows reach the driver.
+    Counts are grouped by their binary length, so at most 63 rows reach the driver.  A merged string takes at most twice
+    the bytes of its piece.
     """
     levels = (
-        dictionary.groupBy(F.length(F.bin("n")).alias("bits"))
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(F.octet_length("piece") + F.octet_length("merged")).alias("size"),
-        )
+        words.groupBy(F.length(F.bin("n")).alias("bits"))
+        .agg(F.count(F.lit(1)).alias("rows"), (F.sum(F.octet_length("piece")) * 3).alias("size"))
         .orderBy(F.desc("bits"))
         .collect()
     )
@@ -244,46 +248,37 @@ def _encode_by_dictionary(
     text_col: str,
     out: str,
 ) -> DataFrame:
-    """Encode each distinct piece once, then look every occurrence up.
+    """Encode each frequent piece once and look its occurrences up; rare ones are encoded where they stand.
 
-    The rows are staged under a number of their own, so null or repeated ids do not matter.  The texts are partitioned
-    by it while they are compact, split once for the dictionary and once for the look-up.  Frequent pieces are looked
-    up in a broadcast table of bounded size; only occurrences of the remaining rare ones are shuffled.
+    The rows are staged under a number of their own, so null or repeated ids do not matter.  The texts are dealt by it
+    while they are compact, to partitions of ``PLACED_BYTES``: their pieces are put together again without a shuffle and
+    in memory.  Frequent pieces are looked up in a broadcast table of bounded size.
     """
     rows = stage_table(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    words = (
+    words = stage_table(
         rows.select(F.explode(pieces).alias("piece"))
         .where(F.col("piece") != "")
         .groupBy("piece")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "words",
+    )
+    frequent = words.where(F.col("n") >= _hot_threshold(words)).select("piece")
+    hot = stage_table(encode_words(frequent, model, to_seq=to_seq), "dictionary")
+
+    size = rows.agg(F.sum(F.octet_length(text_col).cast("bigint"))).first()[0] or 0
+    dealt = rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, -(-size // PLACED_BYTES)), "_row")
+    occurrences = dealt.select("_row", F.posexplode(pieces).alias("idx", "piece")).where(F.col("piece") != "")
+    in_place = merge_word(to_seq(F.col("piece")), model)
+    merged = (
+        occurrences.join(F.broadcast(hot), "piece", "left")
+        .select("_row", F.struct("idx", F.coalesce("merged", in_place).alias("merged")).alias("_part"))
+        .groupBy("_row")
+        .agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
+        .select("_row", F.array_join(F.transform("_parts", lambda p: p["merged"]), "").alias("_merged"))
     )
-    dictionary = materialize(encode_words(words, model, to_seq=to_seq))
-    threshold = _hot_threshold(dictionary)
-    is_hot = F.col("n") >= threshold
-    hot = dictionary.where(is_hot).select("piece", "merged")
-
-    placed = rows.select("_row", text_col).repartition("_row")
-    occurrences = placed.select("_row", F.posexplode(pieces).alias("idx", "piece")).where(F.col("piece") != "")
-    marked = occurrences.join(F.broadcast(hot), "piece", "left")
-    unknown = F.when(F.col("merged").isNull(), F.col("piece")).alias("piece")
-    parts = marked.groupBy("_row").agg(F.collect_list(F.struct("idx", "merged", unknown)).alias("_parts"))
-    if threshold > 1:
-        parts = stage_table(parts, "parts")
-        rare = (
-            parts.select("_row", F.explode(F.filter("_parts", lambda p: p["merged"].isNull())).alias("p"))
-            .select("_row", "p.idx", "p.piece")
-            .join(dictionary.where(~is_hot).select("piece", "merged"), "piece")
-            .groupBy("_row")
-            .agg(F.collect_list(F.struct("idx", "merged", F.lit(None).cast("string").alias("piece"))).alias("_rare"))
-        )
-        known = F.filter("_parts", lambda p: p["merged"].isNotNull())
-        parts = parts.join(rare, "_row", "left").select(
-            "_row", F.when(F.col("_rare").isNull(), known).otherwise(F.concat(known, "_rare")).alias("_parts")
-        )
-    in_order = F.array_join(F.transform(F.sort_array("_parts"), lambda p: p["merged"]), "")
     # A text without pieces has no occurrence and still keeps its row; a null text stays null.
-    merged = F.when(F.col(text_col).isNotNull(), F.coalesce(in_order, F.lit("")))
-    return rows.join(parts, "_row", "left").withColumn(out, ids_of(merged, model.max_id)).drop("_row", "_parts")
+    whole = F.when(F.col(text_col).isNotNull(), F.coalesce("_merged", F.lit("")))
+    return dealt.join(merged, "_row", "left").withColumn(out, ids_of(whole, model.max_id)).drop("_row", "_merged")
 
 
 def decode_tokens(tokens: Column, model: TokenizerModel, render_special: bool = False) -> Column:

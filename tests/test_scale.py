@@ -1,13 +1,16 @@
 """Costs that must not grow faster than the input: what is shuffled, copied by the optimizer or left to one task."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpusloom as cl
 from corpusloom import queries
+from corpusloom.operators import codec
 
 
-def plan_of(df):
+def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
@@ -23,4 +26,37 @@ def test_bad_ids_are_looked_for_behind_the_shuffle(spark, texts):
     tokens = docs.select("doc_id", cl.byte_tokens(F.col("text")).alias("tokens"))
     bad = cl.invalid_token_ids(tokens, bound=128)
     assert {r["doc_id"]: len(r["bad_ids"]) for r in bad.collect()} == {1: 2, 3: 4}
-    assert plan_of(bad).count("transform(") == 1
+    assert optimized(bad).count("transform(") == 1
+
+
+def plain_merges(data: bytes, merges):
+    ids = list(data)
+    for left, right, new in merges:
+        out, i = [], 0
+        while i < len(ids):
+            pair = i + 1 < len(ids) and (ids[i], ids[i + 1]) == (left, right)
+            out.append(new if pair else ids[i])
+            i += 2 if pair else 1
+        ids = out
+    return ids
+
+
+@pytest.mark.parametrize("n", [12, 300, 1_400])
+@pytest.mark.parametrize("hot", [0, 3, 500_000])
+def test_rare_pieces_are_encoded_in_place(spark, texts, monkeypatch, n, hot):
+    """Occurrences outside the broadcast table are not shuffled: the compact texts are, once for each side of the join."""
+    monkeypatch.setattr(codec, "HOT_ROWS", hot)
+    letters = [ord(c) for c in "abcdefghijklmnopqrstuvwxyzäöü"]
+    letters = sorted({b for c in letters for b in chr(c).encode()})
+    merges = [(a, b, 256 + i) for i, (a, b) in enumerate([(a, b) for a in letters for b in letters][: min(n, 700)])]
+    merges += [(256 + i, 257 + i, 956 + i) for i in range(n - len(merges))] if n > 700 else []
+    if n > 700:
+        merges = [(left, right, 256 + i) for i, (left, right, _) in enumerate(merges)]
+    values = ["the cab abba", "ab" * 90 + "äöü" * 40, None, "", "the the cab", "zebra " * 50 + "abcdefgh" * 30]
+    model = cl.TokenizerModel(merges, r"\S+|\s+")
+    encoded = cl.encode_corpus(texts(values), model, strategy="dictionary")
+    assert optimized(encoded).count("Repartition") == 2 and optimized(encoded).count("Join") == 2
+    found = {r["doc_id"]: r["tokens"] for r in encoded.collect()}
+    for i, value in enumerate(values):
+        pieces = [] if value is None else re.findall(r"\S+|\s+", value)
+        assert found[i] == (None if value is None else [t for p in pieces for t in plain_merges(p.encode(), merges)])
