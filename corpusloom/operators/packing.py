@@ -12,6 +12,8 @@ from corpusloom.plans.offsets import div, running_offset
 
 END_OF_TEXT = "<|endoftext|>"
 VALID, TRAIN = "valid", "train"
+# Tokens that are sorted and numbered in one go: 16 MB.
+TOKENS_PER_SLICE = 4_000_000
 
 
 def tokenize_documents(
@@ -74,13 +76,14 @@ def pack_shards(
     """``(split, shard, shard_pos, order_col, n_tokens, tokens)``: the stream cut at every multiple of ``shard_size``.
 
     ``order_col`` is the order of the stream; a null or repeated value raises.  The tokens are shuffled once, with their
-    slice of the order.  A document at a border is split, one longer than a shard is split several times; the last
+    slice of the order, which holds about ``TOKENS_PER_SLICE`` of them.  A document at a border is split, one longer than a shard is split several times; the last
     shard is shorter.
     """
     size = F.lit(shard_size).cast("bigint")
     length = F.col("n_tokens") if "n_tokens" in df.columns else F.size("tokens")
     lengths = df.select(order_col, length.cast("bigint").alias("n_tokens"), "tokens")
-    placed = running_offset(lengths, order_col, F.col("n_tokens"), slices=slices)
+    size_of = F.coalesce("n_tokens", F.lit(1))
+    placed = running_offset(lengths, order_col, F.col("n_tokens"), slices=slices, weight=size_of, per_slice=TOKENS_PER_SLICE)
     begin, end = F.col("offset"), F.col("offset") + F.col("n_tokens")
     pieces = placed.where(F.col("n_tokens") > 0).select(
         order_col,

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import corpusloom as cl
 from corpusloom import queries
-from corpusloom.operators import codec
+from corpusloom.operators import codec, packing
+from corpusloom.plans import offsets
 
 
 def optimized(df):
@@ -60,3 +61,17 @@ def test_rare_pieces_are_encoded_in_place(spark, texts, monkeypatch, n, hot):
     for i, value in enumerate(values):
         pieces = [] if value is None else re.findall(r"\S+|\s+", value)
         assert found[i] == (None if value is None else [t for p in pieces for t in plain_merges(p.encode(), merges)])
+
+
+def test_slices_hold_equal_numbers_of_tokens(spark, monkeypatch):
+    """A slice is what one task sorts, so long documents make more slices and not larger ones."""
+    monkeypatch.setattr(packing, "TOKENS_PER_SLICE", 100)
+    rows = [(i, [i % 7] * (1 if i < 300 else 60)) for i in range(340)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, tokens array<int>")
+    seen = []
+    monkeypatch.setattr(offsets, "slice_of", lambda key, bounds, real=offsets.slice_of: seen.append(bounds) or real(key, bounds))
+    shards = cl.pack_shards(docs, 500)
+    ends = [0, *seen[-1], 340]
+    assert max(sum(len(t) for i, t in rows if low <= i < high) for low, high in zip(ends, ends[1:])) <= 2 * 100
+    stream = [t for r in sorted(shards.collect(), key=lambda r: (r["shard"], r["shard_pos"])) for t in r["tokens"]]
+    assert stream == [t for _, tokens in rows for t in tokens]
