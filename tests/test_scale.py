@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpusloom as cl
 from corpusloom import queries
+from corpusloom.functions import literals
 from corpusloom.operators import codec, packing
 from corpusloom.plans import offsets
 
@@ -75,3 +76,30 @@ def test_slices_hold_equal_numbers_of_tokens(spark, monkeypatch):
     assert max(sum(len(t) for i, t in rows if low <= i < high) for low, high in zip(ends, ends[1:])) <= 2 * 100
     stream = [t for r in sorted(shards.collect(), key=lambda r: (r["shard"], r["shard_pos"])) for t in r["tokens"]]
     assert stream == [t for _, tokens in rows for t in tokens]
+
+
+def test_many_literals_are_searched_once(texts):
+    words = sorted({"a", "ab", "abc", "b c", "ö.", "x\\", "[", "-", "^", "]", *(chr(c) + chr(d) for c in range(97, 123) for d in (97, 101))})
+    values = ["abc b c", "xx\\ö.^-[]", None, "", "zezaqe" * 3]
+    frame = texts(values).select("doc_id", literals.literals_in(F.col("text"), words).alias("found"))
+    assert optimized(frame).count("regexp_extract_all") == 1
+    found = {r["doc_id"]: r["found"] for r in frame.collect()}
+    assert {i: f and sorted(f) for i, f in found.items()} == {
+        i: None if v is None else sorted(w for w in words if w in v) for i, v in enumerate(values)
+    } | {3: []}
+
+
+def test_choices_of_many_literals_are_grouped():
+    """No choice has more branches than are tried in a row."""
+    words = [chr(c) + chr(d) for c in range(97, 123) for d in range(97, 123)]
+    pattern = re.sub(r"\\x\{(\w+)\}", r"\\x\1", literals.prefix_pattern(words))
+    assert all(re.fullmatch(pattern, word) for word in words) and not re.match(pattern, "a1")
+    assert max(len(run.split("|")) for run in re.split(r"\(\?:|\)", re.sub(r"\(\?=.*?\]\)", "", pattern))) <= literals.FEW_BRANCHES
+
+
+def test_pretokens_of_dealt_texts_are_not_shuffled(spark, texts, tmp_path):
+    texts(["a b", "c", "", "d e f"]).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.q_split_pretokens(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")
+    assert {r["doc_id"]: r["n"] for r in rows.collect()} == {0: 3, 1: 1, 3: 5}
