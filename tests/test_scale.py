@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import corpusloom as cl
 from corpusloom import queries
 from corpusloom.functions import literals
-from corpusloom.operators import codec, packing
+from corpusloom.operators import codec, packing, training
 from corpusloom.plans import offsets
 
 
@@ -31,15 +31,19 @@ def test_bad_ids_are_looked_for_behind_the_shuffle(spark, texts):
     assert optimized(bad).count("transform(") == 1
 
 
+def merged_once(ids, left, right, new):
+    out, i = [], 0
+    while i < len(ids):
+        pair = i + 1 < len(ids) and (ids[i], ids[i + 1]) == (left, right)
+        out.append(new if pair else ids[i])
+        i += 2 if pair else 1
+    return out
+
+
 def plain_merges(data: bytes, merges):
     ids = list(data)
-    for left, right, new in merges:
-        out, i = [], 0
-        while i < len(ids):
-            pair = i + 1 < len(ids) and (ids[i], ids[i + 1]) == (left, right)
-            out.append(new if pair else ids[i])
-            i += 2 if pair else 1
-        ids = out
+    for merge in merges:
+        ids = merged_once(ids, *merge)
     return ids
 
 
@@ -103,3 +107,24 @@ def test_pretokens_of_dealt_texts_are_not_shuffled(spark, texts, tmp_path):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")
     assert {r["doc_id"]: r["n"] for r in rows.collect()} == {0: 3, 1: 1, 3: 5}
+
+
+def test_texts_are_counted_once_a_pass(texts, monkeypatch):
+    """Nearly every merge changes a whole text: giving up its old pairs would count each text twice."""
+    monkeypatch.setattr(training, "_changed_counts", lambda *_: pytest.fail("texts were counted twice"))
+    monkeypatch.setattr(training, "PIECE", 50)
+    values = ["the cat sat on the mat " * 40, "that hat, then " * 60, "é" * 301, "x"]
+    found = cl.train_bpe(texts(values), 256 + 40).merges
+    seqs, merges = [list(v.encode()) for v in values], []
+    for new in range(256, 296):
+        counts, first = {}, {}
+        for t, seq in enumerate(seqs):
+            for i, pair in enumerate(zip(seq, seq[1:])):
+                counts[pair] = counts.get(pair, 0) + 1
+                first.setdefault(pair, (t, i))
+        pair = min(counts, key=lambda p: (-counts[p], first[p]))
+        if counts[pair] < 2:
+            break
+        merges.append((*pair, new))
+        seqs = [merged_once(seq, *merges[-1]) for seq in seqs]
+    assert found == merges
