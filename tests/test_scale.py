@@ -128,3 +128,13 @@ def test_texts_are_counted_once_a_pass(texts, monkeypatch):
         merges.append((*pair, new))
         seqs = [merged_once(seq, *merges[-1]) for seq in seqs]
     assert found == merges
+
+
+def test_slices_are_found_by_halving(spark):
+    """The number of comparisons for a key does not grow with the root of the number of slices."""
+    keys = [None, -(1 << 63), -5, 0, 1, 9, 10, 11, 3_999, 39_990, 39_991, 1 << 62]
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint")
+    for bounds in ([7], [0, 1], list(range(0, 40_000, 10)), [-(1 << 62), 5, 1 << 62]):
+        found = df.select("k", offsets.slice_of("k", bounds).alias("s"))
+        assert "filter(" not in optimized(found)
+        assert [r["s"] for r in found.collect()] == [0 if k is None else sum(b <= k for b in bounds) for k in keys]
