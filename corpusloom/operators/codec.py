@@ -103,7 +103,7 @@ def encode_corpus(
 
     ``mode="text"`` merges over the whole text, ``mode="pretoken"`` inside each match of the split pattern.
     ``strategy="fold"`` works in place without a shuffle at a cost of merges x text; ``"dictionary"`` encodes each
-    distinct piece of the texts once and looks the rest up; it stages ``df`` and runs when called.  ``"auto"`` takes the
+    frequent piece of the texts once and looks it up, and rare ones in place; it stages ``df`` and runs when called.  ``"auto"`` takes the
     dictionary when there are many merges.  Both give the same ids: null for a null text, whatever the ids of the rows.
     """
     if mode not in ("text", "pretoken"):
