@@ -6,17 +6,20 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators.packing import TRAIN, VALID
+from corpusloom.operators.packing import TOKENS_PER_SLICE, TRAIN, VALID
 
 
 def write_token_shards(shards: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One directory per ``(split, shard)``, its pieces in stream order in one file.
 
-    Shards are dealt by range to as many tasks as there are shards, so a task writes one or two of them.
+    Shards are dealt by range to tasks of about ``TOKENS_PER_SLICE`` tokens, which write one after another: a shuffle to
+    as many tasks as there are shards would grow with the square of the input.
     """
-    last = shards.agg(F.max("shard")).first()[0]
+    length = F.col("n_tokens") if "n_tokens" in shards.columns else F.size("tokens")
+    last, tokens = shards.agg(F.max("shard"), F.sum(length.cast("bigint"))).first()
+    wanted = max(shards.sparkSession.sparkContext.defaultParallelism, -(-(tokens or 0) // TOKENS_PER_SLICE))
     (
-        shards.repartitionByRange(1 if last is None else last + 1, "shard")
+        shards.repartitionByRange(1 if last is None else min(last + 1, wanted), "shard")
         .sortWithinPartitions("split", "shard", "shard_pos")
         .write.mode(mode)
         .partitionBy("split", "shard")

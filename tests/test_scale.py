@@ -138,3 +138,18 @@ def test_slices_are_found_by_halving(spark):
         found = df.select("k", offsets.slice_of("k", bounds).alias("s"))
         assert "filter(" not in optimized(found)
         assert [r["s"] for r in found.collect()] == [0 if k is None else sum(b <= k for b in bounds) for k in keys]
+
+
+def test_many_shards_are_written_by_few_tasks(spark, tmp_path, monkeypatch):
+    """As many tasks as shards make a shuffle whose blocks grow with the square of the input."""
+    docs = spark.createDataFrame([(i, [i % 9] * 7) for i in range(300)], "doc_id bigint, tokens array<int>")
+    wanted = []
+    deal = type(docs).repartitionByRange
+    monkeypatch.setattr(type(docs), "repartitionByRange", lambda df, n, *keys: wanted.append(n) or deal(df, n, *keys))
+    cl.write_token_shards(cl.pack_shards(docs, 50), f"{tmp_path}/shards")
+    assert wanted == [spark.sparkContext.defaultParallelism]
+    files = list(tmp_path.glob("shards/split=*/shard=*/*.parquet"))
+    assert len(files) == len({f.parent for f in files}) == 42
+    read = cl.read_token_shards(spark, f"{tmp_path}/shards", "train").unionByName(cl.read_token_shards(spark, f"{tmp_path}/shards", "valid"))
+    stream = [t for r in sorted(read.collect(), key=lambda r: (r["shard"], r["shard_pos"])) for t in r["tokens"]]
+    assert stream == [i % 9 for i in range(300) for _ in range(7)]
