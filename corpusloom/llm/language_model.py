@@ -18,6 +18,8 @@ BIGRAM = 0.7
 UNIGRAM = 0.29
 HELD_ENTRIES = 1 << 20
 CHUNK_BYTES = 4 << 20
+# Places of target texts, four bytes each, that are sent to every executor; more are shuffled.
+BROADCAST_MARKS = 4_000_000
 PAIR, TOKEN, CONTEXT = (np.uint64(k) for k in range(3))
 _KIND = np.uint64(3)
 _UNKNOWN, _START = np.uint64(1), np.uint64(2)
@@ -74,6 +76,29 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, _width(len(data) // max(1, n)) if n else "u1").astype(np.int64)
 
 
+def _squeezed(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed byte planes: the upper bytes of small numbers take next to no room."""
+    import zstandard
+
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = values.ravel().astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _restored(data: bytes, n: int) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    values = np.zeros((n, 8), np.uint8)
+    values[:, : len(planes) // max(1, n)] = planes.reshape(-1, n).T
+    return values.view("<u8").ravel()
+
+
+def _steps(keys: np.ndarray) -> np.ndarray:
+    """Differences of sorted keys, which are smaller numbers; their sums are the keys again."""
+    return np.diff(keys, prepend=np.uint64(0))
+
+
 def _counted(texts: DataFrame, side: int, vocabulary: np.ndarray | None, buckets: int) -> DataFrame:
     """``(bucket, side, keys, counts)``: sorted keys of a task's stretch of texts, added up there and dealt by hash."""
 
@@ -174,6 +199,7 @@ class BigramModels:
 
     ``size`` is the number of words plus one for words of neither corpus; ``totals`` are the corpora's tokens;
     ``vocabulary`` is null, or the hashes of a given vocabulary.  ``chunks`` is how many chunks of text were counted.
+    ``own`` are the answers to the texts that were counted, where those are to be scored themselves.
     """
 
     vocabulary: np.ndarray | None
@@ -182,6 +208,19 @@ class BigramModels:
     chunks: int
     size: int
     totals: tuple[int, int]
+    own: OwnAnswers | None = None
+
+
+@dataclass
+class OwnAnswers:
+    """``docs`` in ``chunks``, which are their own questions, and the ``answers``; ``starts`` are the texts with words, of
+    the target and of all."""
+
+    docs: DataFrame
+    columns: tuple[str, str]
+    chunks: DataFrame
+    answers: DataFrame
+    starts: tuple[int, int]
 
 
 def _losses(pair: np.ndarray, token: np.ndarray, context: np.ndarray, total: int, size: int) -> np.ndarray:
@@ -192,6 +231,20 @@ def _losses(pair: np.ndarray, token: np.ndarray, context: np.ndarray, total: int
     return -np.log(BIGRAM * bigram + UNIGRAM * unigram + (1 - BIGRAM - UNIGRAM) * uniform)
 
 
+def _most_frequent(texts: DataFrame, vocabulary: int | None) -> np.ndarray | None:
+    if vocabulary is None:
+        return None
+    words = _counts(texts, lambda data, at: _words(data, at)[0])
+    chosen = words.orderBy(F.desc("n"), "key").limit(vocabulary).select("key").toPandas()["key"]
+    return np.sort(chosen.to_numpy(np.int64))
+
+
+def _all_counts(target: DataFrame, background: DataFrame, known: np.ndarray | None, buckets: int) -> DataFrame:
+    both = _counted(target, 0, known, buckets).union(_counted(background, 1, known, buckets))
+    kinds = "bucket int, keys binary, target binary, background binary, words bigint, target_total bigint, background_total bigint"
+    return both.groupBy("bucket").applyInArrow(_summed, kinds)
+
+
 def train(target: DataFrame, background: DataFrame, vocabulary: int | None = None, text_col: str = "text") -> BigramModels:
     """Count both corpora whole.  The shared vocabulary is all words of both; with ``vocabulary`` it is that many of the
     background's most frequent words (ties by hash), and all others are one unknown token.  Both models have the same
@@ -202,22 +255,145 @@ def train(target: DataFrame, background: DataFrame, vocabulary: int | None = Non
     the words of a given vocabulary.
     """
     target, background = (t.select(F.col(text_col).cast("string").alias("text")) for t in (target, background))
-    known = None
-    if vocabulary is not None:
-        words = _counts(background, lambda data, at: _words(data, at)[0])
-        chosen = words.orderBy(F.desc("n"), "key").limit(vocabulary).select("key").toPandas()["key"]
-        known = np.sort(chosen.to_numpy(np.int64))
+    known = _most_frequent(background, vocabulary)
     length = F.sum(F.octet_length("text"))
     chunks = math.ceil(sum(t.agg(length).first()[0] or 0 for t in (target, background)) / CHUNK_BYTES)
     buckets = max(1, math.ceil(2 * chunks**0.75))
-    both = _counted(target, 0, known, buckets).union(_counted(background, 1, known, buckets))
-    kinds = "bucket int, keys binary, target binary, background binary, words bigint, target_total bigint, background_total bigint"
-    counts = staged(both.groupBy("bucket").applyInArrow(_summed, kinds), "counts")
+    counts = staged(_all_counts(target, background, known, buckets), "counts")
     sums = counts.agg(F.sum("words"), F.sum("target_total"), F.sum("background_total")).first()
     size = (sums[0] or 0) + 1 if known is None else len(known) + 1
     return BigramModels(known, counts.select("bucket", "keys", "target", "background"), buckets, chunks, size, (sums[1] or 0, sums[2] or 0))
 
 
+def train_marked(
+    docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> BigramModels:
+    """The models of ``train`` for the texts of ``docs`` whose id is in ``target_ids`` against all of them, where ``docs``
+    are to be scored themselves: they are counted and answered at once.
+
+    A chunk of 4 MB sends its distinct keys once, with its counts in both corpora, as compressed differences; a bucket
+    adds them up and answers each chunk with the sums.  A word is one key with two counts: its uses and how often it
+    ends a text, which is how often it is no context.  Only ids are joined with ``target_ids``, and the chunks get the places
+    of their target texts in a broadcast while these are few.  ``counts`` is computed only if other texts are scored.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    ids = target_ids.select(F.col(target_ids.columns[0]).cast(kind).alias("id"))
+    chosen = docs.join(ids.hint("merge"), docs[id_col] == F.col("id"), "left_semi")
+    target, background = (t.select(F.col(text_col).cast("string").alias("text")) for t in (chosen, docs))
+    known = _most_frequent(background, vocabulary)
+    chunks = _chunks(docs, id_col, text_col, kind, CHUNK_BYTES)
+    n = chunks.count()
+    buckets = max(1, math.ceil(2 * n**0.75))
+    placed = chunks.select("chunk", F.posexplode("ids").alias("place", "id"))
+    marks = placed.join(ids.hint("merge"), "id", "left_semi").groupBy("chunk").agg(F.collect_list("place").alias("marks"))
+    marks = staged(marks, "marks")
+    few = (marks.agg(F.sum(F.size("marks"))).first()[0] or 0) <= BROADCAST_MARKS
+    asked = chunks.join(F.broadcast(marks) if few else marks, "chunk", "left")
+    asked = asked.mapInArrow(_own_questions(known, buckets), "bucket int, chunk bigint, n int, keys binary, counts binary")
+    kinds = "chunk bigint, bucket int, sums binary, words bigint, totals array<bigint>"
+    answers = staged(asked.groupBy("bucket").applyInArrow(_own_answers, kinds), "answers")
+    sums = answers.agg(F.sum("words"), *(F.sum(F.get("totals", F.lit(i))) for i in range(4))).first()
+    size = (sums[0] or 0) + 1 if known is None else len(known) + 1
+    totals, starts = (sums[1] or 0, sums[2] or 0), (sums[3] or 0, sums[4] or 0)
+    counts = _all_counts(target, background, known, buckets).select("bucket", "keys", "target", "background")
+    own = OwnAnswers(docs, (id_col, text_col), chunks, answers.select("chunk", "bucket", "sums"), starts)
+    return BigramModels(known, counts, buckets, n, size, totals, own)
+
+
+def _own_keys(batch: pa.RecordBatch, i: int, vocabulary: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A chunk's distinct keys, which of them are each token's pair and word, and each text's first token."""
+    keys, firsts = _chunk_keys(batch, i, vocabulary)
+    distinct, which = np.unique(np.concatenate(keys[:2]), return_inverse=True)
+    pair, token = which.reshape(2, -1)
+    return distinct, pair, token, firsts
+
+
+def _ends(firsts: np.ndarray) -> np.ndarray:
+    """The last token of each text that has any."""
+    return firsts[1:][np.diff(firsts) > 0] - 1
+
+
+def _own_questions(vocabulary: np.ndarray | None, buckets: int):
+    def ask(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                distinct, pair, token, firsts = _own_keys(batch, i, vocabulary)
+                marked = np.zeros(len(firsts) - 1, bool)
+                marked[batch.column(4)[i].as_py() or []] = True
+                rows, ends = row_of(firsts), _ends(firsts)
+                ours = marked[rows]
+                uses = ((pair[ours], token[ours]), (pair, token))
+                counts = [sum(np.bincount(k, minlength=len(distinct)) for k in both) for both in uses]
+                counts += [np.bincount(token[e], minlength=len(distinct)) for e in (ends[ours[ends]], ends)]
+                counts = np.stack(counts)
+                cuts = _cuts(distinct, buckets)
+                full = np.flatnonzero(np.diff(cuts))
+                pieces = [slice(int(cuts[b]), int(cuts[b + 1])) for b in full]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(full.astype(np.int32)),
+                        pa.array(np.full(len(full), batch.column(0)[i].as_py(), np.int64)),
+                        pa.array(np.diff(cuts)[full].astype(np.int32)),
+                        pa.array([_squeezed(_steps(distinct[p])) for p in pieces], pa.binary()),
+                        pa.array([_squeezed(counts[:, p]) for p in pieces], pa.binary()),
+                    ],
+                    names=["bucket", "chunk", "n", "keys", "counts"],
+                )
+
+    return ask
+
+
+def _own_answers(asked: pa.Table) -> pa.Table:
+    """The sums of a bucket's keys over all chunks, for each chunk in the order of its questions; the first row has the
+    bucket's words and the sums of theirs."""
+    sizes = asked.column("n").to_numpy()
+    at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    keys = [np.cumsum(_restored(k, n), dtype=np.uint64) for k, n in zip(asked.column("keys").to_pylist(), sizes)]
+    distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.zeros((4, len(distinct)), np.int64)
+    for k, (counts, n) in enumerate(zip(asked.column("counts").to_pylist(), sizes)):
+        sums[:, which[at[k] : at[k + 1]]] += _restored(counts, 4 * n).reshape(4, n).astype(np.int64)
+    words = distinct & _KIND == TOKEN
+    none = [None] * (len(sizes) - 1)
+    return pa.table(
+        {
+            "chunk": asked.column("chunk").cast(pa.int64()),
+            "bucket": asked.column("bucket").cast(pa.int32()),
+            "sums": pa.array([_squeezed(sums[:, which[a:b]]) for a, b in zip(at, at[1:])], pa.binary()),
+            "words": pa.array([int(words.sum()), *none], pa.int64()),
+            "totals": pa.array([sums[:, words].sum(axis=1).tolist(), *none], pa.list_(pa.int64())),
+        }
+    )
+
+
+def _own_losses(models: BigramModels, kind: str):
+    vocabulary, buckets, size, totals, starts = models.vocabulary, models.buckets, models.size, models.totals, models.own.starts
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                distinct, pair, token, firsts = _own_keys(batch, i, vocabulary)
+                cuts = _cuts(distinct, buckets)
+                sums = np.zeros((4, len(distinct)), np.int64)
+                for one in batch.column(4)[i].as_py() or []:
+                    a, b = int(cuts[one["bucket"]]), int(cuts[one["bucket"] + 1])
+                    sums[:, a:b] = _restored(one["sums"], 4 * (b - a)).reshape(4, -1)
+                contexts = (_contexts((uses - ends)[token], firsts, start) for uses, ends, start in zip(sums[:2], sums[2:], starts))
+                sides = zip(sums[:2], contexts, totals)
+                losses = [_losses(uses[pair], uses[token], context, total, size) for uses, context, total in sides]
+                yield _scored(batch.column(1)[i].values, firsts, *losses)
+
+    return run
+
+
+def _scored(ids: pa.Array, firsts: np.ndarray, target: np.ndarray, background: np.ndarray) -> pa.RecordBatch:
+    """A row for each text, from the losses of the tokens."""
+    rows, n = row_of(firsts), np.diff(firsts)
+    target, background = (np.bincount(rows, losses, len(n)) / np.maximum(n, 1) for losses in (target, background))
+    columns = [ids, pa.array(n.astype(np.int64)), pa.array(target), pa.array(background), pa.array(target - background)]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+
 def _chunk_keys(batch: pa.RecordBatch, i: int, vocabulary: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
     """The keys of a chunk's tokens, read in slices, and each text's first."""
     import zstandard
@@ -282,13 +458,17 @@ def cross_entropy_difference(docs: DataFrame, models: BigramModels, id_col: str
 
     Texts are put into chunks of about 4 MB.  A chunk asks about each distinct key once; questions meet the counts in a
     shuffle by bucket (the counts are repeated where far more text is scored than was counted), and the answers
-    come back to the chunk.
+    come back to the chunk.  The very ``docs`` of ``train_marked`` have been asked about and answered there.
 
     Defined cases: null text or text without words has no tokens, losses and score 0; repeated rows are kept; models of
     empty corpora are uniform; no rows give no rows; other columns are ignored.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    schema = f"doc_id {kind}, n_tokens bigint, target_loss double, background_loss double, score double"
     vocabulary, buckets, size, totals = models.vocabulary, models.buckets, models.size, models.totals
+    if models.own and models.own.docs is docs and models.own.columns == (id_col, text_col):
+        replies = models.own.answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "sums")).alias("replies"))
+        return models.own.chunks.join(replies, "chunk", "left").mapInArrow(_own_losses(models, kind), schema)
     chunks = _chunks(docs, id_col, text_col, kind, CHUNK_BYTES)
     parts = max(1, math.ceil(chunks.count() / max(1, models.chunks)))
     asked = chunks.mapInArrow(_questions(vocabulary, buckets), "bucket int, chunk bigint, asked binary")
@@ -309,21 +489,7 @@ def cross_entropy_difference(docs: DataFrame, models: BigramModels, id_col: str
                     a, b = int(cuts[one["bucket"]]), int(cuts[one["bucket"] + 1])
                     sides[:, a:b] = [_unpacked(one[n], b - a) for n in ("target", "background")]
                 pair, token, context = which.reshape(3, -1)
-                rows, n = row_of(firsts), np.diff(firsts)
-                target, background = (
-                    np.bincount(rows, _losses(side[pair], side[token], side[context], total, size), len(n)) / np.maximum(n, 1)
-                    for side, total in zip(sides, totals)
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(1)[i].values,
-                        pa.array(n.astype(np.int64)),
-                        pa.array(target),
-                        pa.array(background),
-                        pa.array(target - background),
-                    ],
-                    names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
-                )
+                losses = [_losses(side[pair], side[token], side[context], total, size) for side, total in zip(sides, totals)]
+                yield _scored(batch.column(1)[i].values, firsts, *losses)
 
-    schema = f"doc_id {kind}, n_tokens bigint, target_loss double, background_loss double, score double"
     return chunks.join(replies, "chunk", "left").mapInArrow(run, schema)

@@ -180,3 +180,42 @@ def test_losses_cover_all_words(docs):
         want = [sum(m(*s) for s in steps) / len(steps) for m in (target, background)]
         assert got[i].n_tokens == len(found) and (got[i].target_loss, got[i].background_loss) == pytest.approx(want, abs=1e-9)
     assert got[10].score < got[11].score
+
+
+@pytest.mark.parametrize("vocabulary", [None, 6])
+def test_marked_texts_are_counted_and_answered_at_once(docs, odd_rows, monkeypatch, spark, vocabulary):
+    """The models and losses are those of ``train`` over the texts of the ids, with several chunks and many buckets."""
+    monkeypatch.setattr(language_model, "CHUNK_BYTES", 500)
+    good = [r for r in odd_rows if r[0] and r[0] % 3 == 0]
+    assert len({i for i, _ in good}) < len(good) and any(not (t or '').strip() for _, t in good)
+    ids = spark.createDataFrame([(i,) for i, _ in good + good[:4]] + [(None,), (5_000,)], "doc_id bigint")
+    every = docs(odd_rows)
+    plain = language_model.train(docs(good), every, vocabulary)
+    for few in (language_model.BROADCAST_MARKS, 0):
+        monkeypatch.setattr(language_model, "BROADCAST_MARKS", few)
+        marked = language_model.train_marked(every, ids, vocabulary)
+        assert (marked.size, marked.totals) == (plain.size, plain.totals)
+
+        def rows(texts, models):
+            return sorted(map(tuple, language_model.cross_entropy_difference(texts, models).collect()), key=repr)
+
+        assert rows(every, marked) == rows(every, plain)
+    assert rows(docs(odd_rows[:9]), marked) == rows(docs(odd_rows[:9]), plain)
+
+
+def test_marked_texts_without_words(docs, spark):
+    ids = spark.createDataFrame([(1,)], "doc_id bigint")
+    for some in ([], [(1, None), (2, " ")]):
+        frame = docs(some)
+        got = language_model.cross_entropy_difference(frame, language_model.train_marked(frame, ids)).collect()
+        assert {(r.doc_id, r.n_tokens, r.score) for r in got} == {(i, 0, 0.0) for i, _ in some}
+
+
+def test_keys_of_a_chunk_take_less_room():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(2**62, 2**62 + 2**57, 5_000).astype(np.uint64))
+    steps = language_model._squeezed(language_model._steps(keys))
+    assert len(steps) < 6.3 * len(keys)
+    assert (np.cumsum(language_model._restored(steps, len(keys)), dtype=np.uint64) == keys).all()
+    counts = np.array([[1, 0, 70_000], [0, 0, 3]])
+    assert language_model._restored(language_model._squeezed(counts), 6).reshape(2, 3).tolist() == counts.tolist()
