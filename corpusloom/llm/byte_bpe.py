@@ -207,6 +207,13 @@ def _split(docs: DataFrame, table: RankTable, classes: np.ndarray, kind: str) ->
     return docs.mapInArrow(run, schema)
 
 
+def _few_tasks(docs: DataFrame) -> DataFrame:
+    """Two parts of a scan in one task where it has many: a word is folded once a task, and twice the text has about one and
+    a half times the words.  Nothing is shuffled, and each core still has two tasks."""
+    parts = docs.rdd.getNumPartitions()
+    return docs.coalesce(max(2 * docs.sparkSession.sparkContext.defaultParallelism, parts // 2))
+
+
 def _ids(lists: pa.ListArray) -> dict[str, pa.Array]:
     return {"ids": lists}
 
@@ -244,7 +251,7 @@ def _encoded(
 ) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    split = _split(rows, table, character_classes(), kind)
+    split = _split(_few_tasks(rows), table, character_classes(), kind)
     return _joined(split.withColumn("words", folded(F.col("words"), table)), kind, finish, columns)
 
 
@@ -252,7 +259,7 @@ def encode(docs: DataFrame, table: RankTable, id_col: str = "doc_id", text_col:
     """``doc_id, ids``: every whole text as the ids of its words, each match of ``PATTERN`` encoded on its own.
 
     Three steps in one stage, without a shuffle: a task splits a slice of texts and numbers the words that are new to it
-    (up to ``HELD_WORDS``, then anew); higher-order functions merge these words, each once, by a literal rank map; the
+    (up to ``HELD_WORDS``, then anew), two parts of a scan in one task where there are many; higher-order functions merge these words, each once, by a literal rank map; the
     ids are put where the words stand.  Words of more than ``LONG`` bytes are merged by a heap while they are split,
     as a fold takes time by the square of the length.
 

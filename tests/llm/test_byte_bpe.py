@@ -117,3 +117,14 @@ def test_bad_rank_files_are_refused():
     for ranks in ({b"a": 0}, {**single, b"ab": 7}, {**single, b"ab": byte_bpe.MAX_RANK}):
         with pytest.raises(ValueError):
             byte_bpe.RankTable(ranks)
+
+
+def test_two_parts_of_a_scan_are_one_task(docs, table, library, spark):
+    """Words are folded once a task, so a task takes two of many parts; every row is still there."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = [(i, f"word{i % 7} other{i}") for i in range(300)]
+    frame = docs(rows, 8 * cores)
+    encoded = byte_bpe.encode(frame, table)
+    assert encoded.rdd.getNumPartitions() == 4 * cores
+    assert {r.doc_id: r.ids for r in encoded.collect()} == {i: library.encode_ordinary(t) for i, t in rows}
+    assert byte_bpe.encode(docs(rows, 2 * cores), table).rdd.getNumPartitions() == 2 * cores
