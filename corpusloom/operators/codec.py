@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.folding import MergeMap, held_once
 from corpusloom.functions.idstrings import MISSING, byte_string, fold_pairs, id_char, ids_of
 from corpusloom.functions.literals import literals_in
+from corpusloom.functions.packed import array_ids, packed_ids
 from corpusloom.functions.patterns import GPT4PAT, pretokenize
 from corpusloom.functions.rendering import readable
 from corpusloom.model import TokenizerModel
@@ -68,8 +69,8 @@ def _merge_map(model: TokenizerModel) -> MergeMap:
     return MergeMap((id_char(left), id_char(right), id_char(token_id)) for left, right, token_id in model.merges)
 
 
-def encode_pieces(text: Column, model: TokenizerModel, pattern: str | None = None) -> Column:
-    """Ids of a text encoded inside its pre-tokens, in place.
+def merged_pieces(text: Column, model: TokenizerModel, pattern: str | None = None) -> Column:
+    """The id string of a text merged inside its pre-tokens, in place.
 
     With few merges each is tried on the whole text: the gap characters between the pre-tokens stop it (the gap is the id
     after the last one, which no text and no merge can produce).  With many, each pre-token is folded by the merges that
@@ -84,10 +85,15 @@ def encode_pieces(text: Column, model: TokenizerModel, pattern: str | None = Non
 
             return F.array_join(F.transform(pieces, one), "")
 
-        return ids_of(_merge_map(model).folding(folded, "string"), model.max_id)
+        return _merge_map(model).folding(folded, "string")
     gap = id_char(model.max_id + 1)
     merged = merge_string(F.array_join(pieces, gap), model)
-    return ids_of(F.replace(merged, F.lit(gap), F.lit("")), model.max_id)
+    return F.replace(merged, F.lit(gap), F.lit(""))
+
+
+def encode_pieces(text: Column, model: TokenizerModel, pattern: str | None = None) -> Column:
+    """Ids of a text encoded inside its pre-tokens (see :func:`merged_pieces`), by built-in functions alone."""
+    return ids_of(merged_pieces(text, model, pattern), model.max_id)
 
 
 def encode_corpus(
@@ -98,8 +104,10 @@ def encode_corpus(
     pattern: str | None = None,
     text_col: str = "text",
     out: str = "tokens",
+    lead: int | None = None,
+    packed: bool = False,
 ) -> DataFrame:
-    """Add the token ids of ``text_col`` as ``ARRAY<INT>``.
+    """Add the token ids of ``text_col`` as ``ARRAY<INT>``, or as packed bytes (``functions.packed``), the id ``lead`` before them.
 
     ``mode="text"`` merges over the whole text, ``mode="pretoken"`` inside each match of the split pattern.
     ``strategy="fold"`` works in place without a shuffle at a cost of merges x text; ``"dictionary"`` encodes each
@@ -111,16 +119,22 @@ def encode_corpus(
     if strategy == "auto":
         strategy = "dictionary" if len(model.merges) > FOLD_MERGES else "fold"
     text = F.col(text_col)
+
+    def ids(seq: Column) -> Column:
+        whole = seq if lead is None else F.concat(F.lit(id_char(lead)), seq)
+        return packed_ids(whole) if packed else array_ids(whole)
+
     if strategy == "fold":
-        ids = encode_text(text, model) if mode == "text" else encode_pieces(text, model, pattern)
-        return df.withColumn(out, ids)
+        seq = merge_string(byte_string(text), model) if mode == "text" else merged_pieces(text, model, pattern)
+        # The generator keeps the optimizer from copying the encoding into other uses of the ids.
+        return df.select("*", F.explode(F.array(seq)).alias("_seq")).withColumn(out, ids(F.col("_seq"))).drop("_seq")
     if strategy != "dictionary":
         raise ValueError(f"unknown strategy {strategy!r}")
     if mode == "text":
         pieces, to_seq = free_segments(text, model), _as_is
     else:
         pieces, to_seq = pretokenize(text, pattern or model.pattern or GPT4PAT), byte_string
-    return _encode_by_dictionary(df, model, pieces, to_seq, text_col, out)
+    return _encode_by_dictionary(df, model, pieces, to_seq, text_col, out, ids)
 
 
 def _as_is(seq: Column) -> Column:
@@ -247,6 +261,7 @@ def _encode_by_dictionary(
     to_seq: Callable[[Column], Column],
     text_col: str,
     out: str,
+    ids: Callable[[Column], Column],
 ) -> DataFrame:
     """Encode each frequent piece once and look its occurrences up; rare ones are encoded where they stand.
 
@@ -278,7 +293,7 @@ def _encode_by_dictionary(
     )
     # A text without pieces has no occurrence and still keeps its row; a null text stays null.
     whole = F.when(F.col(text_col).isNotNull(), F.coalesce("_merged", F.lit("")))
-    return dealt.join(merged, "_row", "left").withColumn(out, ids_of(whole, model.max_id)).drop("_row", "_merged")
+    return dealt.join(merged, "_row", "left").withColumn(out, ids(whole)).drop("_row", "_merged")
 
 
 def decode_tokens(tokens: Column, model: TokenizerModel, render_special: bool = False) -> Column:

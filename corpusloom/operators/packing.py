@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
-from corpusloom.model import ID_BOUND, TokenizerModel
+from corpusloom.functions.packed import packed_size, packed_slice, unpacked_ids
+from corpusloom.model import ID_BOUND, MAX_ID, TokenizerModel
 from corpusloom.operators.codec import encode_corpus
 from corpusloom.operators.pretokens import present
 from corpusloom.plans.offsets import div, running_offset
@@ -22,19 +24,46 @@ def tokenize_documents(
     eot_id: int | None = None,
     text_col: str = "text",
     id_col: str = "doc_id",
+    packed: bool = False,
     **encode_options,
 ) -> DataFrame:
     """``(id_col, n_tokens, tokens)``: the separator comes before each document.  A null text raises.
 
+    ``packed`` gives the tokens as bytes, four each, which packing and batches take as well: they are staged, shuffled
+    and cut without a look at the single token.
+
     Stage the result (:func:`corpusloom.session.stage_table`) before packing it: the stream positions then come from
     ``n_tokens`` alone, and no text is encoded twice.
     """
     if eot_id is None:
         eot_id = model.special_tokens[END_OF_TEXT]
     kept = df.withColumn(text_col, present(F.col(text_col)))
-    encoded = encode_corpus(kept, model, text_col=text_col, **encode_options)
-    marked = encoded.select(id_col, F.concat(F.array(F.lit(eot_id)), "tokens").alias("tokens"))
-    return marked.select(id_col, F.size("tokens").cast("bigint").alias("n_tokens"), "tokens")
+    # A separator that no character stands for is put before the ids.
+    lead = eot_id if packed or 0 <= eot_id < MAX_ID else None
+    marked = encode_corpus(kept, model, text_col=text_col, lead=lead, packed=packed, **encode_options)
+    if lead is None:
+        marked = marked.withColumn("tokens", F.concat(F.array(F.lit(eot_id)), "tokens"))
+    return marked.select(id_col, size_of_tokens(marked).cast("bigint").alias("n_tokens"), "tokens")
+
+
+def has_packed_tokens(df: DataFrame) -> bool:
+    return isinstance(df.schema["tokens"].dataType, BinaryType)
+
+
+def size_of_tokens(df: DataFrame) -> Column:
+    """Tokens of a row, packed or not."""
+    return packed_size(F.col("tokens")) if has_packed_tokens(df) else F.size("tokens")
+
+
+def slice_of_tokens(df: DataFrame, start: Column, length: Column) -> Column:
+    """``length`` tokens of a row from the place ``start``, which counts from 0, in the form they have."""
+    tokens = F.col("tokens")
+    return packed_slice(tokens, start, length) if has_packed_tokens(df) else F.slice(tokens, (start + 1).cast("int"), length)
+
+
+def unpacked_tokens(df: DataFrame) -> DataFrame:
+    """The frame with its packed tokens as ``ARRAY<INT>``."""
+    return df.withColumn("tokens", unpacked_ids(F.col("tokens")))
 
 
 def _out_of_bounds(bound: int):
@@ -60,7 +89,7 @@ def token_offsets(df: DataFrame, order_col: str = "doc_id", slices: int | None =
 
     Only ids and lengths take part; a staged frame with an ``n_tokens`` column is not read any further.
     """
-    length = F.col("n_tokens") if "n_tokens" in df.columns else F.size("tokens")
+    length = F.col("n_tokens") if "n_tokens" in df.columns else size_of_tokens(df)
     lengths = df.select(order_col, length.cast("bigint").alias("n_tokens"))
     return running_offset(lengths, order_col, F.col("n_tokens"), slices=slices)
 
@@ -75,12 +104,12 @@ def pack_shards(
 ) -> DataFrame:
     """``(split, shard, shard_pos, order_col, n_tokens, tokens)``: the stream cut at every multiple of ``shard_size``.
 
-    ``order_col`` is the order of the stream; a null or repeated value raises.  The tokens are shuffled once, with their
+    ``order_col`` is the order of the stream; a null or repeated value raises.  The tokens, packed or not, are shuffled once, with their
     slice of the order, which holds about ``TOKENS_PER_SLICE`` of them.  A document at a border is split, one longer than a shard is split several times; the last
     shard is shorter.
     """
     size = F.lit(shard_size).cast("bigint")
-    length = F.col("n_tokens") if "n_tokens" in df.columns else F.size("tokens")
+    length = F.col("n_tokens") if "n_tokens" in df.columns else size_of_tokens(df)
     lengths = df.select(order_col, length.cast("bigint").alias("n_tokens"), "tokens")
     size_of = F.coalesce("n_tokens", F.lit(1))
     placed = running_offset(lengths, order_col, F.col("n_tokens"), slices=slices, weight=size_of, per_slice=TOKENS_PER_SLICE)
@@ -102,7 +131,7 @@ def pack_shards(
         (left - F.col("shard") * size).alias("shard_pos"),
         order_col,
         taken.cast("bigint").alias("n_tokens"),
-        F.slice("tokens", (left - F.col("begin") + 1).cast("int"), taken).alias("tokens"),
+        slice_of_tokens(df, left - F.col("begin"), taken).alias("tokens"),
     )
 
 

@@ -3,12 +3,13 @@
 import re
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpusloom as cl
 from corpusloom import queries
 from corpusloom.functions import literals
-from corpusloom.operators import codec, packing, training
+from corpusloom.operators import batching, codec, packing, training
 from corpusloom.plans import offsets
 
 
@@ -153,3 +154,62 @@ def test_many_shards_are_written_by_few_tasks(spark, tmp_path, monkeypatch):
     read = cl.read_token_shards(spark, f"{tmp_path}/shards", "train").unionByName(cl.read_token_shards(spark, f"{tmp_path}/shards", "valid"))
     stream = [t for r in sorted(read.collect(), key=lambda r: (r["shard"], r["shard_pos"])) for t in r["tokens"]]
     assert stream == [i % 9 for i in range(300) for _ in range(7)]
+
+
+def test_packed_tokens_equal_arrays(spark, texts):
+    """Tokens are staged, shuffled and cut as bytes; ids beyond one byte, two bytes and the surrogates come back."""
+    values = ["", "a", "é" * 40, "日本 text " * 30, "x" * 3_000] + [f"word {i} " * (i % 7) for i in range(40)]
+    merges = [(97, 98, 55_295), (111, 114, 55_296), (120, 120, 70_000)]
+    model = cl.TokenizerModel(merges, cl.GPT4PAT, {packing.END_OF_TEXT: 900_000})
+    docs = texts(values)
+    arrays, packed = cl.tokenize_documents(docs, model), cl.tokenize_documents(docs, model, packed=True)
+    assert packed.schema["tokens"].dataType.simpleString() == "binary"
+    found = {r["doc_id"]: list(r["tokens"]) for r in packing.unpacked_tokens(packed).collect()}
+    assert found == {r["doc_id"]: list(r["tokens"]) for r in arrays.collect()}
+    assert found == {i: [900_000, *plain_pieces(text, merges)] for i, text in enumerate(values)}
+    shards = [cl.pack_shards(tokens, 400) for tokens in (arrays, packed)]
+    plan = cl.batch_plan(cl.shard_manifest(shards[0]), 2, 16, 2)
+    batches = [sorted(map(repr, cl.materialize_batches(s, plan, 2, 16).collect())) for s in shards]
+    assert batches[0] == batches[1] and len(batches[0]) == 2 * plan.count()
+
+
+def plain_pieces(text, merges):
+    return [t for piece in regex.findall(cl.GPT4PAT, text) for t in plain_merges(piece.encode(), merges)]
+
+
+def test_batches_are_cut_from_stretches(spark):
+    """A piece is shuffled in stretches of many rows, and a planned row needs no array of its own before the join."""
+    pieces = [(0, at, list(range(at, at + 700))) for at in range(0, 7_000, 700)]
+    shards = spark.createDataFrame(pieces, "shard int, shard_pos bigint, tokens array<int>")
+    stretches = batching.token_stretches(shards, 1_024)
+    assert sorted((r["stretch"], r["begin"], r["end"], list(r["ids"])) for r in stretches.collect()) == [
+        (i, 1_024 * i, end := min(1_024 * i + 1_025, 7_000), list(range(1_024 * i, end))) for i in range(7)
+    ]
+
+
+@pytest.mark.parametrize("as_bytes", [False, True])
+def test_rows_beside_a_gap_are_found(spark, as_bytes):
+    """Pieces that are missing or repeated concern the rows that need them alone, though others share their stretch."""
+    pieces = [(0, at, list(range(at, at + 4))) for at in range(0, 40, 4) if at not in (12, 16)] + [(1, 0, [1, 2, 3, 4, 5]), (1, 0, [1, 2, 3, 4, 5])]
+    shards = spark.createDataFrame(pieces, "shard int, shard_pos bigint, tokens array<int>")
+    if as_bytes:
+        pack = F.udf(lambda ids: b"".join(i.to_bytes(4, "little") for i in ids), "binary")
+        shards = shards.withColumn("tokens", pack("tokens"))
+
+    def rows(*starts):
+        plan = spark.createDataFrame([(0, i, *s) for i, s in enumerate(starts)], "rank int, batch_index bigint, shard int, start bigint")
+        return {(r["shard"], r["inputs"][0]): list(r["targets"]) for r in cl.materialize_batches(shards, plan, 1, 5).collect()}
+
+    assert rows((0, 0), (0, 5), (0, 20), (0, 30)) == {(0, s): list(range(s + 1, s + 6)) for s in (0, 5, 20, 30)}
+    for start in ((0, 10), (0, 15), (1, 0)):
+        with pytest.raises(Exception, match="not in the shards"):
+            rows((0, 0), start)
+
+
+def test_digests_equal_codes(spark):
+    """Ids are coded for a whole batch; null ids are left out and ids above four digits cut, as the codes have them."""
+    values = [[], None, [0, 1, 255, 256, 4_096, 65_535], [70_000, 5], [-1, 3], [7, None, 9], *([i] * (i % 5) for i in range(60))]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "k int, tokens array<int>").repartition(2)
+    native = df.select("k", F.size("tokens").alias("n"), F.md5(queries.codes(F.col("tokens"))).alias("d"))
+    found = queries.digest(df, "k")
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, map(tuple, native.collect())))
