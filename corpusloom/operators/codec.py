@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.folding import MergeMap, held_once
-from corpusloom.functions.idstrings import MISSING, byte_string, fold_pairs, id_char, ids_of
+from corpusloom.functions.idstrings import GAP, MISSING, byte_string, fold_pairs, id_char, ids_of
 from corpusloom.functions.literals import literals_in
 from corpusloom.functions.packed import array_ids, packed_ids
-from corpusloom.functions.patterns import GPT4PAT, pretokenize
+from corpusloom.functions.patterns import GPT2PAT, GPT4PAT, pretokenize
 from corpusloom.functions.rendering import readable
 from corpusloom.model import TokenizerModel
 from corpusloom.session import stage_table
@@ -26,6 +26,8 @@ from corpusloom.session import stage_table
 # Up to this many merges the pass over the whole document is cheaper than a dictionary of its pre-tokens.
 FOLD_MERGES = 256
 FEW_LITERALS = 8
+# Split patterns whose matches leave nothing of a text out.
+WHOLE_PATTERNS = {GPT2PAT, GPT4PAT}
 # The part of the dictionary that is sent to every executor: at most so many rows and so many bytes of text.
 HOT_ROWS = 500_000
 HOT_BYTES = 64 << 20
@@ -74,10 +76,16 @@ def merged_pieces(text: Column, model: TokenizerModel, pattern: str | None = Non
 
     With few merges each is tried on the whole text: the gap characters between the pre-tokens stop it (the gap is the id
     after the last one, which no text and no merge can produce).  With many, each pre-token is folded by the merges that
-    its neighbours make, so the cost follows the text and not the number of merges.
+    its neighbours make, so the cost follows the text and not the number of merges.  Without merges the pre-tokens that
+    leave nothing out are the text itself, if that is valid UTF-8: what is not, a search replaces.
     """
-    pieces = F.transform(pretokenize(text, pattern or model.pattern or GPT4PAT), byte_string)
+    pattern = pattern or model.pattern or GPT4PAT
+    matches = pretokenize(text, pattern)
+    if not model.merges:
+        joined = byte_string(F.array_join(matches, ""))
+        return F.when(F.is_valid_utf8(text), byte_string(text)).otherwise(joined) if pattern in WHOLE_PATTERNS else joined
     if len(model.merges) > WORD_FOLD_MERGES:
+        pieces = F.transform(matches, byte_string)
 
         def folded(fold: Callable[[Column], Column]) -> Column:
             def one(seq: Column) -> Column:
@@ -87,7 +95,11 @@ def merged_pieces(text: Column, model: TokenizerModel, pattern: str | None = Non
 
         return _merge_map(model).folding(folded, "string")
     gap = id_char(model.max_id + 1)
-    merged = merge_string(F.array_join(pieces, gap), model)
+    # Joined by a mark that the text does not hold, the pieces become bytes in one go.
+    mark = byte_string(F.lit(GAP))
+    marked = F.replace(byte_string(F.array_join(matches, GAP)), mark, F.lit(gap))
+    pieces = F.when(F.contains(text, F.lit(GAP)), F.array_join(F.transform(matches, byte_string), gap)).otherwise(marked)
+    merged = merge_string(pieces, model)
     return F.replace(merged, F.lit(gap), F.lit(""))
 
 

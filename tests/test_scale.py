@@ -213,3 +213,29 @@ def test_digests_equal_codes(spark):
     native = df.select("k", F.size("tokens").alias("n"), F.md5(queries.codes(F.col("tokens"))).alias("d"))
     found = queries.digest(df, "k")
     assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, map(tuple, native.collect())))
+
+
+ODD_TEXTS = ["", "plain text", "a\U0010fffdb the\U0010fffd\U0010fffd the", "\U0010fffd", "é  日本\r\n\r\n x  ", "\x00the\x85 the"]
+
+
+@pytest.mark.parametrize("pattern", [cl.GPT2PAT, cl.GPT4PAT, r"\p{L}+"])
+def test_texts_without_merges_are_not_searched(spark, texts, pattern):
+    """Pre-tokens that leave nothing out are the text; a pattern that does, or a text that is not UTF-8, is still searched."""
+    model = cl.TokenizerModel([], pattern)
+    docs = texts([*ODD_TEXTS, None]).union(spark.sql("select 99L, cast(x'61ff62' as string)"))
+    found = {r["doc_id"]: r["tokens"] for r in cl.encode_corpus(docs, model).collect()}
+    native = docs.select("doc_id", codec.ids_of(codec.byte_string(F.array_join(cl.pretokenize(F.col("text"), pattern), "")), 255).alias("ids"))
+    assert found == {r["doc_id"]: r["ids"] for r in native.collect()}
+    assert found[99] == list("ab".encode() if pattern == r"\p{L}+" else "a�b".encode())
+    plan = optimized(cl.encode_corpus(docs, model))
+    assert ("CASE WHEN" in plan) == (pattern != r"\p{L}+")
+
+
+def test_pieces_are_joined_before_they_become_bytes(spark, texts):
+    """One conversion a text and none a piece, also beside texts that hold the mark between the pieces."""
+    merges = [(116, 104, 256), (256, 101, 257), (32, 257, 258), (189, 32, 259), (189, 116, 260)]
+    model = cl.TokenizerModel(merges, cl.GPT4PAT)
+    found = [r["tokens"] for r in cl.encode_corpus(texts(ODD_TEXTS), model, strategy="fold").orderBy("doc_id").collect()]
+    assert found == [plain_pieces(text, merges) for text in ODD_TEXTS]
+    plan = optimized(cl.encode_corpus(texts(ODD_TEXTS), model, strategy="fold"))
+    assert "array_join(regexp_extract_all" in plan
