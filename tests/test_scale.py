@@ -239,3 +239,16 @@ def test_pieces_are_joined_before_they_become_bytes(spark, texts):
     assert found == [plain_pieces(text, merges) for text in ODD_TEXTS]
     plan = optimized(cl.encode_corpus(texts(ODD_TEXTS), model, strategy="fold"))
     assert "array_join(regexp_extract_all" in plan
+
+
+def test_separators_are_put_before_the_ids_are_made(texts):
+    """The ids of a document reach its digest without an array in the plan; a separator beyond all characters still works."""
+    values = ["", "the cat", "日本"]
+    for eot in (256, 999_999, 2_000_000):
+        model = cl.TokenizerModel([(116, 104, 256)] if eot > 256 else [], cl.GPT4PAT, {packing.END_OF_TEXT: eot})
+        tokens = cl.tokenize_documents(texts(values), model)
+        found = [(r["n_tokens"], r["tokens"]) for r in tokens.orderBy("doc_id").collect()]
+        expected = [[eot, *plain_pieces(text, model.merges)] for text in values]
+        assert found == [(len(ids), ids) for ids in expected]
+        plan = queries.digest(tokens, "doc_id")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython [") == (1 if eot < 2_000_000 else 2)
