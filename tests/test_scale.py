@@ -1,5 +1,7 @@
 """Costs that must not grow faster than the input: what is shuffled, copied by the optimizer or left to one task."""
 
+import os
+import random
 import re
 
 import pytest
@@ -252,3 +254,14 @@ def test_separators_are_put_before_the_ids_are_made(texts):
         assert found == [(len(ids), ids) for ids in expected]
         plan = queries.digest(tokens, "doc_id")._jdf.queryExecution().executedPlan().toString()
         assert plan.count("ArrowEvalPython [") == (1 if eot < 2_000_000 else 2)
+
+
+def test_staged_packed_tokens_take_little_room(spark, texts, tmp_path):
+    """Four bytes a token are mostly zeros: staged, they take less than half a byte of disk for each byte of them."""
+    words = random.Random(3)
+    docs = texts([" ".join(words.choice(["the", "cat", "sat", "on", "mat"]) for _ in range(3_000)) for _ in range(12)])
+    model = cl.TokenizerModel([], cl.GPT4PAT, {packing.END_OF_TEXT: 256})
+    staged = cl.stage_table(cl.tokenize_documents(docs, model, packed=True), "tokens")
+    files = [f.removeprefix("file://") for f in staged.inputFiles()]
+    assert files and all(".zstd." in f for f in files)
+    assert sum(map(os.path.getsize, files)) < staged.agg(F.sum("n_tokens")).first()[0] / 2
