@@ -18,7 +18,7 @@ from corpusloom.functions.folding import MergeMap, held_once
 from corpusloom.functions.idstrings import GAP, MISSING, byte_string, fold_pairs, id_char, ids_of
 from corpusloom.functions.literals import literals_in
 from corpusloom.functions.packed import array_ids, packed_ids
-from corpusloom.functions.patterns import GPT2PAT, GPT4PAT, pretokenize
+from corpusloom.functions.patterns import GPT2PAT, GPT4PAT, followed, pretokenize
 from corpusloom.functions.rendering import readable
 from corpusloom.model import TokenizerModel
 from corpusloom.session import stage_table
@@ -28,6 +28,8 @@ FOLD_MERGES = 256
 FEW_LITERALS = 8
 # Split patterns whose matches leave nothing of a text out.
 WHOLE_PATTERNS = {GPT2PAT, GPT4PAT}
+# Bytes that texts hardly hold: one of them may stand between pre-tokens.
+SEPARATORS = range(0x1F, 0x1B, -1)
 # The part of the dictionary that is sent to every executor: at most so many rows and so many bytes of text.
 HOT_ROWS = 500_000
 HOT_BYTES = 64 << 20
@@ -75,7 +77,8 @@ def merged_pieces(text: Column, model: TokenizerModel, pattern: str | None = Non
     """The id string of a text merged inside its pre-tokens, in place.
 
     With few merges each is tried on the whole text: the gap characters between the pre-tokens stop it (the gap is the id
-    after the last one, which no text and no merge can produce).  With many, each pre-token is folded by the merges that
+    after the last one, which no text and no merge can produce).  Where nothing is left out and the text does not hold it,
+    a separator of one byte is the gap, put behind each match in one pass that makes no array of them.  With many, each pre-token is folded by the merges that
     its neighbours make, so the cost follows the text and not the number of merges.  Without merges the pre-tokens that
     leave nothing out are the text itself, if that is valid UTF-8: what is not, a search replaces.
     """
@@ -99,8 +102,14 @@ def merged_pieces(text: Column, model: TokenizerModel, pattern: str | None = Non
     mark = byte_string(F.lit(GAP))
     marked = F.replace(byte_string(F.array_join(matches, GAP)), mark, F.lit(gap))
     pieces = F.when(F.contains(text, F.lit(GAP)), F.array_join(F.transform(matches, byte_string), gap)).otherwise(marked)
-    merged = merge_string(pieces, model)
-    return F.replace(merged, F.lit(gap), F.lit(""))
+    stop = F.lit(gap)
+    merging = {token_id for left, right, _ in model.merges for token_id in (left, right)}
+    free = next((chr(byte) for byte in SEPARATORS if byte not in merging), None)
+    if pattern in WHOLE_PATTERNS and free:
+        held = F.contains(text, F.lit(free))
+        pieces = F.when(held, pieces).otherwise(byte_string(followed(text, pattern, free)))
+        stop = F.when(held, stop).otherwise(F.lit(free))
+    return F.replace(merge_string(pieces, model), stop, F.lit(""))
 
 
 def encode_pieces(text: Column, model: TokenizerModel, pattern: str | None = None) -> Column:

@@ -265,3 +265,21 @@ def test_staged_packed_tokens_take_little_room(spark, texts, tmp_path):
     files = [f.removeprefix("file://") for f in staged.inputFiles()]
     assert files and all(".zstd." in f for f in files)
     assert sum(map(os.path.getsize, files)) < staged.agg(F.sum("n_tokens")).first()[0] / 2
+
+
+@pytest.mark.parametrize("used", [[], [0x1F], [0x1F, 0x1E, 0x1D, 0x1C]])
+def test_a_byte_no_merge_takes_part_in_stands_between_pieces(spark, texts, used):
+    """Texts that hold it, bytes that are not UTF-8 and merges of all such bytes take the longer way."""
+    merges = [(116, 104, 256), (256, 101, 257), (32, 257, 258), *((byte, byte, 300 + i) for i, byte in enumerate(used))]
+    values = [*ODD_TEXTS, "the\x1f\x1f\x1fthe", "a\x1e\x1eb\x1f", "\x1d\x1c\x1c", "'the don't $0 \\the"]
+    docs = texts([*values, None]).union(spark.sql("select 99L, cast(x'7468ff1f6862' as string)"))
+    for pattern in (cl.GPT4PAT, cl.GPT2PAT):
+        model = cl.TokenizerModel(merges, pattern)
+        encoded = cl.encode_corpus(docs, model, strategy="fold")
+        found = {r["doc_id"]: r["tokens"] for r in encoded.collect()}
+        assert found.pop(len(values)) is None
+        rows = {**dict(enumerate(values)), 99: "th�\x1fhb"}
+        assert found == {
+            i: [t for piece in regex.findall(pattern, text) for t in plain_merges(piece.encode(), merges)] for i, text in rows.items()
+        }
+        assert ("regexp_replace" in optimized(encoded)) == (len(used) < 4)
