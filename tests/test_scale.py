@@ -13,6 +13,7 @@ from corpusloom import queries
 from corpusloom.functions import literals
 from corpusloom.operators import batching, codec, packing, training
 from corpusloom.plans import offsets
+from tests import plain
 
 
 def optimized(df):
@@ -283,3 +284,28 @@ def test_a_byte_no_merge_takes_part_in_stands_between_pieces(spark, texts, used)
             i: [t for piece in regex.findall(pattern, text) for t in plain_merges(piece.encode(), merges)] for i, text in rows.items()
         }
         assert ("regexp_replace" in optimized(encoded)) == (len(used) < 4)
+
+
+def test_a_pass_counts_what_its_own_merges_change(texts, monkeypatch):
+    """Sequences that earlier merges changed are not counted again, though the frame is not rewritten in between."""
+    words = {f"{first}{second}{third}": 2 + 3 * i for i, (first, second, third) in enumerate(["abc", "bcd", "cde", "def", "efg", "fgh"])}
+    values = [" ".join(word for word, n in words.items() for _ in range(n))]
+    changes = []
+    counted = training._changed_counts
+
+    def spied(counts, merged, any_long):
+        changes.append(merged.where("before is not null").count())
+        return counted(counts, merged, any_long)
+
+    monkeypatch.setattr(training, "_changed_counts", spied)
+    pieces = [piece.encode() for value in values for piece in regex.findall(cl.GPT4PAT, value)]
+    model = cl.train_bpe(texts(values), 256 + 7, cl.GPT4PAT)
+    expected = plain.train(pieces, 7)
+    assert [(r.left, r.right, r.token_id, r.cnt) for r in model.trace] == expected
+    # What each merge changes, one at a time; passes may take some at once, the last one is not counted.
+    current, alone = sorted({tuple(p) for p in pieces}), []
+    for left, right, token_id, _ in expected:
+        after = [tuple(plain.join_pair(seq, (left, right), token_id)) for seq in current]
+        alone.append(sum(a != b for a, b in zip(current, after)))
+        current = after
+    assert len(changes) > 2 and sum(changes) <= sum(alone)
