@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.batched import merge_steps, merged_ids
 from corpusloom.functions.folding import MergeMap, held_once
 from corpusloom.functions.idstrings import GAP, MISSING, byte_string, fold_pairs, id_char, ids_of
 from corpusloom.functions.literals import literals_in
@@ -25,6 +26,8 @@ from corpusloom.session import stage_table
 
 # Up to this many merges the pass over the whole document is cheaper than a dictionary of its pre-tokens.
 FOLD_MERGES = 256
+# Up to this many steps of merges whole texts are merged step by step, whatever the number of merges.
+BATCHED_STEPS = 32
 FEW_LITERALS = 8
 # Split patterns whose matches leave nothing of a text out.
 WHOLE_PATTERNS = {GPT2PAT, GPT4PAT}
@@ -132,14 +135,22 @@ def encode_corpus(
 
     ``mode="text"`` merges over the whole text, ``mode="pretoken"`` inside each match of the split pattern.
     ``strategy="fold"`` works in place without a shuffle at a cost of merges x text; ``"dictionary"`` encodes each
-    frequent piece of the texts once and looks it up, and rare ones in place; it stages ``df`` and runs when called.  ``"auto"`` takes the
-    dictionary when there are many merges.  Both give the same ids: null for a null text, whatever the ids of the rows.
+    frequent piece of the texts once and looks it up, and rare ones in place; it stages ``df`` and runs when called.
+    ``"steps"``, for whole texts, makes all merges of a step at once (``functions.batched``): it works in place at a cost of
+    steps x text.  ``"auto"``, when there are many merges, takes the steps for whole texts if they are few, else the
+    dictionary.  All give the same ids: null for a null text, whatever the ids of the rows.
     """
     if mode not in ("text", "pretoken"):
         raise ValueError(f"unknown mode {mode!r}")
     if strategy == "auto":
         strategy = "dictionary" if len(model.merges) > FOLD_MERGES else "fold"
+        if strategy == "dictionary" and mode == "text" and len(merge_steps(model.merges)) <= BATCHED_STEPS:
+            strategy = "steps"
     text = F.col(text_col)
+    if strategy == "steps":
+        if mode != "text":
+            raise ValueError("steps merge over whole texts")
+        return df.withColumn(out, merged_ids(text, model.merges, lead, packed))
 
     def ids(seq: Column) -> Column:
         whole = seq if lead is None else F.concat(F.lit(id_char(lead)), seq)
