@@ -113,3 +113,8 @@ def test_texts_are_counted_without_a_row_for_each_pair(texts):
     assert {(r["left"], r["right"], r["cnt"]) for r in counts.collect()} == {(97, 98, 2), (98, 97, 2)}
     assert dict(counts.dtypes) == {"left": "int", "right": "int", "cnt": "bigint", "first_key": "bigint"}
     assert counts.where(F.col("left") == 98).orderBy("first_key").first()["first_key"] == 1
+
+
+def test_a_null_text_is_not_counted_as_empty(texts):
+    with pytest.raises(Exception, match="null text"):
+        cl.pair_counts(cl.byte_sequences(texts(["abab", None]))).collect()
